@@ -240,7 +240,7 @@ def q_audit_summary(t):
 
 @query(
     "c_coerce_numeric",
-    "i:sale_id r:quantity r:price r:discount",
+    "i:sale_id r:quantity r4:price r:discount",
     """select sale_id, try_cast(quantity_sold as double) as quantity, try_cast(unit_price as double) as price,
               try_cast(discount_pct as double) as discount from {sales_raw}""",
 )
@@ -290,7 +290,7 @@ def _typed_sales(t):
     )
 
 
-_DEDUP_COLUMNS = "i:sale_id i:product_id d:sold_on r:quantity r:price"
+_DEDUP_COLUMNS = "i:sale_id r0:product_id d:sold_on r:quantity r4:price"
 _ORDER = "product_id, sold_on, quantity, price"
 
 
@@ -306,7 +306,7 @@ def c_dedup_first(t):
 
 @query(
     "c_dedup_last",
-    "i:product_id d:sold_on i:sale_id r:quantity r:price",
+    "r0:product_id d:sold_on i:sale_id r:quantity r4:price",
     f"""select * from (select *, row_number() over (partition by product_id, sold_on order by
         {", ".join(c.strip() + " desc nulls last" for c in "sale_id, quantity, price".split(","))}) as rn
         from ({_TYPED_SALES})) where rn = 1""",
@@ -352,7 +352,7 @@ _MEDIANS = """
 
 @query(
     "c_impute_group_median",
-    "sku category r:unit_cost r:unit_price",
+    "sku category r:unit_cost r4:unit_price",
     f"""with {_MEDIANS}, out as (select sku, category,
           coalesce(unit_cost, (select median(unit_cost) from g)) as unit_cost,
           coalesce(unit_price, (select median(unit_price) from g)) as unit_price from g)""",
@@ -423,7 +423,7 @@ def c_row_min_max(t):
 
 @query(
     "c_round_half_even",
-    "i:inventory_id i:units r2:cost",
+    "i:inventory_id r0:units r2:cost",
     """select inventory_id, round_even(try_cast(quantity_on_hand as double), 0) as units,
               round_even(try_cast(unit_cost_snapshot as double) * 100, 0) / 100 as cost from {inventory_raw}""",
 )
@@ -454,7 +454,7 @@ def c_remap(t):
 _TIER = "case when risk_tier in ('low', 'medium', 'high', 'critical') then risk_tier else 'medium' end"
 
 
-@query("c_whitelist", "i:risk_id i:supplier_id risk_tier", f"select risk_id, supplier_id, {_TIER} as risk_tier from {{risk_raw}}")
+@query("c_whitelist", "i:risk_id r0:supplier_id risk_tier", f"select risk_id, supplier_id, {_TIER} as risk_tier from {{risk_raw}}")
 def c_whitelist(t):
     return t.risk_raw.select(
         "risk_id", "supplier_id", fn.whitelisted("risk_tier", fn.RISK_TIERS, "medium").alias("risk_tier")
@@ -466,7 +466,7 @@ def c_whitelist(t):
 
 @query(
     "c_clean_products",
-    "i:product_id sku product_name category sub_category r:unit_cost r:unit_price r:lead_time_days "
+    "i:product_id sku product_name category sub_category r:unit_cost r4:unit_price r:lead_time_days "
     "r:reorder_point r:reorder_quantity is_active d:created_at d:updated_at",
     """with first as (select * from (select *, row_number() over (partition by product_id order by sku) as rn
                      from {products_raw}) where rn = 1),
@@ -508,7 +508,7 @@ def c_clean_suppliers(t):
 
 @query(
     "c_clean_sales",
-    "i:sale_id i:product_id d:sale_date i:quantity_sold r:unit_price channel region r:discount_pct is_returned created_at",
+    "i:sale_id i:product_id d:sale_date i:quantity_sold r4:unit_price channel region r:discount_pct is_returned created_at",
     f"""with typed as (select sale_id, product_id, try_cast(sale_date as date) as sale_date,
               try_cast(quantity_sold as double) as quantity, try_cast(unit_price as double) as price,
               {_CHANNEL} as channel, region,

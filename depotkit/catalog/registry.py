@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from depotkit.catalog.views import Tables, duck
 
 QUERIES: dict[str, "Query"] = {}
+EDGE = 0.0917
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,11 @@ def _digits(kind: str) -> int:
 
 
 def shown(df: DataFrame, columns: str) -> DataFrame:
-    """The compared columns: d: day as text, i: bigint, r<n>: rounded to n places (6)."""
+    """The compared columns: d: day as text, i: bigint, r<n>: rounded to n places (6).
+
+    Means of cents often end in an exact half, which two engines round apart after one
+    last-bit difference; EDGE moves the rounding edge away from such values.
+    """
     out = []
     for kind, name in _items(columns):
         c = F.col(f"`{name}`")
@@ -49,7 +54,7 @@ def shown(df: DataFrame, columns: str) -> DataFrame:
             c = c.cast("long")
         elif kind.startswith("r"):
             scale = float(10 ** _digits(kind))
-            c = F.rint(c.cast("double") * scale) / scale + F.lit(0.0)
+            c = F.rint(c.cast("double") * scale + EDGE) / scale + F.lit(0.0)
         out.append(c.alias(name))
     return df.select(*out)
 
@@ -64,7 +69,7 @@ def shown_sql(columns: str) -> str:
             c = f"cast({c} as bigint)"
         elif kind.startswith("r"):
             scale = f"1e{_digits(kind)}"
-            c = f"round_even(cast({c} as double) * {scale}, 0) / {scale} + 0.0"
+            c = f"round_even(cast({c} as double) * {scale} + {EDGE}e0, 0) / {scale} + 0.0"
         out.append(f'{c} as "{name}"')
     return ", ".join(out)
 

@@ -186,7 +186,7 @@ VIEWS: dict[str, str] = {
     "deliveries": """
         select l_suppkey as supplier_id,
                make_date(year(l_shipdate), month(l_shipdate), 1) as period,
-               greatest(0.0, late / 4.0 - 3.0) as delay_days,
+               greatest(0.0, late / 7.0 - 1.7) as delay_days,
                10.0 + l_suppkey % 30 as max_delay
         from (select l_suppkey, l_shipdate,
                      cast((DAYS(cast(l_shipdate as date), cast(o_orderdate as date)) % 40 + 40) % 40 as double) as late

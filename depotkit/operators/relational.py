@@ -171,7 +171,8 @@ def best_row(df: DataFrame, by: str, tiebreak: Sequence[str] = ()) -> DataFrame:
 
 def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """min(n, rows) rows in the order of a seeded hash of their key; the same rows every run."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return df.orderBy(F.md5(text), *keys).limit(n)
 
 
 def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence, agg: Column) -> DataFrame:

@@ -102,10 +102,14 @@ def fill_days(df: DataFrame, entity: str, day: str, bounds: tuple) -> DataFrame:
     """
     first, last = (F.lit(b).cast("date") for b in bounds)
     w = Window.partitionBy(entity).orderBy(day)
-    start = F.when(F.lag(day).over(w).isNull(), first).otherwise(F.col(day))
-    end = F.coalesce(F.date_sub(F.lead(day).over(w), 1), last)
     measures = [c for c in df.columns if c not in (entity, day)]
-    spread = df.select("*", F.explode(F.sequence(start, end)).alias("_day"))
+    ranged = df.withColumns(
+        {
+            "_from": F.when(F.lag(day).over(w).isNull(), first).otherwise(F.col(day)),
+            "_to": F.coalesce(F.date_sub(F.lead(day).over(w), 1), last),
+        }
+    )
+    spread = ranged.select("*", F.explode(F.sequence("_from", "_to")).alias("_day"))
     return spread.select(
         entity,
         F.col("_day").alias(day),
