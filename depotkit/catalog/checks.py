@@ -385,7 +385,7 @@ def _quartiles(source: str, *columns: str) -> str:
                 from typed, q)""",
 )
 def c_iqr_cap(t):
-    return cl.iqr_cap(_typed_sales(t), ["quantity", "price"])
+    return cl.iqr_cap(_typed_sales(t), cl.iqr_bounds(_typed_sales(t), ["quantity", "price"]))
 
 
 @query(
@@ -511,19 +511,20 @@ def c_clean_suppliers(t):
     "i:sale_id i:product_id d:sale_date i:quantity_sold r4:unit_price channel region r:discount_pct is_returned created_at",
     f"""with typed as (select sale_id, product_id, try_cast(sale_date as date) as sale_date,
               try_cast(quantity_sold as double) as quantity, try_cast(unit_price as double) as price,
-              {_CHANNEL} as channel, region,
-              greatest(0, least(100, coalesce(try_cast(discount_pct as double), 0))) as discount_pct,
+              channel as raw_channel, {_CHANNEL} as channel, region,
+              coalesce(try_cast(discount_pct as double), 0) as discount_pct,
               coalesce(lower(is_returned) in ('true', '1', 'yes'), false) as is_returned, created_at
             from {{sales_raw}}),
         kept as (select * from typed where sale_date is not null and product_id is not null and quantity > 0),
         q as ({_quartiles('kept', 'quantity', 'price')}),
-        capped as (select sale_id, product_id, sale_date,
+        one as (select * from (select *, row_number() over (partition by sale_id order by
+              product_id, sale_date, quantity, price asc nulls first, raw_channel asc nulls first, region,
+              discount_pct, is_returned, created_at) as rn from kept) where rn = 1),
+        out as (select sale_id, product_id, sale_date,
               round_even(greatest(1, {_cap('quantity')}), 0) as quantity_sold,
               case when price is null then null else greatest(0, {_cap('price')}) end as unit_price,
-              channel, region, discount_pct, is_returned, created_at from kept, q),
-        out as (select * from (select *, row_number() over (partition by sale_id order by
-              product_id, sale_date, quantity_sold, unit_price asc nulls first, channel asc nulls first, region,
-              discount_pct, is_returned, created_at) as rn from capped) where rn = 1)""",
+              channel, region, greatest(0, least(100, discount_pct)) as discount_pct, is_returned, created_at
+              from one, q)""",
 )
 def c_clean_sales(t):
     return cl.clean_sales(t.sales_raw)
@@ -540,13 +541,13 @@ def c_clean_sales(t):
               try_cast(unit_cost_snapshot as double) as cost, created_at from {{inventory_raw}}),
         kept as (select * from typed where snapshot_date is not null and product_id is not null and on_hand is not null),
         q as ({_quartiles('kept', 'cost')}),
-        capped as (select inventory_id, product_id, snapshot_date, warehouse_id,
+        one as (select * from (select *, row_number() over (partition by product_id, warehouse_id, snapshot_date
+              order by inventory_id desc, on_hand desc, reserved desc, reorder_triggered desc, cost desc nulls last)
+              as rn from kept) where rn = 1),
+        out as (select inventory_id, product_id, snapshot_date, warehouse_id,
               round_even(greatest(0, on_hand), 0) as quantity_on_hand,
               least(round_even(greatest(0, on_hand), 0), round_even(greatest(0, reserved), 0)) as quantity_reserved,
-              reorder_triggered, {_cap('cost')} as unit_cost_snapshot, created_at from kept, q),
-        out as (select * from (select *, row_number() over (partition by product_id, warehouse_id, snapshot_date
-              order by inventory_id desc, quantity_on_hand desc, quantity_reserved desc, reorder_triggered desc,
-              unit_cost_snapshot desc nulls last) as rn from capped) where rn = 1)""",
+              reorder_triggered, {_cap('cost')} as unit_cost_snapshot, created_at from one, q)""",
 )
 def c_clean_inventory(t):
     return cl.clean_inventory(t.inventory_raw)

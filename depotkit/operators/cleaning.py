@@ -46,9 +46,9 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 3.0) -> di
     return out
 
 
-def iqr_cap(df: DataFrame, columns: Sequence[str], factor: float = 3.0) -> DataFrame:
-    bounds = iqr_bounds(df, columns, factor)
-    return df.withColumns({c: fn.clip(F.col(c).cast("double"), *bounds[c]) for c in columns})
+def iqr_cap(df: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
+    """Clip to the bounds of :func:`iqr_bounds`, which may come from another set of rows."""
+    return df.withColumns({c: fn.clip(F.col(c).cast("double"), *b) for c, b in bounds.items()})
 
 
 def _parsed(df: DataFrame, parse: Callable[[str], Column], columns: Sequence[str]) -> DataFrame:
@@ -90,7 +90,11 @@ def clean_suppliers(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFr
 
 
 def clean_sales(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
-    """Caps use the rows before de-duplication, and the lower bound of 1 follows the cap."""
+    """Caps use the rows before de-duplication, and the lower bound of 1 follows the cap.
+
+    The caps themselves are applied behind the shuffle of the de-duplication: fewer rows,
+    and two small generated stages instead of one too large to be compiled.
+    """
     d = df.withColumns(
         {
             "sale_id": fn.integer("sale_id"),
@@ -103,8 +107,9 @@ def clean_sales(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
         }
     )
     d = d.dropna(subset=["sale_date", "product_id", "quantity_sold"]).filter("quantity_sold > 0")
-    d = iqr_cap(d, ["quantity_sold", "unit_price"])
-    d = d.withColumns(
+    bounds = iqr_bounds(d, ["quantity_sold", "unit_price"])
+    d = iqr_cap(keep_one(d, ["sale_id"], order), bounds)
+    return d.withColumns(
         {
             "quantity_sold": fn.whole(fn.clip("quantity_sold", lo=1)),
             "unit_price": fn.clip("unit_price", lo=0),
@@ -112,7 +117,6 @@ def clean_sales(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
             "channel": fn.remapped(fn.normalised_text("channel"), fn.CHANNEL_ALIASES),
         }
     )
-    return keep_one(d, ["sale_id"], order)
 
 
 def clean_inventory(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
@@ -127,11 +131,11 @@ def clean_inventory(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFr
             "unit_cost_snapshot": fn.number("unit_cost_snapshot"),
         }
     ).dropna(subset=["snapshot_date", "product_id", "quantity_on_hand"])
-    d = iqr_cap(d, ["unit_cost_snapshot"])
-    d = d.withColumns(
+    bounds = iqr_bounds(d, ["unit_cost_snapshot"])
+    d = keep_one(d, ["product_id", "warehouse_id", "snapshot_date"], order or ["inventory_id"], last=True)
+    return iqr_cap(d, bounds).withColumns(
         {c: fn.whole(fn.clip(c, lo=0)) for c in ("quantity_on_hand", "quantity_reserved")}
     ).withColumn("quantity_reserved", F.least("quantity_on_hand", "quantity_reserved"))
-    return keep_one(d, ["product_id", "warehouse_id", "snapshot_date"], order or ["inventory_id"], last=True)
 
 
 def clean_forecasts(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:

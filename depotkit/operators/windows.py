@@ -38,11 +38,15 @@ def trailing_std(c: ColumnLike, k: int, w: WindowSpec) -> Column:
 
 
 def fill_both_ways(c: ColumnLike, w: WindowSpec) -> Column:
-    """Last known value, else the next known one."""
+    """Last known value; rows before the first known value take that one.
+
+    Only leading rows need a later value, and for them the next known value is the first
+    of the series: one whole-series frame instead of a frame per row.
+    """
     x = col(c)
     return F.coalesce(
         F.last(x, ignorenulls=True).over(w.rowsBetween(UNB, 0)),
-        F.first(x, ignorenulls=True).over(w.rowsBetween(0, NEXT)),
+        F.first(x, ignorenulls=True).over(w.rowsBetween(UNB, NEXT)),
     )
 
 
