@@ -7,7 +7,6 @@ task stays a small share of the rows whatever the key distribution.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +15,12 @@ from pyspark.sql import functions as F
 from depotkit.session import cut_lineage
 
 
+def _grid(probs: Sequence[float], accuracy: int) -> list[float]:
+    """Shares just below every probability, then just above."""
+    slack = 2.0 / accuracy
+    return [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+
+
 def global_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -25,69 +30,49 @@ def global_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of whole columns; NULLs are ignored.
 
-    While more than ``limit`` rows can still hold a wanted rank, a sketch over those rows
-    narrows the value range by a factor of about accuracy/4. Only then are the distinct
-    values of the range ranked, so one task never sees more than ``limit`` of them.
-    Each step returns one row to the driver.
+    One pass sketches all columns, which brackets each wanted rank to about 4/accuracy of
+    the rows; a second pass counts below, inside and above the brackets and ranks the
+    values inside. Brackets that would still hold more than ``limit`` rows are sketched
+    again first. Every pass returns one row to the driver.
     """
     base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    sizes = base.agg(*[F.count(c).alias(c) for c in columns]).first()
-    found: dict[tuple[str, int], float] = {}
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    for c in columns:
-        n = sizes[c]
-        if not n:
-            continue
-        ranks = sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
-        for r in ranks:
-            if (c, r) not in found:
-                found.update(_values_near(base, c, r, [x for x in ranks if x >= r], n, limit, accuracy))
-        for i, p in enumerate(probs):
-            h = (n - 1) * p
-            lo, hi = found[c, math.floor(h)], found[c, math.ceil(h)]
-            out[c][i] = lo + (hi - lo) * (h - math.floor(h))
-    return out
-
-
-def _values_near(
-    base: DataFrame, c: str, rank: int, others: list[int], n: int, limit: int, accuracy: int
-) -> dict[tuple[str, int], float]:
-    """The value at ``rank`` and at any of ``others`` that falls into the same ranked range."""
-    x = F.col(c)
-    low, high, below, inside = None, None, 0, n
-    while inside > limit:
-        within = x if low is None else F.when(x.between(low, high), x)
-        at = (rank - below) / inside
-        cuts = [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
-        a, b = base.agg(F.percentile_approx(within, cuts, accuracy).alias("q")).first().q
-        row = base.agg(
-            F.count_if(x < a).alias("below"),
-            F.count_if(x.between(a, b)).alias("inside"),
-            F.max(F.when(x < a, x)).alias("before"),
-            F.min(F.when(x > b, x)).alias("after"),
-        ).first()
-        # Turning a share into a rank can be off by one; the neighbouring value is wanted then.
-        if rank == row.below - 1:
-            a = b = row.before
-        elif rank == row.below + row.inside:
-            a = b = row.after
-        elif not row.below <= rank < row.below + row.inside:
-            raise RuntimeError(f"sketch of {c} missed rank {rank}; raise accuracy")
-        if a == b:
-            return {(c, rank): a}
-        if (a, b) == (low, high):
-            break
-        low, high, below, inside = a, b, row.below, row.inside
-    kept = base.filter(x.isNotNull() if low is None else x.between(low, high))
-    ordered = Window.orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        kept.groupBy(c).count().withColumn("end", F.sum("count").over(ordered) + F.lit(below))
-        .withColumn("start", F.col("end") - F.col("count"))
+    wanted = F.array(*[F.lit(g) for g in _grid(probs, accuracy)])
+    sketches = [F.percentile_approx(c, wanted, accuracy).alias(f"q_{c}") for c in columns]
+    first = base.agg(*[F.count(c).alias(f"n_{c}") for c in columns], *sketches).first()
+    filled = [c for c in columns if first[f"n_{c}"]]
+    if not filled:
+        return {c: [None] * len(probs) for c in columns}
+    k = len(probs)
+    brackets = {(c, i): (first[f"q_{c}"][i], first[f"q_{c}"][i + k]) for c in filled for i in range(k)}
+    share = 4.0 / accuracy
+    while share * max(first[f"n_{c}"] for c in filled) > limit:
+        brackets = _narrowed(base, brackets, {c: first[f"n_{c}"] for c in filled}, probs, accuracy)
+        share *= 4.0 / accuracy
+    spread = base.select(
+        F.explode(F.array(*[_located(c, i, F.lit(a), F.lit(b)) for (c, i), (a, b) in brackets.items()])).alias("r")
     )
-    reachable = [r for r in others if below <= r < below + inside]
-    picks = [F.max(F.when((F.col("start") <= r) & (F.col("end") > r), x)).alias(f"r{r}") for r in reachable]
-    row = ranked.agg(*picks).first()
-    return {(c, r): row[f"r{r}"] for r in reachable}
+    row = _ranked_values(spread.select("r.*"), filled, probs, []).first()
+    return {c: [row[f"{c}_q{i}"] if c in filled else None for i in range(k)] for c in columns}
+
+
+def _narrowed(base: DataFrame, brackets: dict, sizes: dict[str, int], probs: Sequence[float], accuracy: int) -> dict:
+    """Sketch inside each bracket again; one pass to count, one to sketch, for all brackets."""
+    names = {key: f"t{j}" for j, key in enumerate(brackets)}
+    counts = []
+    for key, (a, b) in brackets.items():
+        x = F.col(key[0])
+        counts += [F.count_if(x < a).alias(f"b_{names[key]}"), F.count_if(x.between(a, b)).alias(f"i_{names[key]}")]
+    n = base.agg(*counts).first()
+    sketches = []
+    for key, (a, b) in brackets.items():
+        inside = n[f"i_{names[key]}"]
+        rank = (sizes[key[0]] - 1) * probs[key[1]]
+        at = min(1.0, max(0.0, (rank - n[f"b_{names[key]}"] + 1) / inside))
+        x = F.col(key[0])
+        cuts = F.array(*[F.lit(g) for g in _grid([at], accuracy)])
+        sketches.append(F.percentile_approx(F.when(x.between(a, b), x), cuts, accuracy).alias(names[key]))
+    found = base.agg(*sketches).first()
+    return {key: tuple(found[name]) for key, name in names.items()}
 
 
 def group_quantiles(
@@ -95,34 +80,36 @@ def group_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles, one row per ``by`` group, columns ``<column>_q<i>``.
 
-    A sketch brackets every wanted rank to about 4/accuracy of a group's rows; one more
-    aggregate counts what lies below, inside and above each bracket; only the distinct
-    values inside are ranked. NULL values are ignored, as are rows with a NULL group key.
+    The same two passes as :func:`global_quantiles`, with the brackets of each group joined
+    to its rows. NULL values are ignored, as are rows with a NULL group key.
     """
     base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=list(by))
-    slack = 2.0 / accuracy
-    grid = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-    wanted = F.array(*[F.lit(g) for g in grid])
+    wanted = F.array(*[F.lit(g) for g in _grid(probs, accuracy)])
     sketch = base.groupBy(*by).agg(
         F.struct(*[F.percentile_approx(c, wanted, accuracy).alias(c) for c in columns]).alias("_bracket")
     )
-    rows = base.join(sketch, list(by))
-
-    def located(column: str, i: int) -> Column:
-        value, cut = F.col(column), F.col(f"_bracket.{column}")
-        low, high = cut[i], cut[i + len(probs)]
-        zone = F.when(value < low, -1).when(value > high, 1).otherwise(0)
-        return F.struct(
-            F.lit(column).alias("name"),
-            F.lit(i).alias("i"),
-            zone.alias("zone"),
-            F.when(zone == 0, value).alias("key"),
-            value.alias("v"),
-        )
+    k = len(probs)
+    cut = lambda c, i: F.col(f"_bracket.{c}")[i]
+    located = [_located(c, i, cut(c, i), cut(c, i + k)) for c in columns for i in range(k)]
+    spread = base.join(sketch, list(by)).select(*by, F.explode(F.array(*located)).alias("r")).select(*by, "r.*")
+    return _ranked_values(spread, columns, probs, by)
+
+
+def _located(column: str, i: int, low: Column, high: Column) -> Column:
+    """Where a value stands relative to the bracket of its i-th quantile."""
+    value = F.col(column)
+    zone = F.when(value < low, -1).when(value > high, 1).otherwise(0)
+    return F.struct(
+        F.lit(column).alias("name"),
+        F.lit(i).alias("i"),
+        zone.alias("zone"),
+        F.when(zone == 0, value).alias("key"),
+        value.alias("v"),
+    )
+
 
-    spread = rows.select(
-        *by, F.explode(F.array(*[located(c, i) for c in columns for i in range(len(probs))])).alias("r")
-    ).select(*by, "r.*")
+def _ranked_values(spread: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Rank the located values and interpolate; rows outside a bracket are folded to one count."""
     counted = (
         spread.filter(F.col("v").isNotNull())
         .groupBy(*by, "name", "i", "zone", "key")
