@@ -19,9 +19,14 @@ SMALL_DELAY = {"maxIter": 10, "stepSize": 0.3, "maxDepth": 4, "subsamplingRate":
 SMALL_TIER = {"maxIter": 5, "stepSize": 0.3, "maxDepth": 3}
 
 
-def _metrics(t, trained):
-    rows = sorted(trained.metrics.items())
+def _released(trained):
+    """The model without its cached matrix, for queries that read another table."""
     trained.extra["data"].unpersist()
+    return trained
+
+
+def _metrics(t, trained):
+    rows = sorted(_released(trained).metrics.items())
     return t.spark.createDataFrame([(trained.name, k, float(v)) for k, v in rows], "model string, metric string, value double")
 
 
@@ -70,7 +75,7 @@ def m_permutation_auc(t):
 
 @query("m_native_importance")
 def m_native_importance(t):
-    m = _stockout(t)
+    m = _released(_stockout(t))
     return imp.native_importance(m.model, m.features)
 
 
@@ -82,20 +87,20 @@ def m_explain(t):
 
 @query("i_score_demand")
 def i_score_demand(t):
-    m = _demand(t)
+    m = _released(_demand(t))
     return score.score_demand(series.f_demand(t), m.model, m.features)
 
 
 @query("i_score_stockout")
 def i_score_stockout(t):
-    m = _stockout(t)
+    m = _released(_stockout(t))
     return score.score_stockout(series.f_stockout(t), m.model, m.features)
 
 
 @query("i_score_supplier")
 def i_score_supplier(t):
     df = series.f_supplier_risk(t)
-    delay, tier = tr.train_delay(df, SMALL_DELAY), tr.train_tier(df, SMALL_TIER)
+    delay, tier = _released(tr.train_delay(df, SMALL_DELAY)), _released(tr.train_tier(df, SMALL_TIER))
     return score.score_supplier(df, delay.model, tier.model, delay.features)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from depotkit.catalog.registry import query
 from depotkit.functions import scalar as fn
-from depotkit.operators import relational as rel, scoring, windows as win
+from depotkit.operators import relational as rel, windows as win
 from depotkit.operators.ordering import global_quantiles, group_quantiles
 from depotkit.plans.features import transform_sales
 
@@ -199,53 +199,6 @@ _SCORED = """scored as (select f.product_id, f.forecast_date, f.predicted_demand
       / 10000 as confidence_score from scored)"""
 
 
-@query(
-    "a_dataset_profile",
-    "table metric r4:value",
-    f"with {_SCORED}, out as ("
-    + " union all ".join(
-        [
-            _profile(
-                "products", "products",
-                {"rows": "count(*)", "active_skus": "count(*) filter (where is_active)",
-                 "price_min": "min(unit_price)", "price_max": "max(unit_price)"},
-                "category",
-            ),
-            _profile(
-                "suppliers", "suppliers",
-                {"rows": "count(*)", "reliability_min": "min(reliability_score)",
-                 "reliability_max": "max(reliability_score)", "countries": "count(distinct country)"},
-            ),
-            _profile(
-                "sales", "sales",
-                {"rows": "count(*)", "first_day": "date_diff('day', date '1970-01-01', min(sale_date))",
-                 "last_day": "date_diff('day', date '1970-01-01', max(sale_date))",
-                 "units_sold": "sum(quantity_sold)", "return_rate_pct": "avg(is_returned::int) * 100"},
-                "channel",
-            ),
-            _profile(
-                "inventory", "stock",
-                {"rows": "count(*)", "stockout_records": "count(*) filter (where quantity_on_hand = 0)",
-                 "stockout_pct": "avg((quantity_on_hand = 0)::int) * 100",
-                 "reorder_triggers": "count(*) filter (where reorder_triggered)",
-                 "avg_on_hand": "avg(quantity_on_hand)"},
-            ),
-            _profile(
-                "forecasts", "accuracy",
-                {"rows": "count(*)", "avg_mape": "avg(mape)", "avg_mae": "avg(mae)",
-                 "avg_confidence": "avg(confidence_score)"},
-            ).replace("{accuracy}", "accuracy"),
-        ]
-    )
-    + ")",
-)
-def a_dataset_profile(t):
-    forecasts = scoring.forecast_accuracy(rel.forecast_with_actual(t.forecasts, t.sales))
-    return rel.dataset_profile(
-        {"products": t.products, "suppliers": t.suppliers, "sales": t.sales, "inventory": t.stock, "forecasts": forecasts}
-    )
-
-
 @query(
     "a_target_balance",
     "r:positive_share",

@@ -171,24 +171,27 @@ def series(
     entity is cut into blocks of ``max_rows`` rows; each block also receives the
     ``lookback`` rows before it, marked ``_halo``. Cells (days, months) bound the number
     of count rows per entity by the calendar. ``measured`` may name a cheaper table with
-    the same rows per entity for the length check.
+    the same entities and cells, row for row, to count on.
     """
     longest = longest_series(df if measured is None else measured, entity)
     if longest <= max_rows:
-        w = Window.partitionBy(entity).orderBy(cell, *tiebreak)
+        w = Window.partitionBy(entity).orderBy(F.col(cell).asc_nulls_last(), *tiebreak)
         frame = df.withColumns(
             {"_pos": F.row_number().over(w).cast("long"), "_block": F.lit(0).cast("long"), "_halo": F.lit(False)}
         )
         return Series(frame, w, entity, False)
     size = max(max_rows, lookback)
-    upto = Window.partitionBy(entity).orderBy(cell).rowsBetween(UNB, -1)
+    upto = Window.partitionBy("_e").orderBy(F.col("_c").asc_nulls_last()).rowsBetween(UNB, -1)
     offsets = (
-        df.groupBy(entity, cell)
+        (df if measured is None else measured)
+        .groupBy(F.col(entity).alias("_e"), F.col(cell).alias("_c"))
         .agg(F.count("*").alias("_n"))
-        .select(entity, cell, F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_offset"))
+        .select("_e", "_c", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy(entity, cell).orderBy(*tiebreak)
-    placed = df.join(offsets, [entity, cell]).withColumn("_pos", F.col("_offset") + F.row_number().over(inside))
+    same = F.col(entity).eqNullSafe(F.col("_e")) & F.col(cell).eqNullSafe(F.col("_c"))
+    placed = df.join(offsets, same).drop("_e", "_c")
+    placed = placed.withColumn("_pos", F.col("_offset") + F.row_number().over(inside))
     block = F.floor((F.col("_pos") - 1) / size)
     near_end = (F.col("_pos") - 1) % size >= size - lookback
     copies = F.array_compact(

@@ -169,7 +169,7 @@ def test_stockout_windows_equal_pandas(spark):
 def test_supplier_features_blocked_equal_plain(spark):
     rng = np.random.default_rng(9)
     rows = [
-        (s * 100 + m, s, dt.datetime(2024, 1 + m % 12, 1 + m // 12), float(rng.random()), "low", 10.0,
+        (s * 100 + m, s, None if m == 9 else dt.datetime(2024, 1 + m % 12, 1 + m // 12), float(rng.random()), "low", 10.0,
          None if m == 5 else float(rng.random() * 9), 1.0, 0.5, 60)
         for s in range(3) for m in range(24)
     ]
