@@ -100,7 +100,9 @@ def i_score_stockout(t):
 @query("i_score_supplier")
 def i_score_supplier(t):
     df = series.f_supplier_risk(t)
-    delay, tier = _released(tr.train_delay(df, SMALL_DELAY)), _released(tr.train_tier(df, SMALL_TIER))
+    # Both fits read one cached matrix, so it is released after the second.
+    delay, tier = tr.train_delay(df, SMALL_DELAY), tr.train_tier(df, SMALL_TIER)
+    _released(delay), _released(tier)
     return score.score_supplier(df, delay.model, tier.model, delay.features)
 
 
