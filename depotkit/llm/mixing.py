@@ -136,14 +136,14 @@ def mix(
 
 
 #: Production weights of the domain and language levels; sources weigh alike.
-WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
-LEVELS = ["domain", "lang", "source"]
+WEIGHTS = {"__domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
+LEVELS = ["__domain", "lang", "source"]
 
 
 def with_domain(docs: DataFrame) -> DataFrame:
-    """The documents name no domain; theirs is the remainder of the source's number by four."""
+    """Adds the level ``__domain``: documents name none, so it is the remainder of the source's number by four."""
     number = F.regexp_extract("source", r"([0-9]{1,9})$", 1)
-    return docs.withColumn("domain", F.when(number != "", F.concat(F.lit("d"), (number.cast("long") % 4).cast("string"))))
+    return docs.withColumn("__domain", F.when(number != "", F.concat(F.lit("d"), (number.cast("long") % 4).cast("string"))))
 
 
 def mix_sources(docs: DataFrame, share_percent: int = 90, max_epochs: int = 1) -> DataFrame:
@@ -157,7 +157,7 @@ def op2_query(spark, sf_dir: str) -> DataFrame:
     """The mix of all documents at half of their tokens, up to four epochs a leaf."""
     docs = with_domain(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     mixed = mix(docs, LEVELS, WEIGHTS, share_percent=50, max_epochs=4)
-    return mixed.select("row.doc_id", "row.domain", "row.lang", "row.source", "tokens", "epochs")
+    return mixed.select("row.doc_id", F.col("row.__domain").alias("domain"), "row.lang", "row.source", "tokens", "epochs")
 
 
 def _level_sql(n: int, columns: list[str], parent: list[str], w: str) -> str:
@@ -179,17 +179,18 @@ b{n} as (select {mine}, (case when is_full then cap else least(cap,
   rest_of * w_to // w_open - rest_of * (w_to - w) // w_open) end)::hugeint as budget from r{n}),"""
 
 
-OP2_SQL = (
-    r"""
+def op2_sql(share_percent: int, max_epochs: int) -> str:
+    """The mix of ``documents`` at these settings."""
+    return (r"""
 with d as (select doc_id, lang, source,
     case when regexp_matches(source, '[0-9]{1,9}$') then 'd' || (regexp_extract(source, '([0-9]{1,9})$', 1)::bigint % 4) end as domain,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as tokens from documents),
 leaves as (select domain, lang, source, sum(tokens)::hugeint as tokens from d group by all),
-tree as (select *, tokens * 4 as cap,
+tree as (select *, tokens * EPOCHS as cap,
     case domain when 'd0' then 4 when 'd1' then 3 when 'd2' then 2 else 1 end as w1,
     case lang when 'en' then 4 when 'de' then 2 when 'fr' then 2 else 1 end as w2, 1 as w3
   from leaves where tokens > 0),
-b0 as (select least((select sum(tokens) from d) * 50 // 100, sum(cap))::hugeint as budget from tree),"""
+b0 as (select least((select sum(tokens) from d) * SHARE // 100, sum(cap))::hugeint as budget from tree),"""
     + _level_sql(1, ["domain"], [], "w1")
     + _level_sql(2, ["domain", "lang"], ["domain"], "w2")
     + _level_sql(3, ["domain", "lang", "source"], ["domain", "lang"], "w3")
@@ -201,5 +202,7 @@ c as (select *, sum(tokens) over (partition by domain, lang, source
     order by md5('42:' || whole || ':' || coalesce(doc_id::varchar, 'null')) range between unbounded preceding and current row) as upto from s)
 select doc_id, domain, lang, source, tokens, whole + case when upto <= rest then 1 else 0 end as epochs
 from c where whole + case when upto <= rest then 1 else 0 end > 0
-"""
-)
+""").replace("EPOCHS", str(max_epochs)).replace("SHARE", str(share_percent))
+
+
+OP2_SQL = op2_sql(50, 4)
