@@ -69,9 +69,15 @@ class Windows:
 
 
 def _places(lengths: list[int], windows: Windows, waiting: dict[int, list[int]], base: int) -> tuple[list, list, list]:
-    """Places pieces base, base+1, ...; pieces of closed windows leave ``waiting``."""
+    """Places pieces base, base+1, ...; pieces of closed windows leave ``waiting``. Those without a
+    length go out at once, to window -1."""
     window_of, offset_of, out = [], [], []
     for k, length in enumerate(lengths, base):
+        if length <= 0:
+            window_of.append(-1)
+            offset_of.append(-1)
+            out.append(k)
+            continue
         window, offset, closed = windows.place(length)
         window_of.append(window)
         offset_of.append(offset)
@@ -150,9 +156,8 @@ def pack(
     size = F.coalesce(F.col(length).cast("long"), F.lit(0))
     rows = pieces.select(F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("row"), size.alias("_length"))
     rows = rows.withColumn("_length", F.when(F.col("_length") > capacity, F.raise_error(F.lit("a piece is longer than a sequence"))).otherwise(F.col("_length")))
-    real = rows.filter("_length > 0")
-    schema = T.StructType(real.schema.fields + T.StructType.fromDDL("_part long, _window long, _offset long, _open boolean").fields)
-    placed = written(real.mapInArrow(_online(capacity, open_windows), schema), "packed")
+    schema = T.StructType(rows.schema.fields + T.StructType.fromDDL("_part long, _window long, _offset long, _open boolean").fields)
+    placed = written(rows.mapInArrow(_online(capacity, open_windows), schema), "packed")
     whole, rest = [(0, placed.filter("not _open"))], placed.filter("_open")
     parts = (rest.agg(F.max("_part")).first()[0] or 0) + 1
     turn = 0
@@ -168,10 +173,10 @@ def pack(
     out = None
     for level, df in whole:
         ids = F.lit(level << 58) + F.shiftleft("_part", 34) + F.col("_window")
-        df = df.select("row", ids.alias("sequence_id"), F.col("_offset").alias("offset"))
+        placed_only = lambda c: F.when(F.col("_window") >= 0, c)
+        df = df.select("row", placed_only(ids).alias("sequence_id"), placed_only(F.col("_offset")).alias("offset"))
         out = df if out is None else out.unionByName(df)
-    nothing = F.lit(None).cast("long")
-    return out.unionByName(rows.filter("_length <= 0").select("row", nothing.alias("sequence_id"), nothing.alias("offset")))
+    return out
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
