@@ -84,7 +84,8 @@ def scan_versions(versions: DataFrame, ledger: Ledger, rules: str = RULES, find=
     if not ledger.empty:  # rows of known blobs, with or without a path
         others = others.unionByName(light.join(new.select("blob"), "blob", "left_anti").withColumn("path_of_blob", F.lit(None).cast(light.schema["path"].dataType)))
     struck = written(others.select(F.col("path").alias("p"), F.col("blob").alias("b")).distinct(), "not-scanned")
-    unseen = named.join(struck, F.col("path").eqNullSafe(F.col("p")) & (F.col("blob") == F.col("b")), "left_anti")
+    # what is struck out grows with the input: always shuffle, building on the side without texts
+    unseen = named.join(struck.hint("shuffle_hash"), F.col("path").eqNullSafe(F.col("p")) & (F.col("blob") == F.col("b")), "left_anti")
     ledger.add(scan_blobs(unseen, find), rules)
     found = ledger.rows(rules).filter(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
     none = F.array().cast("array<struct<kind:string,start:long,end:long>>")
