@@ -29,10 +29,10 @@ def token_pieces(
 
     def run(batches):
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 512):
+            for at in range(0, batch.num_rows, 256):
+                names, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
                 rows = []
-                for name, ids in zip(names[at:at + 512], encoder(vocabulary).encode(texts[at:at + 512]), strict=True):
+                for name, ids in zip(names, encoder(vocabulary).encode(texts), strict=True):
                     whole = np.append(ids, np.array([END_ID], "<u4"))
                     for start in range(0, len(whole), capacity):
                         part = whole[start:start + capacity]
@@ -186,7 +186,8 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     are packed too.
     """
     pieces = token_pieces(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return pack(pieces).select("row.*", "sequence_id", "offset")
+    # written first, so that no task needs a worker that encodes and one that packs at once
+    return pack(written(pieces, "pieces")).select("row.*", "sequence_id", "offset")
 
 
 def op9_query(spark, sf_dir: str) -> DataFrame:

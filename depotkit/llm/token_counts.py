@@ -20,9 +20,9 @@ def encoded_lengths(docs: DataFrame, vocabulary: str = "byte_bpe_50k", text: str
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 2048):
-                sizes = np.array([len(ids) for ids in encoder(vocabulary).encode(texts[at:at + 2048])], np.int64)
+            for at in range(0, batch.num_rows, 512):
+                texts = batch.column(0).slice(at, 512).to_pylist()
+                sizes = np.array([len(ids) for ids in encoder(vocabulary).encode(texts)], np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(sizes)], ["length"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "length long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,8 @@ class Encoder:
     def __init__(self, name: str = "byte_bpe_50k"):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self.whole.encode_special_tokens = True
+        self.name = name
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -37,6 +36,16 @@ class Encoder:
         for token, rank in ranks.items():
             self.token_bytes[rank] = len(token)
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself, loaded by the first text that needs it."""
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(public_tokenizers.path(f"{self.name}.json"))
+        found.encode_special_tokens = True
+        return found
+
     def _slow(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
@@ -54,18 +63,19 @@ class Encoder:
         start, count, bad = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
         plain = pc.match_substring_regex(units, PLAIN_UNIT).to_numpy(zero_copy_only=False)
         blank = pc.starts_with(units, " ").to_numpy(zero_copy_only=False)
+        line_end = pc.equal(units, "\n").to_numpy(zero_copy_only=False)  # alone it is one token
         parts, size = [], 0
-        for chosen, glue in ((plain & blank, ""), (plain & ~blank, "\n")):
+        for chosen, glue in ((plain & blank, ""), (plain & ~blank, "\n"), (line_end, "")):
             where = np.flatnonzero(chosen)
             if len(where):
                 ids, first, last = self._joined(units.take(pa.array(where)), glue)
                 start[where], count[where] = first + size, last - first
                 parts.append(ids)
                 size += len(ids)
-        for k in np.flatnonzero(~plain).tolist():
+        for k in np.flatnonzero(~plain & ~line_end).tolist():
             unit = units[k].as_py()
             core = unit[1:] if unit[:1] == " " else unit
-            if unit != "\n" and (not core or core[0].isspace() or core[-1].isspace()):
+            if not core or core[0].isspace() or core[-1].isspace():
                 bad[k] = True
                 continue
             ids = self._slow(unit)
