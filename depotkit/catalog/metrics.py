@@ -104,9 +104,10 @@ def m_roc_points(t):
     "m_histogram",
     "i:label i:bin i:n r:left",
     """with b as (select min(score) as lo, max(score) as hi, (max(score) - min(score)) / 40 as w from {predictions}),
-       out as (select label, least(floor((score - lo) / w), 39) as bin, count(*) as n,
-               lo + least(floor((score - lo) / w), 39) * w as "left" from {predictions}, b
-               group by label, least(floor((score - lo) / w), 39), lo, w)""",
+       c as (select label, least(floor((score - lo) / w), 39) as bin, count(*) as n from {predictions}, b group by 1, 2),
+       g as (select label, unnest(generate_series(0, 39)) as bin from (select distinct label from {predictions})),
+       out as (select g.label, g.bin, coalesce(n, 0) as n, lo + g.bin * w as "left"
+               from b, g left join c on g.label is not distinct from c.label and g.bin = c.bin)""",
 )
 def m_histogram(t):
     return ev.histogram(t.predictions, "score", 40, ["label"])
@@ -117,8 +118,9 @@ def m_histogram(t):
     "i:bin i:n r:left",
     """with r as (select actual - predicted as e from {predictions}),
        b as (select min(e) as lo, (max(e) - min(e)) / 50 as w from r),
-       out as (select least(floor((e - lo) / w), 49) as bin, count(*) as n, lo + least(floor((e - lo) / w), 49) * w as "left"
-               from r, b group by least(floor((e - lo) / w), 49), lo, w)""",
+       c as (select least(floor((e - lo) / w), 49) as bin, count(*) as n from r, b group by 1),
+       g as (select unnest(generate_series(0, 49)) as bin),
+       out as (select g.bin, coalesce(n, 0) as n, lo + g.bin * w as "left" from b, g left join c on g.bin = c.bin)""",
 )
 def m_residual_histogram(t):
     return ev.histogram(t.predictions.withColumn("e", F.col("actual") - F.col("predicted")), "e", 50)

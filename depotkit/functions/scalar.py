@@ -48,7 +48,9 @@ def number(c: ColumnLike) -> Column:
 
 
 def integer(c: ColumnLike) -> Column:
-    return number(c).cast("long")
+    """Text or number to long without a double in between, so ids beyond 2^53 stay apart; a fraction
+    is cut off, and what is no number or too large becomes NULL."""
+    return col(c).try_cast("decimal(38,9)").try_cast("long")
 
 
 def day(c: ColumnLike) -> Column:

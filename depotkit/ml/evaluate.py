@@ -115,13 +115,18 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Equal-width counts between the smallest and largest value; the last bin is closed."""
+    """Equal-width counts between the smallest and largest value, of every bin also if it is empty
+    (of each group, if grouped); the last bin is closed. No values, no bins."""
     low, high = df.agg(F.min(value), F.max(value)).first()
     width = (high - low) / bins if high is not None and high > low else 1.0
     x = F.col(value)
     index = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    known = df.filter(x.isNotNull())
+    counts = known.groupBy(*by, index.alias("bin")).agg(F.count("*").alias("n"))
+    empty = counts.select(*by).distinct() if by else counts.agg(F.count("*").alias("n")).filter("n > 0")
+    every = empty.select(*by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).cast("long").alias("n"))
     return (
-        df.filter(x.isNotNull()).groupBy(*by, index.alias("bin")).agg(F.count("*").alias("n"))
+        counts.unionByName(every).groupBy(*by, "bin").agg(F.sum("n").alias("n"))
         .withColumn("left", F.lit(low) + F.col("bin") * F.lit(width))
     )
 

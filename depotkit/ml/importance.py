@@ -74,21 +74,23 @@ def mae_loss(label: str) -> Callable[[DataFrame, list[str]], DataFrame]:
 
 
 def auc_loss(label: str, score: Callable[[], Column], buckets: int = 100_000) -> Callable[[DataFrame, list[str]], DataFrame]:
-    """1 - AUC per group, from counts per score.
+    """1 - AUC per group, from counts per exact score, ties counted half; NULL if a class is missing.
 
-    A forest's score is a mean of leaf shares, so distinct scores can be as many as rows.
-    They are counted on a grid of ``buckets`` steps, which bounds each group's window;
-    scores within one step count as tied (an error below 1/buckets of a pair's weight).
+    Running totals go inside ranges of scores, ``buckets`` to the unit, and over the totals of the
+    ranges, so that no window holds all scores of a group.
     """
     def loss(scored: DataFrame, by: list[str]) -> DataFrame:
-        step = F.floor(score() * buckets)
-        counts = scored.groupBy(*by, step.alias("s")).agg(
+        found = scored.withColumn("_score", score())
+        counts = found.groupBy(*by, F.floor(F.col("_score") * buckets).alias("_step"), "_score").agg(
             F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
         )
-        w = Window.partitionBy(*by).orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
-        area = F.col("neg") * (F.sum("pos").over(w) - F.col("pos") / 2)
+        higher = Window.partitionBy(*by).orderBy(F.col("_step").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        ranges = counts.groupBy(*by, "_step").agg(F.sum("pos").alias("_pos"))
+        ranges = ranges.select(*by, "_step", F.coalesce(F.sum("_pos").over(higher), F.lit(0)).alias("_above"))
+        inside = Window.partitionBy(*by, "_step").orderBy(F.col("_score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        area = F.col("neg") * (F.col("_above") + F.sum("pos").over(inside) - F.col("pos") / 2)
         return (
-            counts.withColumn("area", area).groupBy(*by)
+            counts.join(ranges, [*by, "_step"]).withColumn("area", area).groupBy(*by)
             .agg((1 - F.try_divide(F.sum("area"), F.sum("pos") * F.sum("neg"))).alias("loss"))
         )
 

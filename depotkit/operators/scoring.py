@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotkit.functions import scalar as fn
@@ -111,44 +109,25 @@ def prediction_interval(df: DataFrame, predicted: str = "predicted_demand") -> D
     return df.withColumns({"lower_bound_95": low, "upper_bound_95": high})
 
 
-def seasonal_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """The month index and the event index as small lookup tables."""
-    months = [(p, m, v) for p, vs in MONTH_INDEX.items() for m, v in enumerate(vs, start=1)]
-    events = [(m, d, v) for (m, d), v in EVENT_INDEX.items()]
-    return (
-        spark.createDataFrame(months, "profile string, month int, month_index double"),
-        spark.createDataFrame(events, "month int, dom int, event_index double"),
-    )
+def _lookup(values: dict[str, float]) -> Column:
+    """A literal map, which the planner folds into the expression that reads it."""
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
 def seasonal_index(df: DataFrame, day: str, profile: str) -> DataFrame:
-    """Month index x event multiplier x weekend factor; unknown profiles use 'general'."""
-    months, events = seasonal_tables(df.sparkSession)
+    """Month index x event multiplier x weekend factor; unknown profiles use 'general'.
+
+    The tables are literals: the rows are neither joined nor shuffled.
+    """
+    months = _lookup({f"{p} {m}": v for p, vs in MONTH_INDEX.items() for m, v in enumerate(vs, start=1)})
+    events = _lookup({f"{m}-{d}": v for (m, d), v in EVENT_INDEX.items()})
     d = F.col(day)
-    known = F.col(profile).isin(*MONTH_INDEX)
-    keyed = df.withColumns(
+    known = F.when(F.col(profile).isin(*MONTH_INDEX), F.col(profile)).otherwise("general")
+    month, dom = F.month(d).cast("string"), F.dayofmonth(d).cast("string")
+    return df.withColumns(
         {
-            "_profile": F.when(known, F.col(profile)).otherwise("general"),
-            "_month": F.month(d),
-            "_dom": F.dayofmonth(d),
+            "month_index": F.element_at(months, F.concat_ws(" ", known, month)),
+            "event_index": F.coalesce(F.element_at(events, F.concat_ws("-", month, dom)), F.lit(1.0)),
+            "weekend_factor": F.when(fn.weekday0(d) >= 5, WEEKEND_FACTOR).otherwise(1.0),
         }
-    )
-    m = months.select(F.col("profile").alias("_profile"), F.col("month").alias("_month"), "month_index")
-    e = events.select(F.col("month").alias("_month"), F.col("dom").alias("_dom"), "event_index")
-    return (
-        keyed.join(m, ["_profile", "_month"], "left")
-        .join(e, ["_month", "_dom"], "left")
-        .withColumns(
-            {
-                "event_index": F.coalesce("event_index", F.lit(1.0)),
-                "weekend_factor": F.when(fn.weekday0(d) >= 5, WEEKEND_FACTOR).otherwise(1.0),
-            }
-        )
-        .withColumn("seasonal_index", F.col("month_index") * F.col("event_index") * F.col("weekend_factor"))
-        .drop("_profile", "_month", "_dom")
-    )
-
-
-def on_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The named columns that exist, in the given order."""
-    return df.select(*[c for c in columns if c in df.columns])
+    ).withColumn("seasonal_index", F.col("month_index") * F.col("event_index") * F.col("weekend_factor"))

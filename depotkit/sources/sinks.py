@@ -75,17 +75,18 @@ def load_sequence(tables: dict[str, Any]) -> list[str]:
 
 
 def load_jdbc(
-    tables: dict[str, DataFrame], url: str, properties: dict[str, str] | None = None, connections: int = 8
+    tables: dict[str, DataFrame], url: str, properties: dict[str, str] | None = None, connections: int | None = None
 ) -> list[str]:
     """Empty every table, children first, then append parents first.
 
-    ``connections`` bounds how many tasks write at once, not how many rows.
+    ``connections`` bounds how many tasks write at once, not how many rows; without it every
+    partition writes.
     """
     order = load_sequence(tables)
     for t in reversed(order):
         tables[t].limit(0).write.format("jdbc").options(**jdbc_options(t, url, properties)).mode("overwrite").save()
     for t in order:
-        out = tables[t].coalesce(connections)
+        out = tables[t].coalesce(connections) if connections else tables[t]
         out.write.format("jdbc").options(**jdbc_options(t, url, properties)).mode("append").save()
     return order
 

@@ -62,7 +62,7 @@ def test_class_report_with_a_class_never_predicted(spark):
 
 def test_histogram_closes_the_last_bin(spark):
     df = spark.createDataFrame([(float(x),) for x in (0, 1, 9, 10)], "v double")
-    assert {r.bin: r.n for r in ev.histogram(df, "v", 10).collect()} == {0: 1, 1: 1, 9: 2}
+    assert {r.bin: r.n for r in ev.histogram(df, "v", 10).collect()} == {0: 1, 1: 1, 9: 2} | dict.fromkeys(range(2, 9), 0)
 
 
 def panel(spark, entities=7, days=23):
@@ -122,3 +122,34 @@ def test_search_prefers_the_better_mean():
     scores = {(1, 0): 0.4, (1, 1): 0.6, (2, 0): 0.7, (2, 1): 0.1}
     best, table = tr.search(tr.grid({"x": [1, 2]}), [0, 1], lambda p, f: scores[p["x"], f], True)
     assert best == {"x": 1} and len(table) == 2
+
+
+def test_auc_loss_is_exact_for_close_scores(spark):
+    from pyspark.sql import functions as F
+
+    from depotkit.ml import evaluate, importance
+
+    rows = [(0, 0.5000001), (0, 0.5000002), (1, 0.5000003), (1, 0.50000015), (0, 0.1), (1, 0.9), (1, 0.1)]
+    df = spark.createDataFrame(rows, "label int, p double").withColumn("all", F.lit(1))
+    loss = importance.auc_loss("label", lambda: F.col("p"))(df, ["all"]).first()["loss"]
+    assert abs(1 - loss - evaluate.roc_auc(df, "label", "p").first()["auc"]) < 1e-12
+
+
+def test_histogram_has_every_bin(spark):
+    from depotkit.ml import evaluate
+
+    df = spark.createDataFrame([("a", 0.0), ("a", 0.1), (None, 10.0), ("b", None)], "g string, x double")
+    got = {r.bin: r.n for r in evaluate.histogram(df, "x", 5).collect()}
+    assert got == {0: 2, 1: 0, 2: 0, 3: 0, 4: 1}
+    grouped = {(r.g, r.bin): r.n for r in evaluate.histogram(df, "x", 5, ["g"]).collect()}
+    assert len(grouped) == 10 and grouped["a", 0] == 2 and grouped[None, 4] == 1
+    assert evaluate.histogram(df.limit(0), "x", 5).count() == 0
+
+
+def test_folds_without_a_score_leave_the_mean(spark):
+    from depotkit.ml.train import _summary, search
+
+    assert _summary([{"auc": None}, {"auc": 0.8}]) == {"cv_auc_mean": 0.8, "cv_auc_std": 0.0}
+    scores = {(1, 0): None, (1, 1): 0.6, (2, 0): 0.5, (2, 1): 0.5}
+    best, _ = search([{"a": 1}, {"a": 2}], [0, 1], lambda c, f: scores[c["a"], f], True)
+    assert best == {"a": 1}

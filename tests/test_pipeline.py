@@ -94,3 +94,11 @@ def test_database_load_order_and_options():
     options = sinks.jdbc_options("sales", "jdbc:postgresql://h/db", {"user": "u"})
     assert options["truncate"] == options["cascadeTruncate"] == "true"
     assert options["batchsize"] == "5000" and options["user"] == "u"
+
+
+def test_tables_in_any_order_and_alone(spark, raw, tmp_path):
+    clean, _ = pipeline.run_etl(spark, raw, str(tmp_path / "both"), ["inventory", "products"])
+    assert {"quantity_available", "is_below_reorder"} <= set(clean["inventory"].columns)
+    clean, audit = pipeline.run_etl(spark, raw, str(tmp_path / "alone"), ["inventory"])
+    assert "quantity_available" not in clean["inventory"].columns
+    assert audit.filter("stage = 'transform'").count() == 0

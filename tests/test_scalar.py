@@ -85,3 +85,9 @@ def test_business_columns(spark):
     assert one(spark, fn.tenure_years("d"), d=("date", dt.date(2022, 6, 1))) == 2.58
     low, high = fn.interval_around("p")
     assert (one(spark, low, p=("double", 10.0)), one(spark, high, p=("double", 10.0))) == (8.0, 12.0)
+
+
+def test_integer_keeps_large_ids_apart(spark):
+    rows = [("9007199254740992",), ("9007199254740993",), ("12.7",), ("1e30",), ("S-001",), (" 7 ",), (None,)]
+    got = spark.createDataFrame(rows, "x string").select(fn.integer("x").alias("x")).collect()
+    assert [r.x for r in got] == [9007199254740992, 9007199254740993, 12, None, None, 7, None]
