@@ -27,7 +27,7 @@ def _released(trained):
 
 def _metrics(t, trained):
     rows = sorted(_released(trained).metrics.items())
-    return t.spark.createDataFrame([(trained.name, k, float(v)) for k, v in rows], "model string, metric string, value double")
+    return t.spark.createDataFrame([(trained.name, k, None if v is None else float(v)) for k, v in rows], "model string, metric string, value double")
 
 
 def _demand(t, n_splits=0):

@@ -96,7 +96,7 @@ def write_summary(
 ) -> str:
     """One JSON row {model, metrics, params, features}."""
     path = f"{folder.rstrip('/')}/{name}_summary"
-    row = (name, {k: float(v) for k, v in metrics.items()}, {k: str(v) for k, v in params.items()}, list(features))
+    row = (name, {k: None if v is None else float(v) for k, v in metrics.items()}, {k: str(v) for k, v in params.items()}, list(features))
     ddl = "model string, metrics map<string,double>, params map<string,string>, features array<string>"
     spark.createDataFrame([row], ddl).coalesce(1).write.mode("overwrite").json(path)
     return path
@@ -120,7 +120,7 @@ def log_run(
     """Append one run to the tracking table (run_id, experiment, kind, key, value, ts)."""
     path = f"{folder.rstrip('/')}/runs"
     rows = [(run_id, experiment, "param", k, str(v)) for k, v in params.items()]
-    rows += [(run_id, experiment, "metric", k, str(float(v))) for k, v in metrics.items()]
+    rows += [(run_id, experiment, "metric", k, None if v is None else str(float(v))) for k, v in metrics.items()]
     rows += [(run_id, experiment, "artefact", a, a) for a in artefacts]
     df = spark.createDataFrame(rows, "run_id string, experiment string, kind string, key string, value string")
     df.withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
