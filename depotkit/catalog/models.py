@@ -25,6 +25,14 @@ def _released(trained):
     return trained
 
 
+def _ranking(t, trained, keys, label, loss):
+    """Permutation importance, one row per feature, computed before the matrix is released."""
+    found = imp.permutation_importance(trained.model, trained.test, trained.features, keys, label, loss, n_repeats=2)
+    rows, schema = found.collect(), found.schema
+    _released(trained)
+    return t.spark.createDataFrame(rows, schema)
+
+
 def _metrics(t, trained):
     rows = sorted(_released(trained).metrics.items())
     return t.spark.createDataFrame([(trained.name, k, None if v is None else float(v)) for k, v in rows], "model string, metric string, value double")
@@ -60,17 +68,19 @@ def m_train_tier(t):
 
 @query("m_permutation")
 def m_permutation(t):
-    m = _demand(t)
-    return imp.permutation_importance(
-        m.model, m.test, m.features, ["product_id", "sale_date"], "label", imp.mae_loss("label"), n_repeats=2
-    )
+    return _ranking(t, _demand(t), ["product_id", "sale_date"], "label", imp.mae_loss("label"))
+
+
+@query("m_permutation_delay")
+def m_permutation_delay(t):
+    m = tr.train_delay(series.f_supplier_risk(t), SMALL_DELAY)
+    return _ranking(t, m, ["supplier_id", "year_month", "risk_id"], "delay_probability", imp.mae_loss("delay_probability", 0, 1))
 
 
 @query("m_permutation_auc")
 def m_permutation_auc(t):
-    m = _stockout(t)
     loss = imp.auc_loss("label", lambda: vector_to_array(F.col("probability"))[1])
-    return imp.permutation_importance(m.model, m.test, m.features, ["inventory_id"], "label", loss, n_repeats=2)
+    return _ranking(t, _stockout(t), ["inventory_id"], "label", loss)
 
 
 @query("m_native_importance")
@@ -81,7 +91,7 @@ def m_native_importance(t):
 
 @query("m_explain")
 def m_explain(t):
-    m = _stockout(t)
+    m = _released(_stockout(t))
     return imp.explain(m.test, m.model, m.features).select("inventory_id", "prediction", "top_features")
 
 
@@ -109,4 +119,8 @@ def i_score_supplier(t):
 @query("m_report")
 def m_report(t):
     df = series.f_supplier_risk(t)
-    return tr.report([tr.train_delay(df, SMALL_DELAY), tr.train_tier(df, SMALL_TIER)])
+    found = [tr.train_delay(df, SMALL_DELAY), tr.train_tier(df, SMALL_TIER)]
+    out = tr.report(found)
+    for m in found:
+        _released(m)
+    return out

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from depotkit.functions import scalar as fn
 from depotkit.operators.ordering import row_index
 from depotkit.operators.relational import top_k
 
 
-def _shuffle_of(n: int, repeat: int, seed: int) -> tuple[int, int]:
-    """Multiplier and offset of the permutation i -> (a * i + b) mod n; a shares no factor with n."""
-    a = 1_000_003 + 7_919 * (seed + 31 * repeat)
-    while math.gcd(a, n) != 1:
-        a += 1
-    return a, (seed * 104_729 + repeat * 15_485_863) % n
+def permutations(indexed: DataFrame, n: int, n_repeats: int, seed: int) -> DataFrame:
+    """(_i, repeat, _j): for each repeat a random permutation of the ``n`` positions ``_i``.
+
+    Positions are ordered by a seeded hash; one range-partitioned ordering serves all repeats, as
+    repeat r fills the places from r * n on.
+    """
+    dealt = indexed.select("_i", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat"))
+    dealt = dealt.withColumn("_hash", F.xxhash64("_i", "repeat", F.lit(seed)))
+    placed = row_index(dealt, [F.col(c).asc() for c in ("repeat", "_hash", "_i")], "_place")
+    return placed.select("_i", "repeat", (F.col("_place") - F.col("repeat") * F.lit(n)).alias("_j"))
 
 
 def permutation_importance(
@@ -35,9 +39,8 @@ def permutation_importance(
     """Mean and deviation of the loss increase when one feature column is permuted.
 
     ``loss(scored, by)`` returns columns ``by`` and ``loss`` (larger is worse). One job
-    scores every (repeat, feature) copy: rows meet their permuted partner by row index in
-    one join per repeat, then fan out to one copy per feature inside the task that scores
-    and pre-aggregates them.
+    scores every (repeat, feature) copy: rows meet their permuted partners by row index, then
+    fan out to one copy per feature inside the task that scores and pre-aggregates them.
     """
     columns = [F.col(f"`{c}`") for c in features]
     rows = test.select(*keys, label, *columns)
@@ -45,11 +48,8 @@ def permutation_importance(
     n = indexed.count()
     vector = F.array(*columns)
     donors = indexed.select(F.col("_i").alias("_j"), vector.alias("_other"))
-    plans = [_shuffle_of(n, r, seed) for r in range(n_repeats)]
-    partner = F.array(
-        *[F.struct(F.lit(r).alias("repeat"), F.pmod(F.col("_i") * a + b, F.lit(n)).alias("_j")) for r, (a, b) in enumerate(plans)]
-    )
-    paired = indexed.select(label, vector.alias("_own"), F.inline(partner)).join(donors, "_j")
+    own = indexed.select("_i", label, vector.alias("_own"))
+    paired = permutations(indexed, n, n_repeats, seed).join(own, "_i").join(donors, "_j")
     copies = paired.select(
         label, "repeat", "_own", "_other", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("feature")
     )
@@ -66,9 +66,10 @@ def permutation_importance(
     return top_k(named, F.col("importance"), top_n, ["feature"])
 
 
-def mae_loss(label: str) -> Callable[[DataFrame, list[str]], DataFrame]:
+def mae_loss(label: str, lo: float | None = None, hi: float | None = None) -> Callable[[DataFrame, list[str]], DataFrame]:
+    """Mean absolute error per group, of predictions clipped to the given bounds."""
     def loss(scored: DataFrame, by: list[str]) -> DataFrame:
-        return scored.groupBy(*by).agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("loss"))
+        return scored.groupBy(*by).agg(F.avg(F.abs(F.col(label) - fn.clip("prediction", lo, hi))).alias("loss"))
 
     return loss
 

@@ -87,11 +87,16 @@ def test_time_folds_never_train_on_the_future(spark):
     assert d[~d.t].day.max() < d[d.t].day.min()
 
 
-def test_permutation_is_a_bijection():
-    for n in (1, 2, 97, 1000, 1_000_003):
-        a, b = imp._shuffle_of(n, 3, 42)
-        some = n if n <= 1000 else 5000
-        assert len({(a * i + b) % n for i in range(some)}) == some
+@pytest.mark.parametrize("n", [1, 2, 100, 200, 600, 133_260])
+def test_permutations_are_random_bijections(spark, n):
+    got = imp.permutations(spark.range(n).withColumnRenamed("id", "_i"), n, 2, 42).toPandas()
+    for _, one in got.groupby("repeat"):
+        one = one.sort_values("_i")
+        assert sorted(one._j) == list(range(n))
+        if n >= 100:
+            steps = (one._j - one._i) % n
+            assert steps.value_counts().iloc[0] < n / 10  # no fixed stride
+            assert abs(np.corrcoef(one._i, one._j)[0, 1]) < 0.3
 
 
 def test_permutation_importance_finds_the_feature_that_matters(spark):
