@@ -314,10 +314,7 @@ STOCKOUT_COLUMNS = (
 )
 
 
-@query(
-    "f_stockout",
-    STOCKOUT_COLUMNS,
-    f"""with {_LABEL},
+_STOCKOUT_SQL = f"""with {_LABEL},
       demand as (select product_id, sale_date, sum(case when is_returned then 0 else quantity_sold end) as y
         from {{sales}} group by product_id, sale_date),
       base as (select s.*, coalesce(y, 0)::double as daily_demand, (quantity_on_hand = 0)::int as is_zero_stock,
@@ -337,12 +334,20 @@ STOCKOUT_COLUMNS = (
         least(10, demand_mean_7d / (quantity_on_hand + 1e-9)) as demand_to_stock_ratio,
         future_min_stock, stockout_in_horizon, {calendar_sql('r.snapshot_date')}
         from runs r left join label l on r.product_id = l.product_id and r.snapshot_date = l.snapshot_date
-        where demand_mean_7d is not null)""",
-)
+        where demand_mean_7d is not null)"""
+
+
+@query("f_stockout", STOCKOUT_COLUMNS, _STOCKOUT_SQL)
 def f_stockout(t):
     return features.stockout_features(stock(t), transform_sales(t.sales), t.brands)
 
 
+@query("f_stockout_blocks", STOCKOUT_COLUMNS, _STOCKOUT_SQL)
+def f_stockout_blocks(t):
+    """The path of very long series: each product is cut into many blocks."""
+    return features.stockout_features(stock(t), transform_sales(t.sales), t.brands, max_series_rows=40)
+
+
 _REGIONS = ("Africa", "Americas", "Asia", "Europe", "Middle East")
 SUPPLIER_COLUMNS = (
     "i:supplier_id d:year_month r:delay_probability r:avg_delay_days_pred risk_tier r:composite_risk_score "
@@ -354,10 +359,7 @@ SUPPLIER_COLUMNS = (
 )
 
 
-@query(
-    "f_supplier_risk",
-    SUPPLIER_COLUMNS,
-    f"""with {RISK},
+_SUPPLIER_SQL = f"""with {RISK},
       rolled as (select *, period as year_month, {_trail('avg', 'hist_mean_delay_days', 3)} as rolling_delay_mean_3m,
         coalesce({_trail('stddev_samp', 'hist_mean_delay_days', 3)}, 0) as rolling_delay_std_3m,
         {_trail('avg', 'hist_on_time_rate', 3)} as rolling_on_time_rate_3m,
@@ -372,7 +374,14 @@ SUPPLIER_COLUMNS = (
         country, region, {TIER_CODE} as risk_tier_encoded, reliability_score * hist_on_time_rate as reliability_x_ontime,
         hist_delay_variance * hist_mean_delay_days as delay_var_x_mean,
         {", ".join(f"(region = '{r}')::int as {chr(34)}region_{r}{chr(34)}" for r in _REGIONS)}
-        from rolled r left join {{suppliers}} s on r.supplier_id = s.supplier_id)""",
-)
+        from rolled r left join {{suppliers}} s on r.supplier_id = s.supplier_id)"""
+
+
+@query("f_supplier_risk", SUPPLIER_COLUMNS, _SUPPLIER_SQL)
 def f_supplier_risk(t):
     return features.supplier_risk_features(risk_scores(t), t.suppliers)
+
+
+@query("f_supplier_risk_blocks", SUPPLIER_COLUMNS, _SUPPLIER_SQL)
+def f_supplier_risk_blocks(t):
+    return features.supplier_risk_features(risk_scores(t), t.suppliers, max_series_rows=4)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from depotkit.functions.scalar import ColumnLike, col
+from depotkit.operators.ordering import row_index
 from depotkit.session import cut_lineage
 
 UNB, NEXT = Window.unboundedPreceding, Window.unboundedFollowing
@@ -167,11 +168,10 @@ def series(
     """Prepare row frames that look back ``lookback`` rows, ordered by cell, then tiebreak.
 
     Up to ``max_rows`` rows per entity one window task per entity is fine. Beyond that,
-    positions come from counts per (entity, cell) plus the rank inside a cell, and the
-    entity is cut into blocks of ``max_rows`` rows; each block also receives the
-    ``lookback`` rows before it, marked ``_halo``. Cells (days, months) bound the number
-    of count rows per entity by the calendar. ``measured`` may name a cheaper table with
-    the same entities and cells, row for row, to count on.
+    positions come from a range partitioning by (entity, cell, tiebreak), which splits a hot
+    entity or cell like any other rows, and the entity is cut into blocks of ``max_rows``
+    rows; each block also receives the ``lookback`` rows before it, marked ``_halo``.
+    ``measured`` may name a cheaper table with the same entities, row for row, to count on.
     """
     longest = longest_series(df if measured is None else measured, entity)
     if longest <= max_rows:
@@ -181,17 +181,10 @@ def series(
         )
         return Series(frame, w, entity, False)
     size = max(max_rows, lookback)
-    upto = Window.partitionBy("_e").orderBy(F.col("_c").asc_nulls_last()).rowsBetween(UNB, -1)
-    offsets = (
-        (df if measured is None else measured)
-        .groupBy(F.col(entity).alias("_e"), F.col(cell).alias("_c"))
-        .agg(F.count("*").alias("_n"))
-        .select("_e", "_c", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy(entity, cell).orderBy(*tiebreak)
-    same = F.col(entity).eqNullSafe(F.col("_e")) & F.col(cell).eqNullSafe(F.col("_c"))
-    placed = df.join(offsets, same).drop("_e", "_c")
-    placed = placed.withColumn("_pos", F.col("_offset") + F.row_number().over(inside))
+    ordered = row_index(df, [F.col(entity).asc(), F.col(cell).asc_nulls_last(), *[F.col(c).asc() for c in tiebreak]], "_row")
+    firsts = ordered.groupBy(F.col(entity).alias("_e")).agg(F.min("_row").alias("_first"))
+    placed = ordered.join(firsts, F.col(entity).eqNullSafe(F.col("_e")))
+    placed = placed.withColumn("_pos", F.col("_row") - F.col("_first") + 1).drop("_row", "_first", "_e")
     block = F.floor((F.col("_pos") - 1) / size)
     near_end = (F.col("_pos") - 1) % size >= size - lookback
     copies = F.array_compact(
@@ -200,7 +193,7 @@ def series(
             F.when(near_end, F.struct((block + 1).alias("_block"), F.lit(True).alias("_halo"))),
         )
     )
-    frame = placed.drop("_offset").select("*", F.inline(copies))
+    frame = placed.select("*", F.inline(copies))
     # Written once: the break summary of run_length reads the same rows again.
     frame = cut_lineage(frame)
     return Series(frame, Window.partitionBy(entity, "_block").orderBy("_pos"), entity, True)
