@@ -53,12 +53,36 @@ def integer(c: ColumnLike) -> Column:
     return col(c).try_cast("decimal(38,9)").try_cast("long")
 
 
+def whole_number(c: ColumnLike) -> Column:
+    """Text or number to long if it is a whole number that fits, else NULL."""
+    exact = col(c).try_cast("decimal(38,9)")
+    return F.when(exact == F.floor(exact), exact.try_cast("long"))
+
+
+def text_id(c: ColumnLike) -> Column:
+    """An id kept as text; whole numbers are written alike, blanks are NULL."""
+    text = F.trim(col(c).cast("string"))
+    return F.coalesce(whole_number(c).cast("string"), F.nullif(text, F.lit("")))
+
+
 def day(c: ColumnLike) -> Column:
     return col(c).try_cast("date")
 
 
 def utc_timestamp(c: ColumnLike) -> Column:
-    return col(c).try_cast("timestamp")
+    """Text or timestamp to timestamp; text without a zone is read as UTC, whatever the session's zone."""
+    x = col(c)
+    text = x.cast("string")
+    as_utc = [F.concat(text, F.lit(zone)).try_cast("timestamp") for zone in ("Z", " 00:00:00Z")]
+    return F.when(F.typeof(x) == "string", F.coalesce(*as_utc, x.try_cast("timestamp"))).otherwise(x.try_cast("timestamp"))
+
+
+def utc_day(c: ColumnLike) -> Column:
+    """The day of a timestamp in UTC, whatever the session's zone; a day stays as it is."""
+    x = col(c)
+    seconds = F.unix_seconds(x.cast("timestamp"))
+    in_utc = F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
+    return F.when(F.typeof(x) == "timestamp", in_utc).otherwise(x.cast("date"))
 
 
 def truth_token(c: ColumnLike) -> Column:
@@ -113,8 +137,8 @@ def weekday0(d: ColumnLike) -> Column:
 
 
 def month_of(ts: ColumnLike) -> Column:
-    """First day of the month of a day or timestamp, read in the session zone (UTC)."""
-    return F.trunc(col(ts).cast("date"), "MM")
+    """First day of the month of a day or timestamp, the latter in UTC."""
+    return F.trunc(utc_day(ts), "MM")
 
 
 def calendar(d: ColumnLike) -> dict[str, Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,12 +56,37 @@ def _parsed(df: DataFrame, parse: Callable[[str], Column], columns: Sequence[str
     return df.withColumns({c: parse(c) for c in present}) if present else df
 
 
-def _integers(df: DataFrame, *columns: str) -> DataFrame:
-    return _parsed(df, fn.integer, columns)
+#: Id columns of each table. Names are shared between tables that refer to each other.
+IDS = {
+    "products": ("product_id",),
+    "suppliers": ("supplier_id",),
+    "sales": ("sale_id", "product_id"),
+    "inventory": ("inventory_id", "product_id"),
+    "forecasts": ("forecast_id", "product_id"),
+    "risk_scores": ("risk_id", "supplier_id"),
+}
+
+
+def text_ids(tables: Mapping[str, DataFrame]) -> set[str]:
+    """Id columns that hold anything but whole numbers in any of the tables: these must stay text
+    in all of them, as distinct ids would fold into one NULL. One aggregate per table."""
+    found: set[str] = set()
+    for name, df in tables.items():
+        columns = [c for c in IDS.get(name, ()) if c in df.columns]
+        if columns:
+            odd = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).isNotNull() & fn.whole_number(c).isNull()
+            counts = df.agg(*[F.count_if(odd(c)).alias(c) for c in columns]).first()
+            found |= {c for c in columns if counts[c]}
+    return found
+
+
+def _ids(df: DataFrame, table: str, as_text: Collection[str]) -> DataFrame:
+    present = [c for c in IDS[table] if c in df.columns]
+    return df.withColumns({c: (fn.text_id if c in as_text else fn.integer)(c) for c in present}) if present else df
 
 
-def clean_products(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
-    d = _integers(keep_one(df, ["product_id"], order), "product_id")
+def clean_products(df: DataFrame, order: Sequence[str | Column] = (), as_text: Collection[str] = ()) -> DataFrame:
+    d = _ids(keep_one(df, ["product_id"], order), "products", as_text)
     d = _parsed(
         d, fn.number, ("unit_cost", "unit_price", "lead_time_days", "reorder_point", "reorder_quantity")
     )
@@ -77,8 +102,8 @@ def clean_products(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFra
     return _parsed(d, fn.day, ("created_at", "updated_at"))
 
 
-def clean_suppliers(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
-    d = _integers(keep_one(df, ["supplier_id"], order), "supplier_id")
+def clean_suppliers(df: DataFrame, order: Sequence[str | Column] = (), as_text: Collection[str] = ()) -> DataFrame:
+    d = _ids(keep_one(df, ["supplier_id"], order), "suppliers", as_text)
     d = d.withColumns(
         {
             "reliability_score": fn.clip(F.coalesce(fn.number("reliability_score"), F.lit(5.0)), 0, 10),
@@ -89,16 +114,14 @@ def clean_suppliers(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFr
     return _parsed(d, fn.day, ("onboarded_at", "created_at", "updated_at"))
 
 
-def clean_sales(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
+def clean_sales(df: DataFrame, order: Sequence[str | Column] = (), as_text: Collection[str] = ()) -> DataFrame:
     """Caps use the rows before de-duplication, and the lower bound of 1 follows the cap.
 
     The caps themselves are applied behind the shuffle of the de-duplication: fewer rows,
     and two small generated stages instead of one too large to be compiled.
     """
-    d = df.withColumns(
+    d = _ids(df, "sales", as_text).withColumns(
         {
-            "sale_id": fn.integer("sale_id"),
-            "product_id": fn.integer("product_id"),
             "sale_date": fn.day("sale_date"),
             "quantity_sold": fn.number("quantity_sold"),
             "unit_price": fn.number("unit_price"),
@@ -119,11 +142,9 @@ def clean_sales(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
     )
 
 
-def clean_inventory(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
-    d = df.withColumns(
+def clean_inventory(df: DataFrame, order: Sequence[str | Column] = (), as_text: Collection[str] = ()) -> DataFrame:
+    d = _ids(df, "inventory", as_text).withColumns(
         {
-            "inventory_id": fn.integer("inventory_id"),
-            "product_id": fn.integer("product_id"),
             "snapshot_date": fn.day("snapshot_date"),
             "quantity_on_hand": fn.number("quantity_on_hand"),
             "quantity_reserved": F.coalesce(fn.number("quantity_reserved"), F.lit(0.0)),
@@ -138,8 +159,8 @@ def clean_inventory(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFr
     ).withColumn("quantity_reserved", F.least("quantity_on_hand", "quantity_reserved"))
 
 
-def clean_forecasts(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
-    d = _integers(df, "forecast_id", "product_id", "horizon_days")
+def clean_forecasts(df: DataFrame, order: Sequence[str | Column] = (), as_text: Collection[str] = ()) -> DataFrame:
+    d = _parsed(_ids(df, "forecasts", as_text), fn.integer, ("horizon_days",))
     d = _parsed(d, fn.day, ("forecast_date", "generated_at"))
     d = _parsed(
         d,
@@ -155,7 +176,7 @@ def clean_forecasts(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFr
     return keep_one(d, ["forecast_id"], order)
 
 
-def clean_risk_scores(df: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
+def clean_risk_scores(df: DataFrame, order: Sequence[str | Column] = (), as_text: Collection[str] = ()) -> DataFrame:
     bounds = {
         "delay_probability": (0, 1),
         "composite_risk_score": (0, 100),
@@ -164,7 +185,7 @@ def clean_risk_scores(df: DataFrame, order: Sequence[str | Column] = ()) -> Data
         "hist_delay_variance": (0, None),
         "avg_delay_days_pred": (0, None),
     }
-    d = _integers(df, "risk_id", "supplier_id", "orders_evaluated")
+    d = _parsed(_ids(df, "risk_scores", as_text), fn.integer, ("orders_evaluated",))
     d = _parsed(d, fn.utc_timestamp, ("scored_at",))
     d = _parsed(d, lambda c: fn.clip(fn.number(c), *bounds[c]), tuple(bounds))
     d = d.withColumn("risk_tier", fn.whitelisted("risk_tier", fn.RISK_TIERS, "medium"))
@@ -182,5 +203,6 @@ CLEANERS: dict[str, Callable[..., DataFrame]] = {
 
 
 def clean_all(raw: dict[str, DataFrame], order: Sequence[str | Column] = ()) -> dict[str, DataFrame]:
-    """Clean every known table; other tables pass through."""
-    return {t: CLEANERS[t](df, order) if t in CLEANERS else df for t, df in raw.items()}
+    """Clean every known table; other tables pass through. Ids that are not all whole numbers stay text."""
+    as_text = text_ids(raw)
+    return {t: CLEANERS[t](df, order, as_text) if t in CLEANERS else df for t, df in raw.items()}

@@ -34,14 +34,6 @@ def transform_inventory(inventory: DataFrame, products: DataFrame) -> DataFrame:
     return d.withColumn("is_below_reorder", fn.below("quantity_available", "reorder_point"))
 
 
-def transform_all(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        **clean,
-        "sales": transform_sales(clean["sales"]),
-        "inventory": transform_inventory(clean["inventory"], clean["products"]),
-    }
-
-
 def demand_features(
     sales: DataFrame,
     products: DataFrame,

@@ -9,9 +9,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotkit.ml import importance as imp, train as tr
+from depotkit.ml import evaluate as ev, importance as imp, train as tr
 from depotkit.operators import quality as qa, relational as rel
-from depotkit.operators.cleaning import CLEANERS
+from depotkit.operators.cleaning import clean_all
 from depotkit.plans import features
 from depotkit.schemas import CONTRACTS, LOAD_ORDER
 from depotkit.sources import readers, sinks
@@ -75,11 +75,11 @@ def run_etl(
     written: dict[str, DataFrame] = {}
     derived: dict[str, bool] = {}
     counts: dict[str, int] = {}
-    order = readers.arrival_order()
+    cleaned = clean_all(staged, readers.arrival_order())
     load_rows = []
     # Parents come first, as inventory reads the clean products.
     for t in names:
-        clean = CLEANERS[t](staged[t], order).drop(*readers.ARRIVAL) if t in CLEANERS else staged[t].drop(*readers.ARRIVAL)
+        clean = cleaned[t].drop(*readers.ARRIVAL)
         if t == "sales":
             clean = features.transform_sales(clean)
         elif t == "inventory":
@@ -109,11 +109,13 @@ def run_etl(
 TARGETS = {"demand": "daily_demand", "stockout": "stockout_in_horizon", "supplier_risk": "delay_probability"}
 
 
-def run_features(spark: SparkSession, work_dir: str, save: bool = True) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Build the three feature tables from the clean layer; returns them and their profiles."""
+def run_features(
+    spark: SparkSession, work_dir: str, save: bool = True, fmt: str = "parquet"
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Build the three feature tables from the clean layer in ``fmt``; returns them and their profiles."""
     work_dir = work_dir.rstrip("/")
     clean = {
-        t: readers.read_clean(spark, t, f"{work_dir}/clean")
+        t: readers.read_clean(spark, t, f"{work_dir}/clean", fmt)
         for t in ("products", "suppliers", "sales", "inventory", "risk_scores")
     }
     sets = {
@@ -163,6 +165,10 @@ def run_models(
             stockout.model, stockout.test, stockout.features, ["inventory_id"], "label",
             imp.auc_loss("label", probability), n_repeats,
         ),
+        delay.name: imp.permutation_importance(
+            delay.model, delay.test, delay.features, ["supplier_id", "year_month", "risk_id"], "delay_probability",
+            imp.mae_loss("delay_probability", 0, 1), n_repeats,
+        ),
     }
     for r in results:
         sinks.save_model(r.model, models, r.name)
@@ -173,7 +179,25 @@ def run_models(
             artefacts.append(f"{r.name}_importance")
         sinks.log_run(spark, outputs, uuid.uuid4().hex, "supply_chain", r.params, r.metrics, artefacts)
     sinks.write_importance(imp.native_importance(stockout.model, stockout.features), outputs, f"{stockout.name}_native")
+    for name, table in evaluation_tables(demand, stockout, delay, tier).items():
+        sinks.write_table(table, name, f"{outputs}/evaluation")
     summary = tr.report(results)
     for r in results:
         r.extra["data"].unpersist()
     return results, summary
+
+
+def evaluation_tables(demand: tr.Trained, stockout: tr.Trained, delay: tr.Trained, tier: tr.Trained) -> dict[str, DataFrame]:
+    """Tables on the hold-out rows: class reports, confusion counts, ROC points, histograms of
+    probabilities by label and of residuals."""
+    flagged = stockout.test.select("label", "prediction", vector_to_array("probability")[1].alias("probability"))
+    out = {}
+    for name, scored, label in ((stockout.name, flagged, "label"), (tier.name, tier.test, "tier_label")):
+        out[f"{name}_class_report"] = ev.class_report(scored, label, "prediction")
+        out[f"{name}_confusion"] = ev.confusion(scored, label, "prediction")
+    out[f"{stockout.name}_roc"] = ev.roc_points(flagged, "label", "probability")
+    out[f"{stockout.name}_histogram"] = ev.histogram(flagged, "probability", 40, ["label"])
+    for r, label in ((demand, "label"), (delay, "delay_probability")):
+        residuals = r.test.select((F.col(label) - F.col("prediction")).alias("residual"))
+        out[f"{r.name}_residuals"] = ev.histogram(residuals, "residual", 50)
+    return out

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depotkit.schemas import CONTRACTS, RAW_COLUMNS
+from depotkit.schemas import CONTRACTS
 
 # Where a raw row stood: file, split, and running number inside the split.
 ARRIVAL = ("_file", "_offset", "_line")
@@ -17,11 +19,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def raw_schema(table: str) -> T.StructType:
-    """All text: dirty values must survive the scan to be counted, then coerced by the cleaner."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[table].split()])
-
-
 def read_raw(spark: SparkSession, table: str, folder: str, arrival: bool = False) -> DataFrame:
     """CSV scan of ``<folder>/<table>.csv`` (a file or a folder of parts).
 
@@ -54,6 +51,11 @@ def read_all_raw(
     return {t: read_raw(spark, t, folder, arrival) for t in (tables or list(CONTRACTS))}
 
 
+def types_path(folder: str, name: str) -> str:
+    """Where the types of a table without own types are kept."""
+    return f"{folder.rstrip('/')}/_types/{name}"
+
+
 def read_layer(spark: SparkSession, name: str, folder: str, made_by: str, fmt: str = "parquet") -> DataFrame:
     """A table of the clean or feature layer; a missing one names the step that writes it."""
     path = f"{folder.rstrip('/')}/{name}"
@@ -61,7 +63,8 @@ def read_layer(spark: SparkSession, name: str, folder: str, made_by: str, fmt: s
         raise FileNotFoundError(f"{path} not found. Run {made_by} first.")
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        types = spark.read.text(types_path(folder, name)).first()
+        reader = reader.option("header", True).schema(T.StructType.fromJson(json.loads(types["value"])))
     return reader.load(path)
 
 

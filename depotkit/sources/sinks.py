@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotkit.schemas import LOAD_ORDER
+from depotkit.sources import readers
 
 # Day column that partitions each large table, by month.
 PARTITION_DAY = {
@@ -37,6 +38,9 @@ def write_table(df: DataFrame, name: str, folder: str, fmt: str = "parquet") ->
         writer = df.write
     if fmt == "csv":
         writer = writer.option("header", True)
+        # text files carry no types: readers find them beside the table
+        types = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+        types.write.mode("overwrite").text(readers.types_path(folder, name))
     writer.mode("overwrite").format(fmt).save(path)
     reader = df.sparkSession.read.format(fmt)
     if fmt == "csv":

@@ -5,8 +5,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from depotkit.operators.cleaning import clean_all
 from depotkit.plans import pipeline
-from depotkit.schemas import LOAD_ORDER, RAW_COLUMNS
+from depotkit.schemas import CONTRACTS, LOAD_ORDER, RAW_COLUMNS
 from depotkit.sources import readers, sinks
 
 
@@ -64,6 +65,8 @@ def test_tables_features_models(spark, raw, tmp_path):
     names = {r.name for r in results}
     assert {r.model for r in report.collect()} == names and len(names) == 4
     assert 0 <= results[1].metrics["test_auc"] <= 1
+    made = {"stockout_prediction_v1_class_report", "supplier_risk_classifier_v1_confusion", "stockout_prediction_v1_roc", "demand_forecasting_v1_residuals"}
+    assert made <= set(os.listdir(f"{work}/model_outputs/evaluation"))
     runs = spark.read.parquet(f"{work}/model_outputs/runs")
     assert runs.select("run_id").distinct().count() == 4
     summary = spark.read.json(f"{work}/model_outputs/demand_forecasting_v1_summary").first()
@@ -102,3 +105,61 @@ def test_tables_in_any_order_and_alone(spark, raw, tmp_path):
     clean, audit = pipeline.run_etl(spark, raw, str(tmp_path / "alone"), ["inventory"])
     assert "quantity_available" not in clean["inventory"].columns
     assert audit.filter("stage = 'transform'").count() == 0
+
+
+def test_all_raw_tables_and_their_cleaning(spark, raw):
+    tables = readers.read_all_raw(spark, raw, arrival=True)
+    assert set(tables) == set(CONTRACTS)
+    clean = clean_all(tables, readers.arrival_order())
+    assert {t: clean[t].count() for t in ("products", "suppliers", "sales", "risk_scores")} == {
+        "products": 8, "suppliers": 4, "sales": 1999, "risk_scores": 96}
+
+
+def test_csv_layer_keeps_types(spark, raw, tmp_path):
+    work = str(tmp_path)
+    clean, _ = pipeline.run_etl(spark, raw, work, fmt="csv")
+    types = dict(clean["inventory"].dtypes)
+    assert (types["inventory_id"], types["snapshot_date"], types["is_below_reorder"]) == ("bigint", "date", "boolean")
+    sets, _ = pipeline.run_features(spark, work, save=False, fmt="csv")
+    assert {n: df.count() for n, df in sets.items()} == {"demand": 960, "stockout": 952, "supplier_risk": 96}
+
+
+def test_text_ids_stay_apart(spark, raw, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for name in ("products", "inventory", "sales"):
+        df = pd.read_csv(f"{raw}/{name}.csv", dtype=str, keep_default_na=False)
+        df["product_id"] = "P-" + df["product_id"]
+        if name == "sales":
+            df["sale_id"] = [f"{i}.5" for i in range(len(df))]
+        df.to_csv(folder / f"{name}.csv", index=False)
+    clean, _ = pipeline.run_etl(spark, str(folder), str(tmp_path / "out"), ["products", "inventory", "sales"])
+    assert clean["products"].count() == 8 and clean["sales"].count() == 2000
+    assert dict(clean["inventory"].dtypes)["product_id"] == "string"
+    assert clean["inventory"].join(clean["products"].select("product_id"), "product_id").count() == 960
+
+
+def test_whole_ids_of_any_spelling_are_one(spark):
+    from depotkit.functions import scalar as fn
+
+    rows = [("7",), (" 7.0 ",), ("9007199254740993",), ("x",), ("",), (None,), ("7.5",), ("1e30",)]
+    df = spark.createDataFrame(rows, "i string")
+    assert [r[0] for r in df.select(fn.text_id("i")).collect()] == ["7", "7", "9007199254740993", "x", None, None, "7.5", "1e30"]
+    assert [r[0] for r in df.select(fn.whole_number("i")).collect()] == [7, 7, 9007199254740993, None, None, None, None, None]
+
+
+def test_months_do_not_depend_on_the_session_zone(spark):
+    from depotkit.functions import scalar as fn
+
+    texts = ["2024-03-01T00:00:00Z", "2024-03-01 00:30:00", "2024-03-01", "2024-03-01T01:00:00+02:00", "2024-02-29T23:59:59.9Z", "junk", None]
+    want = ["2024-03-01"] * 3 + ["2024-02-01"] * 2 + [None, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("America/Los_Angeles", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            got = df.select(fn.month_of(fn.utc_timestamp("t")).cast("string"), fn.month_of(fn.day("t")).cast("string")).collect()
+            assert [r[0] for r in got] == want
+            assert got[2][1] == "2024-03-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
