@@ -137,12 +137,13 @@ def _matrix(column) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, v): vectors in double precision that are not null, empty or zero, hold no null or
-    non-finite component, and have a usable norm; ids are not null."""
-    v = F.col(embedding).cast("array<double>")
-    own = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
+    """(vec_id, v): vectors that are not null, empty or zero, hold no null or non-finite component,
+    and have a usable norm in double precision; ids are not null. Single-precision vectors stay so,
+    which halves what is moved; whoever computes with them widens them first."""
+    kept = "array<float>" if vectors.select(embedding).dtypes[0][1] == "array<float>" else "array<double>"
+    own = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast(kept).alias("v"))
     sound = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
-    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return own.filter("vec_id is not null and v is not null and size(v) > 0").filter(sound & (squares > 0) & (squares < float("inf")))
 
 
@@ -170,7 +171,7 @@ def nearest(
     their own, as candidates and as queries. No usable vector, no rows.
     """
     spark = vectors.sparkSession
-    own = written(usable(vectors, vec_id, embedding), "vectors")
+    own = usable(vectors, vec_id, embedding)
     asked = usable(queries, vec_id, embedding)
     sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(ROUTER_SAMPLE).toArrow()
     result = "query_id long, rank int, vec_id long, score double"
@@ -204,8 +205,9 @@ def nearest(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some[row]), batch.column(1).take(pa.array(at + row)), pa.array(cell), pa.array(reach[row])], ["query_id", "v", "cell", "reach"])
 
-    dealt = written(own.mapInArrow(deal, "vec_id long, v array<double>, cell long"), "cells")
-    routed = written(asked.mapInArrow(route, "query_id long, v array<double>, cell long, reach double"), "routed")
+    kept, asked_as = own.dtypes[1][1], asked.dtypes[1][1]
+    dealt = written(own.mapInArrow(deal, f"vec_id long, v {kept}, cell long"), "cells")
+    routed = written(asked.mapInArrow(route, f"query_id long, v {asked_as}, cell long, reach double"), "routed")
     parts = lambda df, size, name: df.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
     plan = written(parts(dealt, shard_rows, "shards").join(parts(routed, block_queries, "blocks"), "cell"), "shards")
 
