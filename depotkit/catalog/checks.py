@@ -491,7 +491,7 @@ def c_clean_products(t):
 
 @query(
     "c_clean_suppliers",
-    "i:supplier_id supplier_name country region r:reliability_score r:payment_terms_days is_active "
+    "i:supplier_id supplier_name contact_email country region r:reliability_score r:payment_terms_days is_active "
     "d:onboarded_at d:created_at d:updated_at",
     """select * replace (
             greatest(0, least(10, coalesce(try_cast(reliability_score as double), 5))) as reliability_score,
@@ -556,15 +556,15 @@ def c_clean_inventory(t):
 @query(
     "c_clean_forecasts",
     "i:forecast_id i:product_id d:forecast_date d:generated_at r:predicted_demand r:lower_bound_95 r:upper_bound_95 "
-    "r:actual_demand r:mae r:mape r:confidence_score",
-    """with typed as (select forecast_id, product_id, try_cast(forecast_date as date) as forecast_date,
+    "r:actual_demand r:mae r:mape r:confidence_score model_name model_version i:horizon_days",
+    """with typed as (select forecast_id, product_id, model_name, model_version, horizon_days, try_cast(forecast_date as date) as forecast_date,
              try_cast(generated_at as date) as generated_at,
              greatest(0, try_cast(predicted_demand as double)) as p, try_cast(predicted_demand as double) as raw_p,
              try_cast(lower_bound_95 as double) as lo, try_cast(upper_bound_95 as double) as hi,
              try_cast(actual_demand as double) as actual_demand, try_cast(mae as double) as mae,
              try_cast(mape as double) as mape,
              greatest(0, least(1, try_cast(confidence_score as double))) as confidence_score from {forecasts_raw}),
-       kept as (select forecast_id, product_id, forecast_date, generated_at, p as predicted_demand,
+       kept as (select forecast_id, product_id, model_name, model_version, horizon_days, forecast_date, generated_at, p as predicted_demand,
              least(lo, p) as lower_bound_95, greatest(hi, p) as upper_bound_95, actual_demand, mae, mape,
              confidence_score from typed
              where forecast_date is not null and product_id is not null and raw_p is not null),
@@ -583,8 +583,9 @@ def _between(c: str, hi: int | None) -> str:
 @query(
     "c_clean_risk",
     "i:risk_id i:supplier_id d:scored_on r:delay_probability r:avg_delay_days_pred risk_tier r:composite_risk_score "
-    "r:hist_mean_delay_days r:hist_delay_variance r:hist_on_time_rate i:orders_evaluated",
-    f"""with typed as (select risk_id, supplier_id, cast(substr(scored_at, 1, 10) as date) as scored_on,
+    "r:hist_mean_delay_days r:hist_delay_variance r:hist_on_time_rate i:orders_evaluated "
+    "model_name model_version recommended_action created_at",
+    f"""with typed as (select risk_id, supplier_id, model_name, model_version, recommended_action, created_at, cast(substr(scored_at, 1, 10) as date) as scored_on,
              {_between('delay_probability', 1)}, {_between('avg_delay_days_pred', None)}, {_TIER} as risk_tier,
              {_between('composite_risk_score', 100)}, {_between('hist_mean_delay_days', None)},
              {_between('hist_delay_variance', None)}, {_between('hist_on_time_rate', 1)}, orders_evaluated from {{risk_raw}}),
@@ -595,3 +596,19 @@ def _between(c: str, hi: int | None) -> str:
 def c_clean_risk(t):
     order = ["supplier_id", "scored_at", "delay_probability", "avg_delay_days_pred"]
     return cl.clean_risk_scores(t.risk_raw, order).withColumn("scored_on", F.col("scored_at").cast("date"))
+
+
+@query(
+    "c_text_ids",
+    "sale_id i:product_id",
+    """select case when sale_id % 3 = 0 then concat('S-', cast(sale_id as varchar))
+              else cast(sale_id + 9007199254740992 as varchar) end as sale_id, min(product_id) as product_id
+       from {sales_raw}
+       where try_cast(sale_date as date) is not null and product_id is not null and try_cast(quantity_sold as double) > 0
+       group by sale_id""",
+)
+def c_text_ids(t):
+    """Ids that are not all numbers stay text, and those beyond 2^53 stay apart."""
+    beyond = (F.col("sale_id") + F.lit(9007199254740992)).cast("string")
+    named = F.when(F.col("sale_id") % 3 == 0, F.concat(F.lit("S-"), F.col("sale_id").cast("string"))).otherwise(beyond)
+    return cl.clean_all({"sales": t.sales_raw.withColumn("sale_id", named)})["sales"]

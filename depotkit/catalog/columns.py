@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from depotkit.catalog.registry import query
 from depotkit.functions import scalar as fn
+from depotkit.ml import score
 from depotkit.operators import relational as rel
 from depotkit.plans.features import transform_inventory, transform_sales
 
@@ -265,7 +266,18 @@ def p_month_trunc(t):
 def p_bounded_prediction(t):
     return t.predictions.select(
         "row_id",
-        fn.round_even(fn.clip(F.col("predicted") - 10, lo=0), 2).alias("demand"),
-        fn.round_even(fn.clip(F.col("predicted") / 25, 0, 1), 4).alias("probability"),
+        score.demand_value(F.col("predicted") - 10).alias("demand"),
+        score.delay_value(F.col("predicted") / 25).alias("probability"),
         fn.tier_label("tier").alias("label"),
     )
+
+
+@query(
+    "i_stockout_values",
+    "i:row_id r4:stockout_probability stockout_flag",
+    """select row_id, round_even(score * 0.99996 * 10000, 0) / 10000 as stockout_probability,
+         score * 0.99996 >= 0.5 as stockout_flag from {predictions}""",
+)
+def i_stockout_values(t):
+    """Scores just below the threshold round up to it and stay unflagged."""
+    return t.predictions.select("row_id", *score.stockout_values(F.col("score") * 0.99996))

@@ -9,6 +9,7 @@ from depotkit.functions import scalar as fn
 from depotkit.operators import relational as rel, windows as win
 from depotkit.operators.ordering import global_quantiles, group_quantiles
 from depotkit.plans.features import transform_sales
+from depotkit.schemas import RAW_COLUMNS
 
 
 @query(
@@ -167,18 +168,20 @@ def a_group_quantiles(t):
     return q.withColumnsRenamed({"unit_price_q0": "median", "unit_price_q1": "q90"})
 
 
+_SALES_RAW = RAW_COLUMNS["sales"]
+
+
 @query(
     "a_feature_profile",
     "i:rows i:columns r4:null_pct r:target_mean r:target_std r:target_min r:target_max",
-    """with q as (select sale_id, product_id, try_cast(quantity_sold as double) as y, channel, discount_pct from {sales_raw}),
-       out as (select count(*) as rows, 5 as columns,
-         ((count(*) - count(sale_id)) + (count(*) - count(product_id)) + (count(*) - count(y))
-          + (count(*) - count(channel)) + (count(*) - count(discount_pct))) * 100.0 / count(*) / 5 as null_pct,
-         avg(y) as target_mean, stddev_samp(y) as target_std, min(y) as target_min, max(y) as target_max from q)""",
+    f"""with q as (select * replace (try_cast(quantity_sold as double) as quantity_sold) from {{sales_raw}}),
+       out as (select count(*) as rows, {len(_SALES_RAW)} as columns,
+         ({" + ".join(f"(count(*) - count({c}))" for c in _SALES_RAW)}) * 100.0 / count(*) / {len(_SALES_RAW)} as null_pct,
+         avg(quantity_sold) as target_mean, stddev_samp(quantity_sold) as target_std, min(quantity_sold) as target_min,
+         max(quantity_sold) as target_max from q)""",
 )
 def a_feature_profile(t):
-    df = t.sales_raw.select("sale_id", "product_id", fn.number("quantity_sold").alias("y"), "channel", "discount_pct")
-    return rel.feature_profile(df, "y")
+    return rel.feature_profile(t.sales_raw.withColumn("quantity_sold", fn.number("quantity_sold")), "quantity_sold")
 
 
 def _profile(table, view, metrics, mix=None):

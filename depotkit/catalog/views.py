@@ -16,9 +16,10 @@ BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"
 
 # Country names by nation key.
 COUNTRIES = (
-    "Bangladesh India USA Germany Vietnam Indonesia Mexico UK China Pakistan France Spain Nigeria Brazil "
-    "Japan Canada Italy Poland Kenya Egypt Peru Chile Norway Turkey Ghana"
-).split()
+    "Bangladesh", "India", "USA", "Germany", "Vietnam", "Indonesia", "Mexico", "UK", "China", "Pakistan",
+    "France", "Spain", "Nigeria", "Brazil", "Japan", "Canada", "Italy", "Poland", "Kenya", "Egypt", "Peru",
+    "Chile", "Norway", "Turkey", "Ghana",
+)
 _COUNTRY_CASE = " ".join(f"when {i} then '{c}'" for i, c in enumerate(COUNTRIES))
 
 VIEWS: dict[str, str] = {

@@ -4,19 +4,33 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotkit.functions import scalar as fn
+from depotkit.functions.scalar import ColumnLike
 from depotkit.ml import train as tr
 
 
+def demand_value(prediction: ColumnLike) -> Column:
+    return fn.round_even(fn.clip(prediction, lo=0), 2)
+
+
+def stockout_values(probability: Column, threshold: float = 0.5) -> tuple[Column, Column]:
+    """The rounded probability and the flag, which compares the unrounded one."""
+    return fn.round_even(probability, 4).alias("stockout_probability"), (probability >= threshold).alias("stockout_flag")
+
+
+def delay_value(prediction: ColumnLike) -> Column:
+    return fn.round_even(fn.clip(prediction, 0, 1), 4)
+
+
 def score_demand(df: DataFrame, model: PipelineModel, features: list[str], name: str = "demand_forecasting_v1") -> DataFrame:
     scored = model.transform(tr.numeric(df, features, tr.MISSING))
     return scored.select(
         "product_id",
         "sale_date",
-        fn.round_even(fn.clip("prediction", lo=0), 2).alias("predicted_demand"),
+        demand_value("prediction").alias("predicted_demand"),
         F.lit(name).alias("model"),
     )
 
@@ -24,13 +38,10 @@ def score_demand(df: DataFrame, model: PipelineModel, features: list[str], name:
 def score_stockout(
     df: DataFrame, model: PipelineModel, features: list[str], threshold: float = 0.5, name: str = "stockout_prediction_v1"
 ) -> DataFrame:
-    """The flag compares the unrounded probability."""
-    p = vector_to_array("probability")[1]
     return model.transform(tr.numeric(df, features, 0.0)).select(
         "inventory_id",
         "product_id",
-        fn.round_even(p, 4).alias("stockout_probability"),
-        (p >= threshold).alias("stockout_flag"),
+        *stockout_values(vector_to_array("probability")[1], threshold),
         F.lit(name).alias("model"),
     )
 
@@ -51,7 +62,7 @@ def score_supplier(
     return both.select(
         "supplier_id",
         "year_month",
-        fn.round_even(fn.clip("_delay", 0, 1), 4).alias("delay_probability"),
+        delay_value("_delay").alias("delay_probability"),
         code.alias("risk_tier_encoded"),
         fn.tier_label(code).alias("risk_tier_label"),
         F.lit(delay_name).alias("model_reg"),

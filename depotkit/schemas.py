@@ -84,22 +84,38 @@ CONTRACTS: dict[str, Contract] = {
 }
 
 # Columns of the seven raw tables, in file order.
-RAW_COLUMNS: dict[str, str] = {
-    "products": "product_id sku product_name category sub_category unit_cost unit_price lead_time_days "
-    "reorder_point reorder_quantity is_active created_at updated_at",
-    "suppliers": "supplier_id supplier_name contact_email country region reliability_score "
-    "payment_terms_days is_active onboarded_at created_at updated_at",
-    "product_supplier": "id product_id supplier_id is_primary quoted_lead_time_days last_quoted_price "
-    "contract_start contract_end created_at",
-    "sales": "sale_id product_id sale_date quantity_sold unit_price channel region discount_pct "
-    "is_returned created_at",
-    "inventory": "inventory_id product_id snapshot_date warehouse_id quantity_on_hand quantity_reserved "
-    "reorder_triggered unit_cost_snapshot created_at",
-    "forecasts": "forecast_id product_id forecast_date generated_at model_name model_version "
-    "predicted_demand lower_bound_95 upper_bound_95 actual_demand mae mape confidence_score horizon_days",
-    "risk_scores": "risk_id supplier_id scored_at model_name model_version delay_probability "
-    "avg_delay_days_pred risk_tier composite_risk_score hist_mean_delay_days hist_delay_variance "
-    "hist_on_time_rate orders_evaluated shap_top_features recommended_action created_at",
+RAW_COLUMNS: dict[str, tuple[str, ...]] = {
+    "products": (
+        "product_id", "sku", "product_name", "category", "sub_category", "unit_cost", "unit_price",
+        "lead_time_days", "reorder_point", "reorder_quantity", "is_active", "created_at", "updated_at",
+    ),
+    "suppliers": (
+        "supplier_id", "supplier_name", "contact_email", "country", "region", "reliability_score",
+        "payment_terms_days", "is_active", "onboarded_at", "created_at", "updated_at",
+    ),
+    "product_supplier": (
+        "id", "product_id", "supplier_id", "is_primary", "quoted_lead_time_days", "last_quoted_price",
+        "contract_start", "contract_end", "created_at",
+    ),
+    "sales": (
+        "sale_id", "product_id", "sale_date", "quantity_sold", "unit_price", "channel", "region",
+        "discount_pct", "is_returned", "created_at",
+    ),
+    "inventory": (
+        "inventory_id", "product_id", "snapshot_date", "warehouse_id", "quantity_on_hand", "quantity_reserved",
+        "reorder_triggered", "unit_cost_snapshot", "created_at",
+    ),
+    "forecasts": (
+        "forecast_id", "product_id", "forecast_date", "generated_at", "model_name", "model_version",
+        "predicted_demand", "lower_bound_95", "upper_bound_95", "actual_demand", "mae", "mape",
+        "confidence_score", "horizon_days",
+    ),
+    "risk_scores": (
+        "risk_id", "supplier_id", "scored_at", "model_name", "model_version", "delay_probability",
+        "avg_delay_days_pred", "risk_tier", "composite_risk_score", "hist_mean_delay_days",
+        "hist_delay_variance", "hist_on_time_rate", "orders_evaluated", "shap_top_features",
+        "recommended_action", "created_at",
+    ),
 }
 
 # Fixed value: parents before children, the order rows may be inserted into a database.

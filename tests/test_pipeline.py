@@ -20,7 +20,7 @@ def raw(tmp_path_factory):
     cats = ["Electronics", "Apparel", "Food & Beverage", "Home & Garden"]
 
     def save(name, rows):
-        pd.DataFrame(rows, columns=RAW_COLUMNS[name].split()).to_csv(out / f"{name}.csv", index=False)
+        pd.DataFrame(rows, columns=RAW_COLUMNS[name]).to_csv(out / f"{name}.csv", index=False)
 
     products = [(p, f"S{p}", f"P{p}", cats[p % 4], "s", 5.0 + p, 15.0 * (p + 1), 3 + p, 30, 60, p != 3, "2023-01-01", "2024-01-01") for p in range(8)]
     save("products", products + [(0, "DUP", "late copy", cats[0], "s", 1, 1, 1, 1, 1, True, "", "")])
