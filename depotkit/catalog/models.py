@@ -1,7 +1,8 @@
 """Model queries. Fits are not expressible in SQL, so these carry no oracle.
 
-Each trains on the whole feature table of the folder with a small, fixed parameter set;
-presets and grids of full size are the defaults of the training functions.
+Each trains on the whole feature table of the folder, with all folds and repeats. The delay model
+uses its preset; the others use fewer and larger steps or fewer trees than their presets, which are
+the defaults of the training functions, as are the grids.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from depotkit.ml import importance as imp, score, train as tr
 
 SMALL_BOOST = {"maxIter": 10, "stepSize": 0.3, "maxDepth": 5, "minInstancesPerNode": 30}
 SMALL_FOREST = {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 15, "featureSubsetStrategy": "sqrt"}
-SMALL_DELAY = {"maxIter": 10, "stepSize": 0.3, "maxDepth": 4, "subsamplingRate": 0.9}
 SMALL_TIER = {"maxIter": 5, "stepSize": 0.3, "maxDepth": 3}
 
 
@@ -27,7 +27,7 @@ def _released(trained):
 
 def _ranking(t, trained, keys, label, loss):
     """Permutation importance, one row per feature, computed before the matrix is released."""
-    found = imp.permutation_importance(trained.model, trained.test, trained.features, keys, label, loss, n_repeats=2)
+    found = imp.permutation_importance(trained.model, trained.test, trained.features, keys, label, loss)
     rows, schema = found.collect(), found.schema
     _released(trained)
     return t.spark.createDataFrame(rows, schema)
@@ -48,17 +48,17 @@ def _stockout(t, n_splits=0):
 
 @query("m_train_demand")
 def m_train_demand(t):
-    return _metrics(t, _demand(t, 2))
+    return _metrics(t, _demand(t, 5))
 
 
 @query("m_train_stockout")
 def m_train_stockout(t):
-    return _metrics(t, _stockout(t, 2))
+    return _metrics(t, _stockout(t, 5))
 
 
 @query("m_train_delay")
 def m_train_delay(t):
-    return _metrics(t, tr.train_delay(series.f_supplier_risk(t), SMALL_DELAY))
+    return _metrics(t, tr.train_delay(series.f_supplier_risk(t)))
 
 
 @query("m_train_tier")
@@ -73,7 +73,7 @@ def m_permutation(t):
 
 @query("m_permutation_delay")
 def m_permutation_delay(t):
-    m = tr.train_delay(series.f_supplier_risk(t), SMALL_DELAY)
+    m = tr.train_delay(series.f_supplier_risk(t))
     return _ranking(t, m, ["supplier_id", "year_month", "risk_id"], "delay_probability", imp.mae_loss("delay_probability", 0, 1))
 
 
@@ -111,7 +111,7 @@ def i_score_stockout(t):
 def i_score_supplier(t):
     df = series.f_supplier_risk(t)
     # Both fits read one cached matrix, so it is released after the second.
-    delay, tier = tr.train_delay(df, SMALL_DELAY), tr.train_tier(df, SMALL_TIER)
+    delay, tier = tr.train_delay(df), tr.train_tier(df, SMALL_TIER)
     _released(delay), _released(tier)
     return score.score_supplier(df, delay.model, tier.model, delay.features)
 
@@ -119,7 +119,7 @@ def i_score_supplier(t):
 @query("m_report")
 def m_report(t):
     df = series.f_supplier_risk(t)
-    found = [tr.train_delay(df, SMALL_DELAY), tr.train_tier(df, SMALL_TIER)]
+    found = [tr.train_delay(df), tr.train_tier(df, SMALL_TIER)]
     out = tr.report(found)
     for m in found:
         _released(m)

@@ -25,10 +25,13 @@ def enrich(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]
     return df.join(dimension.select(key, *new), key, "left")
 
 
-def one_hot_domain(df: DataFrame, column: str) -> list[str]:
-    """The sorted distinct values of a dimension column, which become column names."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()
-    return [r[0] for r in rows]
+def one_hot_domain(df: DataFrame, column: str, most: int = 1000) -> list[str]:
+    """The distinct values, sorted. Each becomes a column, so more than ``most`` is an error: the
+    caller should name a domain instead."""
+    found = df.select(column).dropna().distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values; name the domain to encode")
+    return sorted(r[0] for r in found)
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, domain: Sequence[str]) -> DataFrame:

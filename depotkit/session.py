@@ -18,6 +18,7 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         # HotSpot never compiles methods beyond 8000 bytes; let Spark split such stages instead.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("DEPOTKIT_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
