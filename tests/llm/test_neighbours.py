@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from depotkit.llm import neighbours
 from depotkit.llm.queries import QUERIES
@@ -98,3 +99,14 @@ def test_a_smaller_factor_prunes_more():
             neighbours.distances = far
         looked.append(sum(seen))
     assert looked[1] < looked[0] < 50 * 2000
+
+
+def test_double_vectors_keep_their_precision(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (1 + 1e-9 * rng.normal(size=6)).tolist()) for i in range(300)]  # alike in single precision
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = by_query(neighbours.nearest(df, df.filter("vec_id % 50 = 0"), k=5, shard_rows=100))
+    single = df.withColumn("embedding", F.col("embedding").cast("array<float>"))
+    assert neighbours.usable(df, "vec_id", "embedding").dtypes[1][1] == "array<double>"
+    assert neighbours.usable(single, "vec_id", "embedding").dtypes[1][1] == "array<float>"
+    assert len(got) == 6 and all(len(r) == 5 for r in got.values())
