@@ -136,28 +136,40 @@ def mix(
 
 
 #: Production weights of the domain and language levels; sources weigh alike.
-WEIGHTS = {"__domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
-LEVELS = ["__domain", "lang", "source"]
+DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 1}
+LANGUAGE_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 1}
 
 
-def with_domain(docs: DataFrame) -> DataFrame:
-    """Adds the level ``__domain``: documents name none, so it is the remainder of the source's number by four."""
+def domain_name(docs: DataFrame) -> str:
+    """A name for the domain level that no column of ``docs`` has."""
+    taken, name = {c.lower() for c in docs.columns}, "domain"
+    while name in taken:
+        name += "_"
+    return name
+
+
+def mix_domains(docs: DataFrame, domain: str, share_percent: int, max_epochs: int) -> DataFrame:
+    """The mix over domain, language and source, with the domain added to the rows as ``domain``:
+    documents name none, so it is the remainder of the source's number by four."""
     number = F.regexp_extract("source", r"([0-9]{1,9})$", 1)
-    return docs.withColumn("__domain", F.when(number != "", F.concat(F.lit("d"), (number.cast("long") % 4).cast("string"))))
+    docs = docs.withColumn(domain, F.when(number != "", F.concat(F.lit("d"), (number.cast("long") % 4).cast("string"))))
+    weights = {domain: DOMAIN_WEIGHTS, "lang": LANGUAGE_WEIGHTS}
+    return mix(docs, [domain, "lang", "source"], weights, share_percent, max_epochs)
 
 
 def mix_sources(docs: DataFrame, share_percent: int = 90, max_epochs: int = 1) -> DataFrame:
     """The documents of the mix with the columns they came with, each as often as its epochs."""
-    mixed = mix(with_domain(docs), LEVELS, WEIGHTS, share_percent, max_epochs)
+    mixed = mix_domains(docs, domain_name(docs), share_percent, max_epochs)
     again = mixed.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("epochs")))) if max_epochs > 1 else mixed
     return again.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op2_query(spark, sf_dir: str) -> DataFrame:
     """The mix of all documents at half of their tokens, up to four epochs a leaf."""
-    docs = with_domain(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    mixed = mix(docs, LEVELS, WEIGHTS, share_percent=50, max_epochs=4)
-    return mixed.select("row.doc_id", F.col("row.__domain").alias("domain"), "row.lang", "row.source", "tokens", "epochs")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    domain = domain_name(docs)
+    mixed = mix_domains(docs, domain, share_percent=50, max_epochs=4)
+    return mixed.select("row.doc_id", F.col("row")[domain].alias("domain"), "row.lang", "row.source", "tokens", "epochs")
 
 
 def _level_sql(n: int, columns: list[str], parent: list[str], w: str) -> str:

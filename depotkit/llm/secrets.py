@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,16 +46,23 @@ def scan_blobs(blobs: DataFrame, find=find_secrets) -> DataFrame:
 
 
 class Ledger:
-    """A table of (blob, rules, spans) that scans add to. A lost or repeated run of a scan leaves no
-    half-written part; a blob that two runs scanned gives the same spans, so either row will do."""
+    """A table of (blob, rules, spans) that scans add to; one at ``path`` from earlier runs is gone on
+    with. A lost or repeated run of a scan leaves no half-written part; a blob that two runs scanned
+    gives the same spans, so either row will do."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self.empty = True
+        try:
+            spark.read.schema(LEDGER).parquet(path)
+            self.empty = False
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            self.empty = True
 
     def rows(self, rules: str) -> DataFrame:
         if self.empty:
-            return self.spark.createDataFrame([], "blob string, spans array<struct<kind:string,start:long,end:long>>")
+            return self.spark.createDataFrame([], FINDINGS)
         return self.spark.read.schema(LEDGER).parquet(self.path).filter(F.col("rules") == rules).select("blob", "spans")
 
     def add(self, found: DataFrame, rules: str) -> None:

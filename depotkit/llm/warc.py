@@ -142,7 +142,9 @@ def parsed(record: bytes) -> dict:
     length = fields["content-length"]
     if not (length.isascii() and length.isdigit()) or len(rest) != int(length) + 4 or rest[-4:] != b"\r\n\r\n":
         return out | {"error": "the block is not as long as content-length"}
-    block, told = rest[:-4], fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    block, named = rest[:-4], fields.get("warc-payload-digest", "")
+    kind, _, told = named.rpartition(":")
+    told = told.upper() if told and kind.lower() in ("", "sha1") else None  # other kinds are not checked
     payload, http = block, {}
     if fields.get("content-type", "").startswith("application/http"):
         top, split, payload = block.partition(b"\r\n\r\n")
@@ -151,11 +153,13 @@ def parsed(record: bytes) -> dict:
         http = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in top.decode("latin-1").split("\r\n")[1:])}
     if out["record_type"] == "revisit":
         size = http.get("content-length", "")
-        if not out["refers_to"] or payload or not told:
+        if not out["refers_to"] or payload or not named:
             return out | {"error": "a revisit without its response, with a payload or without its digest"}
-        return out | {"payload_bytes": int(size) if size.isdigit() else None, "payload_digest": told}
+        return out | {"payload_bytes": int(size) if size.isdigit() else None, "payload_digest": told or named}
     digest = base32_sha1(payload)
     out |= {"payload": payload, "payload_bytes": len(payload), "payload_digest": digest}
+    if fields.get("warc-truncated"):  # cut when it was fetched: neither length nor digest can hold
+        return out
     if http.get("content-length", str(len(payload))) != str(len(payload)):
         return out | {"error": "the payload is not as long as its HTTP header says"}
     return out | {"error": None if told in (None, digest) else "the payload does not match its digest"}

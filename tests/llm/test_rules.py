@@ -61,8 +61,7 @@ def test_line_dedup_drops_boilerplate_only(spark):
 @pytest.mark.parametrize(("share", "epochs"), [(50, 4), (90, 1), (100, 1), (300, 3)])
 def test_mix_on_awkward_rows(spark, share, epochs):
     docs = documents(spark)
-    got = mixing.mix(mixing.with_domain(docs), mixing.LEVELS, mixing.WEIGHTS, share, epochs)
-    got = got.selectExpr("row.doc_id", "row.__domain as domain", "row.lang", "row.source", "tokens", "epochs")
+    got = mixing.mix_domains(docs, "domain", share, epochs).selectExpr("row.doc_id", "row.domain", "row.lang", "row.source", "tokens", "epochs")
     same(got, by_sql(mixing.op2_sql(share, epochs), documents=docs.select("doc_id", "text", "lang", "source").toArrow()))
 
 
@@ -85,5 +84,12 @@ def test_shortage_goes_to_siblings_first(spark):
 
 def test_mix_keeps_a_prefix_of_each_leaf(spark):
     rows = [(i, " ".join(["w"] * 10), "en", "src0") for i in range(30000)]
-    got = mixing.mix(mixing.with_domain(documents(spark, rows)), mixing.LEVELS, mixing.WEIGHTS, 33, 1)  # several buckets
+    got = mixing.mix_domains(documents(spark, rows), "domain", 33, 1)  # several buckets
     assert got.count() == 9900
+
+
+def test_mix_leaves_columns_named_like_its_levels(spark):
+    docs = documents(spark).selectExpr("*", "'own' as Domain", "n_chars as domain_")
+    got = mixing.mix_sources(docs, share_percent=100)
+    assert got.columns == docs.columns
+    assert got.selectExpr("count_if(Domain != 'own') as a", "count_if(not domain_ <=> n_chars) as b").first() == (0, 0)

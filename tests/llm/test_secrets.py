@@ -69,3 +69,12 @@ def test_ledger_scans_only_the_unseen(spark):
     assert spans_of(secrets.scan_versions(first, ledger)) == spans_of(secrets.scan_versions(first, secrets.Ledger(spark, folder_for(first, "test-ledger"))))
     assert count() == 6
     assert secrets.scan_versions(documents(spark, []), ledger).count() == 0
+
+
+def test_ledger_goes_on_in_a_later_run(spark):
+    docs = documents(spark, [(1, TEXTS[0], "en", "s"), (2, TEXTS[6], "en", "s"), (3, "", "en", "s")])
+    path = folder_for(docs, "test-ledger")
+    first = spans_of(secrets.scan_versions(docs, secrets.Ledger(spark, path)))
+    scans = lambda text: 1 / 0
+    assert spans_of(secrets.scan_versions(docs, secrets.Ledger(spark, path), find=scans)) == first
+    assert spark.read.parquet(path).count() == 3

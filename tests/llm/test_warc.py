@@ -88,6 +88,8 @@ def test_frames_give_the_records_back():
 
 @pytest.mark.parametrize(("change", "error"), [
     (lambda r: r, None),
+    (lambda r: r.replace(b"Digest: sha1:", b"Digest: sha256:"), None),
+    (lambda r: r.replace(b"WARC-Type: ", b"WARC-Truncated: length\r\nWARC-Type: ").replace(b"page 3", b"page 4"), None),
     (lambda r: b"HTTP" + r, "no WARC header"),
     (lambda r: r.replace(b"WARC-Date: ", b"X-Date: "), "no warc-date"),
     (lambda r: r + b"x", "the block is not as long as content-length"),
