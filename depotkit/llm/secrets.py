@@ -76,27 +76,29 @@ def scan_versions(versions: DataFrame, ledger: Ledger, rules: str = RULES, find=
 
     Of versions with the same text, that with the smallest path is scanned; rows that repeat its
     path too may be scanned twice, and the findings of a blob are folded before they are joined
-    back. Texts move only to those rows: the others are struck out by (path, blob). Null texts are
+    back. Texts move only to those rows: the others are struck out by (path, blob). Versions of one
+    text are dealt by a salt too, so a blob with many of them is met by many tasks. Null texts are
     the empty text; null paths are kept. An empty table adds nothing and gives no rows.
     """
+    spark = versions.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = F.coalesce(F.col(text), F.lit(""))
     named = versions.select(F.col(path).alias("path"), F.sha2(body, 256).alias("blob"), body.alias("text"))
-    light = written(named.select("path", "blob"), "versions")
-    first = light.groupBy("blob").agg(F.min("path").alias("first"))
-    known = ledger.rows(rules)
-    new = first if ledger.empty else first.join(known.select("blob").distinct(), "blob", "left_anti")
-    new = written(new, "unseen-blobs")
-    others = light.join(new.withColumnRenamed("first", "path_of_blob"), "blob", "left")
-    others = others.filter(F.col("path_of_blob").isNull() & F.col("path").isNotNull() | ~F.col("path").eqNullSafe(F.col("path_of_blob")))
-    if not ledger.empty:  # rows of known blobs, with or without a path
-        others = others.unionByName(light.join(new.select("blob"), "blob", "left_anti").withColumn("path_of_blob", F.lit(None).cast(light.schema["path"].dataType)))
+    # the salt is drawn once and written, so every later reader sees the same one
+    light = written(named.select("path", "blob", (F.rand(17) * tasks).cast("int").alias("salt")), "versions")
+    blobs = written(light.groupBy("blob").agg(F.min("path").alias("first"), F.collect_set("salt").alias("salts")), "blobs")
+    spread = lambda df: df.withColumn("salt", F.explode("salts")).drop("salts")
+    new = blobs if ledger.empty else blobs.join(ledger.rows(rules).select("blob").distinct(), "blob", "left_anti")
+    placed = light.join(spread(new.withColumn("unseen", F.lit(True))), ["blob", "salt"], "left")
+    others = placed.filter(~F.coalesce(F.col("unseen") & F.col("path").eqNullSafe(F.col("first")), F.lit(False)))
     struck = written(others.select(F.col("path").alias("p"), F.col("blob").alias("b")).distinct(), "not-scanned")
     # what is struck out grows with the input: always shuffle, building on the side without texts
     unseen = named.join(struck.hint("shuffle_hash"), F.col("path").eqNullSafe(F.col("p")) & (F.col("blob") == F.col("b")), "left_anti")
     ledger.add(scan_blobs(unseen, find), rules)
     found = ledger.rows(rules).filter(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
     none = F.array().cast("array<struct<kind:string,start:long,end:long>>")
-    return light.join(written(found, "findings"), "blob", "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
+    found = written(found.join(blobs.select("blob", "salts"), "blob"), "findings")
+    return light.join(spread(found), ["blob", "salt"], "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def joined(spans):
