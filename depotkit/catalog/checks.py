@@ -240,7 +240,7 @@ def q_audit_summary(t):
 
 @query(
     "c_coerce_numeric",
-    "i:sale_id r:quantity r4:price r:discount",
+    "i:sale_id r:quantity e4:price r:discount",
     """select sale_id, try_cast(quantity_sold as double) as quantity, try_cast(unit_price as double) as price,
               try_cast(discount_pct as double) as discount from {sales_raw}""",
 )
@@ -290,7 +290,7 @@ def _typed_sales(t):
     )
 
 
-_DEDUP_COLUMNS = "i:sale_id r0:product_id d:sold_on r:quantity r4:price"
+_DEDUP_COLUMNS = "i:sale_id r0:product_id d:sold_on r:quantity e4:price"
 _ORDER = "product_id, sold_on, quantity, price"
 
 
@@ -306,7 +306,7 @@ def c_dedup_first(t):
 
 @query(
     "c_dedup_last",
-    "r0:product_id d:sold_on i:sale_id r:quantity r4:price",
+    "r0:product_id d:sold_on i:sale_id r:quantity e4:price",
     f"""select * from (select *, row_number() over (partition by product_id, sold_on order by
         {", ".join(c.strip() + " desc nulls last" for c in "sale_id, quantity, price".split(","))}) as rn
         from ({_TYPED_SALES})) where rn = 1""",
@@ -352,7 +352,7 @@ _MEDIANS = """
 
 @query(
     "c_impute_group_median",
-    "sku category r:unit_cost r4:unit_price",
+    "sku category r:unit_cost e4:unit_price",
     f"""with {_MEDIANS}, out as (select sku, category,
           coalesce(unit_cost, (select median(unit_cost) from g)) as unit_cost,
           coalesce(unit_price, (select median(unit_price) from g)) as unit_price from g)""",
@@ -407,7 +407,7 @@ def c_clip(t):
 
 @query(
     "c_row_min_max",
-    "i:forecast_id r:low r:high",
+    "i:forecast_id e:low e:high",
     """select forecast_id, least(try_cast(lower_bound_95 as double), try_cast(predicted_demand as double)) as low,
               greatest(try_cast(upper_bound_95 as double), try_cast(predicted_demand as double)) as high
        from {forecasts_raw}""",
@@ -466,7 +466,7 @@ def c_whitelist(t):
 
 @query(
     "c_clean_products",
-    "i:product_id sku product_name category sub_category r:unit_cost r4:unit_price r:lead_time_days "
+    "i:product_id sku product_name category sub_category r:unit_cost e4:unit_price r:lead_time_days "
     "r:reorder_point r:reorder_quantity is_active d:created_at d:updated_at",
     """with first as (select * from (select *, row_number() over (partition by product_id order by sku) as rn
                      from {products_raw}) where rn = 1),
@@ -508,7 +508,7 @@ def c_clean_suppliers(t):
 
 @query(
     "c_clean_sales",
-    "i:sale_id i:product_id d:sale_date i:quantity_sold r4:unit_price channel region r:discount_pct is_returned created_at",
+    "i:sale_id i:product_id d:sale_date i:quantity_sold e4:unit_price channel region r:discount_pct is_returned created_at",
     f"""with typed as (select sale_id, product_id, try_cast(sale_date as date) as sale_date,
               try_cast(quantity_sold as double) as quantity, try_cast(unit_price as double) as price,
               channel as raw_channel, {_CHANNEL} as channel, region,
@@ -533,7 +533,7 @@ def c_clean_sales(t):
 @query(
     "c_clean_inventory",
     "i:inventory_id i:product_id d:snapshot_date warehouse_id i:quantity_on_hand i:quantity_reserved "
-    "reorder_triggered r:unit_cost_snapshot created_at",
+    "reorder_triggered e:unit_cost_snapshot created_at",
     f"""with typed as (select inventory_id, product_id, try_cast(snapshot_date as date) as snapshot_date, warehouse_id,
               try_cast(quantity_on_hand as double) as on_hand,
               coalesce(try_cast(quantity_reserved as double), 0) as reserved,
@@ -555,7 +555,7 @@ def c_clean_inventory(t):
 
 @query(
     "c_clean_forecasts",
-    "i:forecast_id i:product_id d:forecast_date d:generated_at r:predicted_demand r:lower_bound_95 r:upper_bound_95 "
+    "i:forecast_id i:product_id d:forecast_date d:generated_at r:predicted_demand r:lower_bound_95 e:upper_bound_95 "
     "r:actual_demand r:mae r:mape r:confidence_score model_name model_version i:horizon_days",
     """with typed as (select forecast_id, product_id, model_name, model_version, horizon_days, try_cast(forecast_date as date) as forecast_date,
              try_cast(generated_at as date) as generated_at,

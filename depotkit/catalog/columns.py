@@ -145,7 +145,7 @@ PRICE_TIER = """case when unit_price <= 0 then null when unit_price <= 20 then 1
     when unit_price <= 400 then 3 when unit_price > 400 then 4 end"""
 
 
-@query("p_price_tier", "i:product_id r:unit_price i:price_tier", f"select product_id, unit_price, {PRICE_TIER} as price_tier from {{products}}")
+@query("p_price_tier", "i:product_id e:unit_price i:price_tier", f"select product_id, unit_price, {PRICE_TIER} as price_tier from {{products}}")
 def p_price_tier(t):
     return t.products.withColumn("price_tier", fn.price_tier("unit_price"))
 
@@ -184,22 +184,22 @@ def _stockout(t):
     return stockout_features(stock(t), transform_sales(t.sales), t.brands)
 
 
-@query("p_turnover", "i:inventory_id r4:inventory_turnover_30d", _RATIO_BASE.replace(" as turnover", " as inventory_turnover_30d"))
+@query("p_turnover", "i:inventory_id e4:inventory_turnover_30d", _RATIO_BASE.replace(" as turnover", " as inventory_turnover_30d"))
 def p_turnover(t):
     return _stockout(t)
 
 
-@query("p_days_of_inventory", "i:inventory_id r4:days_of_inventory", _RATIO_BASE)
+@query("p_days_of_inventory", "i:inventory_id e4:days_of_inventory", _RATIO_BASE)
 def p_days_of_inventory(t):
     return _stockout(t)
 
 
-@query("p_lead_coverage", "i:inventory_id r4:lead_time_coverage", _RATIO_BASE)
+@query("p_lead_coverage", "i:inventory_id e4:lead_time_coverage", _RATIO_BASE)
 def p_lead_coverage(t):
     return _stockout(t)
 
 
-@query("p_demand_to_stock", "i:inventory_id r4:demand_to_stock_ratio", _RATIO_BASE.replace(" as demand_to_stock\n", " as demand_to_stock_ratio\n"))
+@query("p_demand_to_stock", "i:inventory_id e4:demand_to_stock_ratio", _RATIO_BASE.replace(" as demand_to_stock\n", " as demand_to_stock_ratio\n"))
 def p_demand_to_stock(t):
     return _stockout(t)
 

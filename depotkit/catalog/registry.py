@@ -30,7 +30,7 @@ def _items(columns: str) -> list[tuple[str, str]]:
     """'a d:b r2:c' -> [('', 'a'), ('d', 'b'), ('r2', 'c')]; '~' in a name stands for a space."""
     out = []
     for item in columns.split():
-        kind, _, name = item.rpartition(":") if re.match(r"^(d|i|r\d*):", item) else ("", "", item)
+        kind, _, name = item.rpartition(":") if re.match(r"^(d|i|[re]\d*):", item) else ("", "", item)
         out.append((kind, name.replace("~", " ")))
     return out
 
@@ -39,11 +39,16 @@ def _digits(kind: str) -> int:
     return int(kind[1:] or 6)
 
 
+def _edge(kind: str) -> float:
+    return EDGE if kind.startswith("e") else 0.0
+
+
 def shown(df: DataFrame, columns: str) -> DataFrame:
-    """The compared columns: d: day as text, i: bigint, r<n>: rounded to n places (6).
+    """The compared columns: d: day as text, i: bigint, r<n>: rounded to n places (6), e<n>: the
+    same with the rounding edge moved by EDGE.
 
-    Means of cents often end in an exact half, which two engines round apart after one
-    last-bit difference; EDGE moves the rounding edge away from such values.
+    Two engines round a value that ends in an exact half apart after one last-bit difference, so
+    only columns in which such values occur (means of cents, ratios of whole numbers) are marked e.
     """
     out = []
     for kind, name in _items(columns):
@@ -52,9 +57,9 @@ def shown(df: DataFrame, columns: str) -> DataFrame:
             c = c.cast("string")
         elif kind == "i":
             c = c.cast("long")
-        elif kind.startswith("r"):
+        elif kind:
             scale = float(10 ** _digits(kind))
-            c = F.rint(c.cast("double") * scale + EDGE) / scale + F.lit(0.0)
+            c = F.rint(c.cast("double") * scale + _edge(kind)) / scale + F.lit(0.0)
         out.append(c.alias(name))
     return df.select(*out)
 
@@ -67,9 +72,9 @@ def shown_sql(columns: str) -> str:
             c = f"cast({c} as varchar)"
         elif kind == "i":
             c = f"cast({c} as bigint)"
-        elif kind.startswith("r"):
+        elif kind:
             scale = f"1e{_digits(kind)}"
-            c = f"round_even(cast({c} as double) * {scale} + {EDGE}e0, 0) / {scale} + 0.0"
+            c = f"round_even(cast({c} as double) * {scale} + {_edge(kind)}e0, 0) / {scale} + 0.0"
         out.append(f'{c} as "{name}"')
     return ", ".join(out)
 

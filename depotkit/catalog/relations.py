@@ -88,7 +88,7 @@ def j_forecast_actual(t):
 
 @query(
     "a_daily_demand",
-    "i:product_id d:sale_date r:daily_demand r2:daily_revenue r4:avg_unit_price r:avg_discount_pct "
+    "i:product_id d:sale_date r:daily_demand r2:daily_revenue e4:avg_unit_price r:avg_discount_pct "
     "i:num_transactions i:return_count",
     f"{_DAILY} from {{part_sales}} group by product_id, sale_date",
 )
@@ -159,7 +159,7 @@ def a_quantiles(t):
 
 @query(
     "a_group_quantiles",
-    "i:supplier_id r4:median r4:q90",
+    "i:supplier_id e4:median e4:q90",
     """select supplier_id, median(unit_price) as median, quantile_cont(unit_price, 0.9) as q90
        from {part_sales} group by supplier_id""",
 )

@@ -45,7 +45,7 @@ def r_forecast_accuracy(t):
 
 @query(
     "r_interval",
-    "i:product_id d:forecast_date r2:lower_bound_95 r2:upper_bound_95",
+    "i:product_id d:forecast_date r2:lower_bound_95 e2:upper_bound_95",
     """select product_id, forecast_date,
        greatest(0, round_even((predicted_demand - predicted_demand * 0.2) * 100, 0) / 100) as lower_bound_95,
        round_even((predicted_demand + predicted_demand * 0.2) * 100, 0) / 100 as upper_bound_95 from {forecasts}""",

@@ -57,7 +57,7 @@ def w_trailing_mean(t):
 
 @query(
     "w_trailing_std",
-    "i:product_id d:sale_date r:s7 r:s14 r:s30",
+    "i:product_id d:sale_date e:s7 e:s14 e:s30",
     f"{_SERIES}, out as (select product_id, sale_date, "
     + ", ".join(f"coalesce({_trail('stddev_samp', 'y', k)}, 0) as s{k}" for k in (7, 14, 30))
     + f" from days {_W})",
@@ -77,7 +77,7 @@ _FILLED = f"""{_SERIES}, filled as (select * replace ({_both_ways('avg_unit_pric
 
 @query(
     "w_ffill_bfill",
-    "i:product_id d:sale_date r4:avg_unit_price r:avg_discount_pct",
+    "i:product_id d:sale_date e4:avg_unit_price r:avg_discount_pct",
     f"{_FILLED}, out as (select * from filled)",
 )
 def w_ffill_bfill(t):
@@ -86,7 +86,7 @@ def w_ffill_bfill(t):
 
 @query(
     "w_rolling_price",
-    "i:product_id d:sale_date r4:roll_price_7d r:roll_discount_7d",
+    "i:product_id d:sale_date e4:roll_price_7d r:roll_discount_7d",
     f"""{_FILLED}, out as (select product_id, sale_date, {_trail('avg', 'avg_unit_price', 7)} as roll_price_7d,
         {_trail('avg', 'avg_discount_pct', 7)} as roll_discount_7d from filled {_W})""",
 )
@@ -213,7 +213,7 @@ def p_spike_flag(t):
 
 @query(
     "p_interactions",
-    "i:supplier_id d:period r:reliability_x_ontime r:delay_var_x_mean",
+    "i:supplier_id d:period e:reliability_x_ontime e:delay_var_x_mean",
     f"""with {RISK}, out as (select r.supplier_id, period, reliability_score * hist_on_time_rate as reliability_x_ontime,
         hist_delay_variance * hist_mean_delay_days as delay_var_x_mean
         from risk r left join {{suppliers}} s on r.supplier_id = s.supplier_id)""",
@@ -274,14 +274,14 @@ def r_floored_balance(t):
 
 _CATS = ("Apparel", "Electronics", "Food & Beverage", "Home & Garden")
 DEMAND_COLUMNS = (
-    "i:product_id d:sale_date r:daily_demand r2:daily_revenue r4:avg_unit_price r:avg_discount_pct i:num_transactions "
+    "i:product_id d:sale_date r:daily_demand r2:daily_revenue e4:avg_unit_price r:avg_discount_pct i:num_transactions "
     "i:return_count "
     + " ".join(f"r:lag_{k}" for k in (7, 14, 21, 30))
     + " "
     + " ".join(f"r:rolling_mean_{k}d r:rolling_std_{k}d" for k in (7, 14, 30))
-    + " r4:roll_price_7d r:roll_discount_7d r:demand_delta_7d r:demand_accel "
+    + " e4:roll_price_7d r:roll_discount_7d r:demand_delta_7d r:demand_accel "
     + CALENDAR_COLUMNS
-    + " r:unit_cost r4:unit_price i:lead_time_days i:reorder_point i:price_tier "
+    + " r:unit_cost e4:unit_price i:lead_time_days i:reorder_point i:price_tier "
     + " ".join(f"i:cat_{c.replace(' ', '~')}" for c in _CATS)
 )
 
@@ -306,10 +306,10 @@ def f_demand(t):
 
 STOCKOUT_COLUMNS = (
     "i:inventory_id i:product_id d:snapshot_date warehouse_id i:quantity_on_hand i:quantity_reserved reorder_triggered "
-    "r:unit_cost_snapshot i:reorder_point i:reorder_quantity i:quantity_available is_below_reorder r:daily_demand "
+    "e:unit_cost_snapshot i:reorder_point i:reorder_quantity i:quantity_available is_below_reorder r:daily_demand "
     + " ".join(f"r:demand_mean_{k}d r:demand_std_{k}d" for k in (7, 14, 30))
-    + " r:avg_stock_30d r4:inventory_turnover_30d r4:days_of_inventory i:lead_time_days r:unit_cost r4:lead_time_coverage "
-    "r4:demand_to_stock_ratio i:is_zero_stock r:stockout_rate_30d i:is_low_stock r:consec_low_stock_days r:demand_accel_7d "
+    + " r:avg_stock_30d e4:inventory_turnover_30d e4:days_of_inventory i:lead_time_days r:unit_cost e4:lead_time_coverage "
+    "e4:demand_to_stock_ratio i:is_zero_stock r:stockout_rate_30d i:is_low_stock r:consec_low_stock_days r:demand_accel_7d "
     "r:future_min_stock i:stockout_in_horizon " + CALENDAR_COLUMNS
 )
 
@@ -354,7 +354,7 @@ SUPPLIER_COLUMNS = (
     "r:hist_mean_delay_days r:hist_delay_variance r:hist_on_time_rate i:orders_evaluated r:rolling_delay_mean_3m "
     "r:rolling_delay_std_3m r:rolling_on_time_rate_3m r:rolling_delay_prob_3m r:delay_trend_3m i:delay_spike_flag "
     "r:lag_1m_delay_mean r:lag_1m_delay_prob r:lag_2m_delay_mean r:reliability_score i:payment_terms_days "
-    "i:country_risk_tier r2:years_active country region i:risk_tier_encoded r:reliability_x_ontime r:delay_var_x_mean "
+    "i:country_risk_tier r2:years_active country region i:risk_tier_encoded e:reliability_x_ontime e:delay_var_x_mean "
     + " ".join(f"i:region_{r.replace(' ', '~')}" for r in _REGIONS)
 )
 
