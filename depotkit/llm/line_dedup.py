@@ -28,9 +28,26 @@ def boilerplate(pages: DataFrame, text: str, host: str, max_ratio: float, min_pa
     return written(over.groupBy("c.host").agg(F.collect_list("line").alias("lines")), "boilerplate")
 
 
+def _members(own: DataFrame, bad: DataFrame) -> DataFrame:
+    """(host, spared): marks of the pages that keep the lines of a group of near copies."""
+    pages = own.alias("p").join(bad.alias("b"), F.col("p.host").eqNullSafe(F.col("b.host")))
+    every = F.filter(F.split(F.col("body"), "\n"), lambda line: F.btrim(line, F.lit(SPACE)) != "")
+    chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + F.length(F.btrim(x, F.lit(SPACE))))
+    shared = F.filter(every, lambda x: F.array_contains(F.col("lines"), _key(x)))
+    found = pages.select(F.col("p.host").alias("host"), "mark", let(shared, lambda x: F.struct(
+        F.array_distinct(F.transform(x, _key)).alias("keys"), chars(x).alias("chars"), (F.size(x) == F.size(every)).alias("whole"))).alias("x"),
+        chars(every).alias("chars")).filter(F.size("x.keys") > 0)
+    # a page of nothing else stays anyway and comes first
+    first = F.struct(~F.col("x.whole"), "mark")
+    carried = found.select("host", first.alias("first"), (F.col("x.chars") * 2 > F.col("chars")).alias("mostly"), F.explode("x.keys").alias("line"))
+    lost = carried.groupBy("host", "line").agg(
+        F.count("*").alias("n"), F.count_if("mostly").alias("alike"), F.min(F.when(F.col("mostly"), F.col("first"))).alias("first"))
+    return written(lost.filter("alike * 2 > n").groupBy("host").agg(F.collect_set("first.mark").alias("spared")), "spared-pages")
+
+
 def site_line_dedup(
     pages: DataFrame, text: str = "text", host: str = "source", max_ratio: float = 0.1, min_pages: int = 5,
-    spare_whole: bool = True,
+    spare_whole: bool = True, spare_one: str | None = None,
 ) -> DataFrame:
     """Each page without its host's boilerplate lines: ``row`` (all input columns as a struct),
     clean (the text that stays), n_lines, n_dropped.
@@ -38,6 +55,9 @@ def site_line_dedup(
     With ``spare_whole`` a page made of nothing but such lines keeps them all: it is one of many
     copies of a page rather than a page with boilerplate, and emptying every copy would lose it.
 
+    ``spare_one`` names the id column: a line whose pages mostly have more than half of their text in
+    such lines belongs to a group of near copies, and the page of the smallest id among these keeps all.
+
     Lines are compared without outer white space; blank lines always stay. A page counts once for
     a line however often it has it; repeated rows are pages of their own. Null texts stay null and
     hold no line. Null hosts form one host; an empty table gives an empty result.
@@ -45,6 +65,12 @@ def site_line_dedup(
     bad = boilerplate(pages, text, host, max_ratio, min_pages)
     own = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),
                        F.col(host).alias("host"), F.col(text).alias("body"))
+    spared = F.lit(False)
+    if spare_one is not None:
+        own = own.withColumn("mark", F.struct(F.col("row")[spare_one].alias("id"), key128(F.col("body")).alias("content")))
+        members = _members(own, bad)
+        own = own.alias("o").join(members.alias("m"), F.col("o.host").eqNullSafe(F.col("m.host")), "left").select("o.*", "m.spared")
+        spared = F.coalesce(F.array_contains("spared", F.col("mark")), F.lit(False))
     own = own.alias("p").join(bad.alias("b"), F.col("p.host").eqNullSafe(F.col("b.host")), "left")
     lines = F.split(F.col("body"), "\n")
     blank = lambda x: F.btrim(x, F.lit(SPACE)) == ""
@@ -52,16 +78,17 @@ def site_line_dedup(
     whole = lambda x: F.lit(spare_whole) & ~F.exists(x, lambda line: ~blank(line))
     as_came = F.struct(F.col("body").alias("clean"), F.lit(0).alias("gone"))
     cut = lambda every, x: F.struct(F.array_join(x, "\n").alias("clean"), (F.size(every) - F.size(x)).alias("gone"))
-    kept = F.when(F.col("lines").isNull() | F.col("body").isNull(), as_came).otherwise(
+    kept = F.when(F.col("lines").isNull() | F.col("body").isNull() | spared, as_came).otherwise(
         let(lines, lambda every: let(good(every), lambda x: F.when(whole(x), as_came).otherwise(cut(every, x)))))
     n_lines = F.when(F.col("body").isNull(), 0).otherwise(F.size(lines)).cast("long")
     return own.select("row", n_lines.alias("n_lines"), kept.alias("kept")).select(
         "row", F.col("kept.clean").alias("clean"), "n_lines", F.col("kept.gone").cast("long").alias("n_dropped"))
 
 
-def drop_lines(docs: DataFrame, **settings) -> DataFrame:
-    """The documents with cleaned texts and their new lengths; other columns as they came."""
-    done = site_line_dedup(docs, **settings)
+def drop_lines(docs: DataFrame, spare_one: str = "doc_id", **settings) -> DataFrame:
+    """The documents with cleaned texts and their new lengths; other columns as they came. One
+    member of a group of near copies keeps its lines."""
+    done = site_line_dedup(docs, spare_one=spare_one, **settings)
     renewed = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
     return done.select(*[renewed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 

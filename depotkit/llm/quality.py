@@ -100,6 +100,12 @@ def quality_rules(
     A null text counts as empty and is not kept. Null hosts form one host. Repeated rows are
     judged alike, each for itself; an empty table gives an empty result.
     """
+    return _judged(docs, text, host, min_words, max_repeat_percent, min_docs, max_share, min_left).drop("host", "mark", "shared")
+
+
+def _judged(docs: DataFrame, text: str, host: str, min_words: int, max_repeat_percent: int, min_docs: int, max_share: float,
+            min_left: float, doc_id: str | None = None) -> DataFrame:
+    """The columns of ``quality_rules`` with host, mark (id and content) and shared (keys of the frequent lines)."""
     frequent = frequent_lines(docs, text, host, min_docs, max_share)
     body = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(host).alias("host"), body.alias("body"))
@@ -110,20 +116,43 @@ def quality_rules(
         F.lit(0).cast("long"),
         lambda a, line: a + F.size(F.split(line, " ")),
     )
-    counted = own.select("row", *[c.alias(n) for n, c in text_counts(F.col("body")).items()],
+    shared = F.array_intersect(F.transform(normal, key128), F.col("lines"))
+    named = F.lit(None).cast("long") if doc_id is None else F.col("row")[doc_id]
+    counted = own.select("row", F.col("d.host").alias("host"), F.struct(named.alias("id"), key128(F.col("body")).alias("content")).alias("mark"),
+                         shared.alias("shared"), *[c.alias(n) for n, c in text_counts(F.col("body")).items()],
                          F.when(F.col("lines").isNull(), F.lit(0).cast("long")).otherwise(taken).alias("taken"))
     n, left = F.col("n_words"), F.col("n_words") - F.col("taken")
     failed = (n < min_words) | (F.col("n_repeat_words") * 100 > n * max_repeat_percent)
     return counted.select(
-        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "row", "host", "mark", "shared", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), left.alias("words_left"),
         (~failed & (left >= min_words) & (left >= n * min_left)).alias("kept"),
     )
 
 
-def drop_rejected(docs: DataFrame, **settings) -> DataFrame:
-    """The kept documents, with the columns they came with."""
-    return quality_rules(docs, **settings).filter("kept").select("row.*")
+def drop_rejected(
+    docs: DataFrame,
+    text: str = "text",
+    host: str = "source",
+    min_words: int = 20,
+    max_repeat_percent: int = 30,
+    min_docs: int = 10,
+    max_share: float = 0.25,
+    min_left: float = 0.2,
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """The kept documents, with the columns they came with, and members of groups that would be lost whole.
+
+    A frequent line that no kept document of its host carries would go with the depleted ones. The
+    depleted document of the smallest id that carries it stays, so near copies leave one of them.
+    """
+    judged = _judged(docs, text, host, min_words, max_repeat_percent, min_docs, max_share, min_left, doc_id)
+    carried = judged.filter(~F.col("base_failed") & (F.size("shared") > 0)).select("host", "mark", "kept", F.explode("shared").alias("line"))
+    lost = carried.groupBy("host", "line").agg(F.max("kept").alias("stays"), F.min("mark").alias("mark")).filter(~F.col("stays"))
+    spared = written(lost.groupBy("host").agg(F.collect_set("mark").alias("spared")), "spared-documents")
+    both = judged.alias("j").join(spared.alias("s"), F.col("j.host").eqNullSafe(F.col("s.host")), "left")
+    stays = F.col("kept") | (~F.col("base_failed") & F.coalesce(F.array_contains("spared", F.col("mark")), F.lit(False)))
+    return both.filter(stays).select("row.*")
 
 
 OP7_SQL = r"""

@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from depotkit.llm import line_dedup, mixing, quality
-from tests.llm.helpers import by_sql, documents, same
+from tests.llm.helpers import by_sql, documents, same, sentence
 from tests.llm.test_packing import check_places, slow_ids
 from tests.llm.test_simhash import slow_fingerprint, slow_groups
 
@@ -71,3 +71,18 @@ def test_the_rest_does_without(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
     (tmp_path / "corpus_pipeline.py").write_text("import no_such_module_here")
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, stderr=subprocess.DEVNULL).returncode
+
+
+@pytest.mark.parametrize(("members", "others"), [(20, 40), (8, 42)])
+def test_near_copies_leave_one_whole(spark, members, others):
+    """Groups of a third and of a sixth of a host, above the shares of the quality rules and of line dedup."""
+    shared = [sentence(70 + j, 15) for j in range(9)]
+    rows = [(i, "\n".join([*shared[:5], sentence(500 + i, 6), *shared[5:]]), "en", "a") for i in range(members)]
+    rows += [(100 + i, "\n".join(sentence(1000 + 10 * i + j, 15) for j in range(4)), "en", "a") for i in range(others)]
+    docs = documents(spark, rows)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = spark.createDataFrame(stage(spark, docs, "").collect(), docs.schema)
+    left = {r.doc_id: r.text for r in docs.collect()}
+    assert [i for i in left if all(line in left[i] for line in shared)] == [0] and left[0] == rows[0][1]
+    assert sum(any(line in t for line in shared) for t in left.values()) == 1
+    assert all(left[100 + i] == rows[members + i][1] for i in range(others))
