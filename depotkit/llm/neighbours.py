@@ -168,11 +168,12 @@ def nearest(
     Nearness is the cosine in double precision, ties to the smaller id. Vectors that ``usable``
     leaves out take no part, on either side; vectors of another length than the sample's first are
     an error. Rows that repeat an id are vectors of
-    their own, as candidates and as queries. No usable vector, no rows.
+    their own, as candidates and as queries: each distinct vector of a query id gets its k, and query
+    rows that repeat both id and vector are asked once. No usable vector, no rows.
     """
     spark = vectors.sparkSession
     own = usable(vectors, vec_id, embedding)
-    asked = usable(queries, vec_id, embedding)
+    asked = usable(queries, vec_id, embedding).withColumn("vec_key", F.xxhash64("v")).dropDuplicates(["vec_id", "vec_key"])
     sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(ROUTER_SAMPLE).toArrow()
     result = "query_id long, rank int, vec_id long, score double"
     if sample.num_rows == 0:
@@ -203,30 +204,34 @@ def nearest(
                 reach = np.sort(far, axis=1)[:, k - 1] if far.shape[1] >= k else np.full(len(m), np.inf)
                 row, cell = tree.cells_near(m, reach, factor)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some[row]), batch.column(1).take(pa.array(at + row)), pa.array(cell), pa.array(reach[row])], ["query_id", "v", "cell", "reach"])
+                    [pa.array(some[row]), batch.column(2).take(pa.array(at + row)), batch.column(1).take(pa.array(at + row)), pa.array(cell), pa.array(reach[row])],
+                    ["query_id", "query_key", "v", "cell", "reach"])
 
     kept, asked_as = own.dtypes[1][1], asked.dtypes[1][1]
     dealt = written(own.mapInArrow(deal, f"vec_id long, v {kept}, cell long"), "cells")
-    routed = written(asked.mapInArrow(route, f"query_id long, v {asked_as}, cell long, reach double"), "routed")
+    routed = written(asked.mapInArrow(route, f"query_id long, query_key long, v {asked_as}, cell long, reach double"), "routed")
     parts = lambda df, size, name: df.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
     plan = written(parts(dealt, shard_rows, "shards").join(parts(routed, block_queries, "blocks"), "cell"), "shards")
 
     spread = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    own_part = lambda c, n: F.pmod(F.xxhash64(F.lit(17), c), F.col(n)).cast("int")
-    left = dealt.join(plan, "cell").select("vec_id", "v", "cell", own_part("vec_id", "shards").alias("shard"), spread("blocks").alias("block"))
-    right = routed.join(plan, "cell").select("query_id", "v", "reach", "cell", spread("shards").alias("shard"), own_part("query_id", "blocks").alias("block"))
+    own_part = lambda n, *c: F.pmod(F.xxhash64(F.lit(17), *c), F.col(n)).cast("int")
+    left = dealt.join(plan, "cell").select("vec_id", "v", "cell", own_part("shards", "vec_id").alias("shard"), spread("blocks").alias("block"))
+    right = routed.join(plan, "cell").select("query_id", "query_key", "v", "reach", "cell", spread("shards").alias("shard"), own_part("blocks", "query_id", "query_key").alias("block"))
 
     def search(shard: pa.Table, block: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("part", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        schema = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("part", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
         if not shard.num_rows or not block.num_rows:
             return schema.empty_table()
         ids, raw = shard.column("vec_id").to_numpy(), _matrix(shard.column("v"))
-        # of equal vectors only the k + 1 with the smallest ids can matter
+        # of equal vectors only the k + 1 smallest distinct ids can matter, and k rows of each
         order = np.lexsort((ids, *raw.T))
         ids, raw = ids[order], raw[order]
+        row = np.arange(len(ids))
         new = np.concatenate(([True], (raw[1:] != raw[:-1]).any(axis=1)))
-        first = np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
-        keep = np.arange(len(ids)) - first <= k
+        new_id = new | np.concatenate(([True], ids[1:] != ids[:-1]))
+        nth_id = np.cumsum(new_id)
+        first = lambda starts: np.maximum.accumulate(np.where(starts, row, 0))
+        keep = (nth_id - nth_id[first(new)] <= k) & (row - first(new_id) < k)
         ids, raw = ids[keep], raw[keep]
         asked_ids, asked_raw = block.column("query_id").to_numpy(), _matrix(block.column("v"))
         reach = block.column("reach").to_numpy()
@@ -237,14 +242,15 @@ def nearest(
         dot = lambda x, y: np.einsum("ij,ij->i", x, y)
         score = dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
         part = (shard.column("cell")[0].as_py() + shard.column("shard")[0].as_py()) % 64
-        return pa.table([asked_ids[q], np.full(len(q), part, np.int32), ids[at], score], schema=schema)
+        keys = block.column("query_key").to_numpy()
+        return pa.table([asked_ids[q], keys[q], np.full(len(q), part, np.int32), ids[at], score], schema=schema)
 
     keys = ["cell", "shard", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, part int, vec_id long, score double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, query_key long, part int, vec_id long, score double")
     # a query gets k rows from each shard it visits: the best of 64 parts of them, then of the parts
     first_k = lambda c: F.slice(F.array_sort(c), 1, k)
-    some = found.groupBy("query_id", "part").agg(first_k(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))).alias("b"))
-    best = some.groupBy("query_id").agg(first_k(F.flatten(F.collect_list("b"))).alias("b"))
+    some = found.groupBy("query_id", "query_key", "part").agg(first_k(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))).alias("b"))
+    best = some.groupBy("query_id", "query_key").agg(first_k(F.flatten(F.collect_list("b"))).alias("b"))
     return best.select("query_id", F.posexplode("b").alias("rank", "b")).select(
         "query_id", (F.col("rank") + 1).cast("int").alias("rank"), "b.vec_id", "b.score")
 

@@ -110,3 +110,23 @@ def test_double_vectors_keep_their_precision(spark):
     assert neighbours.usable(df, "vec_id", "embedding").dtypes[1][1] == "array<double>"
     assert neighbours.usable(single, "vec_id", "embedding").dtypes[1][1] == "array<float>"
     assert len(got) == 6 and all(len(r) == 5 for r in got.values())
+
+
+@pytest.mark.parametrize("shard_rows", [40, 10000])
+def test_repeated_query_rows_lose_nothing(spark, shard_rows):
+    rows = sample(300)
+    rows += [rows[50], rows[50], rows[100]]  # the same row again
+    rows += [(150, rows[3][1])]  # another vector under one id
+    rows += [(200, [5.0] * 8)] * 9 + [(1000 + i, [5.0] * 8) for i in range(7)]  # equal vectors, most of them the query's own
+    df = table(spark, rows)
+    got = {}
+    found = neighbours.nearest(df, df.filter("vec_id % 50 = 0"), k=5, factor=1.0, shard_rows=shard_rows)
+    for r in found.collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    want = {}
+    for q, v in {(i, tuple(v)) for i, v in rows if i % 50 == 0}:
+        others = [(i, w) for i, w in rows if i != q]
+        nearest = slow([(q, list(v)), *others], lambda i, q=q: i == q, 5)[q]
+        want.setdefault(q, []).extend((n, i) for n, (_, i) in enumerate(nearest, 1))
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
+    assert len(got[50]) == 5 and len(got[150]) == 10
