@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,12 +95,62 @@ class Scanner:
         self.templates = {name: WORD.findall(t.lower()) for name, t in templates.items()}
         self.counts = {name: Counter(t) for name, t in self.templates.items()}
 
+    @staticmethod
+    def _spans(part: list[str], template: list[str], have: Counter, need: float) -> list[tuple[int, int]]:
+        """Places where a match may lie, from each occurrence of the template's rarest words.
+
+        A match lacks fewer words than the places chosen, so it holds one of them at least. Around
+        each lie a span of the template's length and one with a quarter of it more on both sides.
+        """
+        lacking = len(template) - math.ceil(need)
+        chosen = sorted(range(len(template)), key=lambda p: have[template[p]])[:lacking + 1]
+        at = defaultdict(list)
+        for p in chosen:
+            at[template[p]].append(p)
+        starts = sorted({i - p for i, w in enumerate(part) for p in at.get(w, ())})
+        slack, n = len(template) // 4 + 1, len(template)
+        spans = {(max(s - x, 0), min(s + n + x, len(part))) for s in starts for x in (0, slack)}
+        return sorted(spans)
+
+    def _matches(self, part: list[str], template: list[str], counts: Counter, need: float) -> list[tuple[int, int, int]]:
+        """(words, first, last) of the matches in a list of template words, in their order.
+
+        Each span is aligned; the best match comes first, then what does not overlap it. What lies
+        between matches is searched again, and aligned as a whole if no span of it matches.
+        Parts whose words can't reach the coverage, each counted as often as in both, are passed over.
+        """
+        out, parts = [], [(0, len(part))]
+
+        def aligned(a, b):
+            here = part[a:b]
+            if len(here) < need or sum((Counter(here) & counts).values()) < need:
+                return None
+            pairs = align(here, template)
+            return (len(pairs), a + pairs[0][0], a + pairs[-1][0]) if len(pairs) >= need else None
+
+        while parts:
+            a, b = parts.pop()
+            have = Counter(part[a:b])
+            if sum((have & counts).values()) < need:
+                continue
+            spans = [(a + x, a + y) for x, y in self._spans(part[a:b], template, have, need)]
+            found = {m for span in spans if (m := aligned(*span))} or {m for m in [aligned(a, b)] if m}
+            taken = []
+            for m in sorted(found, key=lambda m: (-m[0], m[2] - m[1], m[1])):
+                k = bisect_left(taken, (m[1],))
+                if (k == 0 or taken[k - 1][1] < m[1]) and (k == len(taken) or taken[k][0] > m[2]):
+                    taken.insert(k, (m[1], m[2]))
+                    out.append(m)
+            if taken:
+                edges = [(None, a - 1), *taken, (b, None)]
+                parts += [(x + 1, y) for (_, x), (y, _) in zip(edges, edges[1:], strict=False) if y > x + 1]
+        return sorted(out, key=lambda m: m[1])
+
     def scan(self, text: str) -> list[tuple]:
         """(license, coverage, matched, start_word, end_word, start, end), ends exclusive.
 
-        Places of a template's words that stand no more than ``max_gap`` words apart form a stretch.
-        A stretch whose words can't reach the coverage, each counted as often as in both, is passed
-        over; the others are aligned. Offsets are in code points of the text, words in its words.
+        Places of a template's words that stand no more than ``max_gap`` words apart form a stretch,
+        in which every match counts (``_matches``). Offsets are in code points of the text, words in its words.
         """
         lower = text.lower()
         if len(lower) != len(text):  # a letter whose lower case is longer would shift the offsets
@@ -117,25 +168,20 @@ class Scanner:
                 if after is not None and after - i <= self.max_gap:
                     continue
                 here, stretch = stretch, []
-                part = found[here[0]:here[-1] + 1]
-                if len(part) < need or sum((Counter(part) & counts).values()) < need:
-                    continue
-                pairs = align(part, template)
-                if len(pairs) < need:
-                    continue
-                spots = spots or [m.span() for m in WORD.finditer(lower)]
-                first, last = here[0] + pairs[0][0], here[0] + pairs[-1][0]
-                out.append((name, len(pairs) / len(template), len(pairs), first, last + 1, spots[first][0], spots[last][1]))
+                for n, first, last in self._matches([found[i] for i in here], template, counts, need):
+                    spots = spots or [m.span() for m in WORD.finditer(lower)]
+                    first, last = here[first], here[last]
+                    out.append((name, n / len(template), n, first, last + 1, spots[first][0], spots[last][1]))
         return out
 
 
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, max_gap: int = 8, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """One row per stretch of a text that covers at least ``least`` of a template: doc_id, license,
+    """One row per part of a text that covers at least ``least`` of a template: doc_id, license,
     coverage (aligned words / words of the template), matched, start_word, end_word, start, end.
 
-    A null or empty text has no stretch. Repeated rows give their stretches each; rows without
+    A null or empty text has no match. Repeated rows give their matches each; rows without
     doc_id keep a null. An empty table, or no template, gives no rows.
     """
     scanner = Scanner(TEMPLATES if templates is None else templates, least, max_gap)

@@ -53,3 +53,35 @@ def test_awkward_rows(spark):
     assert got == [(0, "MIT-notice", 1.0), (8, "MIT-notice", 1.0)]
     assert licenses.scan_licenses(documents(spark, [])).count() == 0
     assert licenses.scan_licenses(documents(spark, rows), templates={}).count() == 0
+
+
+def test_finds_each_of_several_copies(spark):
+    t = licenses.TEMPLATES
+    mit, apache, notice = t["MIT"], t["Apache-2.0-header"], t["MIT-notice"]
+    worn = re.sub(r"\b(software|notice|copies)\b", "work", mit)
+    spread = re.sub(r"(\w+)", r"\1 q q q q q", t["GPL-3.0-header"])
+    rows = [
+        (1, f"the {notice} the {notice} the", "en", "s"), (2, f"{mit}\n{mit}\n{mit}", "en", "s"),
+        (3, f"{apache} of the {apache}", "en", "s"), (4, f"{worn} {mit} and the {worn}", "en", "s"),
+        (5, f"{notice} {'of the license under which it was released, to the mit, ' * 40}{notice}", "en", "s"),
+        (6, f"{spread} {t['GPL-3.0-header']}", "en", "s"), (7, f"{mit} {apache} {mit} {apache}", "en", "s"),
+    ]
+    got = {}
+    for r in licenses.scan_licenses(documents(spark, rows)).collect():
+        got.setdefault((r.doc_id, r.license), []).append((r.start_word, r.end_word, r.coverage))
+    whole = {k: [(a, b) for a, b, c in sorted(x) if c == 1.0] for k, x in got.items()}
+    n, m = len(licenses.WORD.findall(mit.lower())), len(licenses.WORD.findall(apache.lower()))
+    assert whole[1, "MIT-notice"] == [(1, 6), (7, 12)] and whole[2, "MIT"] == [(0, n), (n, 2 * n), (2 * n, 3 * n)]
+    assert whole[3, "Apache-2.0-header"] == [(0, m), (m + 2, 2 * m + 2)]
+    assert len(got[4, "MIT"]) == 3 and whole[4, "MIT"] == [(n, 2 * n)]
+    assert len(whole[5, "MIT-notice"]) == 2
+    assert len(got[6, "GPL-3.0-header"]) == 2
+    assert len(whole[7, "MIT"]) == 2 and len(whole[7, "Apache-2.0-header"]) == 2
+    for found in got.values():
+        assert all(x[1] <= y[0] for x, y in zip(sorted(found), sorted(found)[1:], strict=False))
+
+
+def test_many_copies_are_all_found():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8, 8)
+    assert len([x for x in scanner.scan((licenses.TEMPLATES["MIT"] + "\n") * 200) if x[0] == "MIT"]) == 200
+    assert len([x for x in scanner.scan((licenses.TEMPLATES["MIT-notice"] + "\n") * 3000) if x[0] == "MIT-notice"]) == 3000
