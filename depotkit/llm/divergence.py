@@ -21,33 +21,37 @@ HELD_TERMS, BLOCK, HELD_BLOCKS = 300_000, 256, 128
 
 
 def collapse(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
-    """(lang, key, source, copies) of all rows, and (lang, sources, text) of the distinct texts.
+    """(lang, source, ix) of all groups, numbered in each language, and (lang, sources, text) of the
+    distinct texts; ``sources`` lists the numbers of a text's sources with its copies in each.
 
-    ``sources`` lists a text's sources with its copies in each. Copies fold before they move, and of
-    a group of copies one text moves a task.
+    Copies fold before they move, and of a group of copies one text moves a task.
     """
     value = lambda c, name: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
     rows = docs.select(value(lang, "lang"), value(source, "source"), value(text, "text"))
     rows = rows.withColumn("key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     copies = written(rows.groupBy("lang", "key", "source").agg(F.count("*").alias("copies")), "copies")
-    lists = copies.groupBy("lang", "key").agg(F.collect_list(F.struct("source", "copies")).alias("sources"))
+    groups = copies.select("lang", "source").distinct()
+    groups = written(groups.withColumn("ix", F.row_number().over(W.partitionBy("lang").orderBy("source")).cast("long") - 1), "groups")
+    lists = copies.join(groups, ["lang", "source"]).groupBy("lang", "key").agg(F.collect_list(F.struct("ix", "copies")).alias("sources"))
     texts = rows.groupBy("lang", "key").agg(F.first("text").alias("text"))
-    return copies, texts.join(lists, ["lang", "key"]).select("lang", "sources", "text")
+    return groups, texts.join(lists, ["lang", "key"]).select("lang", "sources", "text")
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n): documents with a term and its occurrences, copies counted each."""
+    """(lang, term, docs, n, found): documents with a term and its occurrences, copies counted each;
+    ``found`` lists them by source. A task sends one row a source and term it meets, so that no term
+    has more rows than others by its frequency, and one shuffle by term does."""
 
     def run(batches):
         held, size = defaultdict(dict), 0
 
         def flush():
-            for (lang, source), terms in held.items():
+            for (lang, ix), terms in held.items():
                 sums = np.array(list(terms.values()), np.int64).reshape(-1, 2)
                 names = pa.array(list(terms), pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), names, pa.array(sums[:, 0]), pa.array(sums[:, 1])],
-                    ["lang", "source", "term", "docs", "n"])
+                    [pa.array([lang] * len(terms), pa.string()), pa.array(np.full(len(terms), ix, np.int64)), names, pa.array(sums[:, 0]), pa.array(sums[:, 1])],
+                    ["lang", "ix", "term", "docs", "n"])
 
         for batch in batches:
             for lang, sources, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
@@ -55,7 +59,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
                 for term in TERM.findall(text.as_py().lower()):
                     own[term] = own.get(term, 0) + 1
                 for entry in sources:
-                    terms, copies = held[lang, entry["source"]], entry["copies"]
+                    terms, copies = held[lang, entry["ix"]], entry["copies"]
                     size -= len(terms)
                     for term, n in own.items():
                         sums = terms.get(term)
@@ -70,8 +74,9 @@ def term_counts(texts: DataFrame) -> DataFrame:
                         held, size = defaultdict(dict), 0
         yield from flush()
 
-    made = texts.mapInArrow(run, "lang string, source string, term string, docs long, n long")
-    return made.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    made = texts.mapInArrow(run, "lang string, ix long, term string, docs long, n long")
+    summed = made.repartition("lang", "term").groupBy("lang", "term", "ix").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return summed.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.collect_list(F.struct("ix", "docs", "n")).alias("found"))
 
 
 def _p(n: str, total: str, kept: str) -> Column:
@@ -168,18 +173,16 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, text: str = "text"
     language with one source has no pairs; one without kept terms has values of 0. Repeated rows count
     each. An empty table gives an empty result.
     """
-    copies, texts = collapse(docs, text, lang, source)
-    counts = written(term_counts(texts), "counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("of_lang")).filter(F.col("docs") >= min_docs)
-    found = written(counts.join(kept.select("lang", "term", "of_lang"), ["lang", "term"]).select("lang", "source", "term", "n", "of_lang"), "kept")
-    sums = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    langs = found.select("lang", "term", "of_lang").distinct().groupBy("lang").agg(F.count("*").alias("kept"), F.sum("of_lang").alias("lang_total"))
-    groups = copies.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(langs, "lang", "left")
+    groups, texts = collapse(docs, text, lang, source)
+    kept = written(term_counts(texts).filter(F.col("docs") >= min_docs), "kept")
+    found = kept.select("lang", "term", F.col("n").alias("of_lang"), F.explode("found").alias("one")).select("lang", "term", "of_lang", "one.ix", "one.n")
+    sums = found.groupBy("lang", "ix").agg(F.sum("n").alias("total"))
+    langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n").alias("lang_total"))
+    groups = groups.join(sums, ["lang", "ix"], "left").join(langs, "lang", "left")
     groups = groups.fillna(0, ["total", "kept", "lang_total"]).withColumn("none", F.lit(0))
-    groups = groups.withColumn("ix", F.row_number().over(W.partitionBy("lang").orderBy("source")).cast("long") - 1)
-    groups = written(groups.withColumn("p0", _p("none", "total", "kept")), "groups")
+    groups = written(groups.withColumn("p0", _p("none", "total", "kept")), "sums")
 
-    present = found.join(groups, ["lang", "source"])
+    present = found.join(groups, ["lang", "ix"])
     present = written(present.select("lang", "source", "ix", "term", "p0", _p("n", "total", "kept").alias("p"), _p("of_lang", "lang_total", "kept").alias("q")), "present")
     alone, both = written(_alone(present, groups), "alone"), written(_both(present), "both")
     parts = alone.select("lang", "a", "b", (F.col("own") + F.col("base")).alias("value"))

@@ -66,10 +66,11 @@ def test_sql_says_the_same(spark):
 
 def test_copies_are_tokenised_once(spark):
     docs = documents(spark, [(i, "one Two two", "en", f"s{i % 3}") for i in range(30)] + [(99, "one Two two", "de", "s0")])
-    copies, texts = collapse(docs)
-    assert texts.count() == 2 and copies.count() == 4
-    counted = {(r["lang"], r["source"], r["term"]): (r["docs"], r["n"]) for r in term_counts(texts).collect()}
-    assert counted["en", "s1", "two"] == (10, 20) and counted["de", "s0", "one"] == (1, 1) and len(counted) == 8
+    groups, texts = collapse(docs)
+    assert texts.count() == 2 and sorted(map(tuple, groups.collect())) == [("de", "s0", 0), ("en", "s0", 0), ("en", "s1", 1), ("en", "s2", 2)]
+    counted = {(r["lang"], r["term"]): (r["docs"], r["n"], sorted(map(tuple, r["found"]))) for r in term_counts(texts).collect()}
+    assert counted["en", "two"] == (30, 60, [(0, 10, 20), (1, 10, 20), (2, 10, 20)])
+    assert counted["de", "one"] == (1, 1, [(0, 1, 1)]) and len(counted) == 4
 
 
 def test_empty_and_termless(spark):
