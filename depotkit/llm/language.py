@@ -20,8 +20,8 @@ LONGEST = 5
 LANGUAGES, WORDS, GRAMS = 32, 10_000, 3_000
 #: Labelled texts of each language that the model is fitted on, about; chosen by hash.
 SAMPLE_DOCS = 10_000
-#: Words whose scores a worker keeps.
-KEPT_WORDS = 200_000
+#: Words whose scores a worker keeps from one part of a batch to the next, and texts of a part.
+KEPT_WORDS, TEXTS = 200_000, 128
 #: What an entry is taken to occur in a language where it was not seen.
 UNSEEN = 0.5
 #: Longest word that is looked at as a whole; longer runs of letters are cut into words of this size.
@@ -92,36 +92,50 @@ class Model:
         self._rows: dict[str, int] = {}
         self._scores = np.zeros((1024, len(self.langs)))
 
-    def score_word(self, word: str) -> np.ndarray:
-        """A known word's log frequencies; else the mean over its known n-grams of the longest size
-        that has any; zero if none is known."""
+    def _known_parts(self, word: str) -> list[int]:
+        """The rows of a word: its own, or those of its known n-grams of the longest size that has any."""
         at = self.words.get(word)
         if at is not None:
-            return self.table[at]
+            return [at]
         for size in range(LONGEST, 0, -1):
-            rows = [self.parts[g] for g in grams(word, size) if g in self.parts]
+            rows = [row for row in map(self.parts.get, grams(word, size)) if row is not None]
             if rows:
-                return self.table[rows].mean(axis=0)
-        return np.zeros(len(self.langs))
-
-    def _row(self, word: str) -> int:
-        row = self._rows.get(word)
-        if row is None:
-            row = self._rows[word] = len(self._rows)
-            if row == len(self._scores):
-                self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
-            self._scores[row] = self.score_word(word)
-        return row
+                return rows
+        return []
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language of a text and its share of the likelihood, all languages weighed alike."""
-        found = letters(text) if self.langs else []
-        if not found:
-            return "und", 0.0
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """A known word's log frequencies; else the mean over its known n-grams of the longest size
+        that has any; zero if none is known."""
+        rows = [self._known_parts(w) for w in words]
+        sizes = np.array([len(r) for r in rows], np.int64)
+        out = np.zeros((len(words), len(self.langs)))
+        flat = np.array([row for r in rows for row in r], np.int64)
+        if len(flat):
+            starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+            out[sizes > 0] = np.add.reduceat(self.table[flat], starts, axis=0) / sizes[sizes > 0][:, None]
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The language of each text and its share of the likelihood, all languages weighed alike.
+        Words not met before are scored together."""
         if len(self._rows) > KEPT_WORDS:
             self._forget()
-        rows = [self._row(w) for w in found]
-        total = self._scores[rows].sum(axis=0)
+        found = [letters(text) if self.langs else [] for text in texts]
+        known, fresh = self._rows, []
+        for word in set().union(*found) if found else ():
+            if word not in known:
+                known[word] = len(known)
+                fresh.append(word)
+        if fresh:
+            while len(self._scores) < len(known):
+                self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
+            self._scores[len(known) - len(fresh):len(known)] = self.score_words(fresh)
+        return [self._best(words) for words in found]
+
+    def _best(self, words: list[str]) -> tuple[str, float]:
+        if not words:
+            return "und", 0.0
+        total = self._scores[list(map(self._rows.__getitem__, words))].sum(axis=0)
         best = int(np.argmax(total))
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -178,9 +192,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     def run(batches):
         mine = Model(*shared.value)
         for batch in batches:
-            found = [mine.predict(item.as_py()) for item in batch.column("text")]
-            langs, scores = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["kept", "lang_pred", "score"])
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                langs, scores = zip(*mine.predict(part.column("text").to_pylist()))
+                yield pa.RecordBatch.from_arrays([part.column("kept"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["kept", "lang_pred", "score"])
 
     out = T.StructType([rows.schema["kept"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(run, out).select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], "lang_pred", "score")

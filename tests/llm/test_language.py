@@ -20,17 +20,18 @@ def labelled(spark, more=()):
 
 def test_words_come_first_then_shorter_grams(spark):
     model = fit(labelled(spark))
+    score = lambda word: model.score_words(["cat", word, "日"])[1]
     assert sorted(model.langs) == ["de", "en", "fr"]
-    the = model.score_word("the")
+    the = score("the")
     assert np.array_equal(the, model.table[model.words["the"]]) and model.langs[int(the.argmax())] == "en"
     word = "thoughtful"  # unseen: its 5-grams of "thought" are known
     assert word not in model.words
     rows = [model.parts[g] for g in grams(word, 5) if g in model.parts]
-    assert rows and np.array_equal(model.score_word(word), model.table[rows].mean(axis=0))
+    assert rows and np.allclose(score(word), model.table[rows].mean(axis=0))
     short = "zzü"  # no longer gram is known; the letter is
     assert not any(g in model.parts for n in (5, 4, 3, 2) for g in grams(short, n))
-    assert model.langs[int(model.score_word(short).argmax())] == "de"
-    assert not model.score_word("日").any()
+    assert model.langs[int(score(short).argmax())] == "de"
+    assert not score("日").any()
 
 
 def test_table_holds_the_counts(spark):
@@ -78,10 +79,12 @@ def test_clashing_columns_stay(spark):
 
 def test_the_cache_is_bounded_and_does_not_matter(monkeypatch, spark):
     model = fit(labelled(spark))
-    want = [model.predict(t) for t in TEXTS.values()]
+    texts = [*TEXTS.values(), None, "unseen wörds here", ""]
+    want = [model.predict([t])[0] for t in texts]
+    assert model.predict(texts) == want and model.predict([]) == []
     monkeypatch.setattr(language, "KEPT_WORDS", 3)
     again = Model(model.langs, model.words, model.parts, model.table)
-    assert [again.predict(t) for t in TEXTS.values()] == want and len(again._rows) < 40
+    assert [again.predict([t])[0] for t in texts] == want and len(again._rows) < 40
 
 
 def test_the_sample_bound_holds(spark):
