@@ -1,8 +1,8 @@
-"""Model queries. Fits are not expressible in SQL, so these carry no oracle.
+"""Model queries: presets and all folds over the whole feature table of the folder.
 
-Each trains on the whole feature table of the folder, with all folds and repeats. The delay model
-uses its preset; the others use fewer and larger steps or fewer trees than their presets, which are
-the defaults of the training functions, as are the grids.
+Fits of many rounds are not expressible in SQL; what SQL can state of them (a histogram's best split,
+two rounds and their contributions) is held against it here, the rest by tests. A model that several
+queries read is fitted once a session and folder.
 """
 
 from __future__ import annotations
@@ -12,115 +12,191 @@ from pyspark.sql import functions as F
 
 from depotkit.catalog import series
 from depotkit.catalog.registry import query
-from depotkit.ml import importance as imp, score, train as tr
+from depotkit.ml import boosting, importance as imp, score, train as tr
+from depotkit.session import shared_folder
 
-SMALL_BOOST = {"maxIter": 10, "stepSize": 0.3, "maxDepth": 5, "minInstancesPerNode": 30}
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 15, "featureSubsetStrategy": "sqrt"}
-SMALL_TIER = {"maxIter": 5, "stepSize": 0.3, "maxDepth": 3}
+_FITTED: dict[tuple, tr.Trained] = {}
 
 
-def _released(trained):
-    """The model without its cached matrix, for queries that read another table."""
-    trained.extra["data"].unpersist()
-    return trained
+def _fitted(t, name: str, make) -> tr.Trained:
+    """The model ``name`` of this session and folder; its matrix is released once it is fitted."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+        _FITTED[key].extra["data"].unpersist()
+    return _FITTED[key]
 
 
-def _ranking(t, trained, keys, label, loss):
-    """Permutation importance, one row per feature, computed before the matrix is released."""
-    found = imp.permutation_importance(trained.model, trained.test, trained.features, keys, label, loss)
-    rows, schema = found.collect(), found.schema
-    _released(trained)
-    return t.spark.createDataFrame(rows, schema)
+def _demand(t):
+    return _fitted(t, "demand", lambda: tr.train_demand(series.f_demand(t)))
 
 
-def _metrics(t, trained):
-    rows = sorted(_released(trained).metrics.items())
-    return t.spark.createDataFrame([(trained.name, k, None if v is None else float(v)) for k, v in rows], "model string, metric string, value double")
+def _stockout(t):
+    return _fitted(t, "stockout", lambda: tr.train_stockout(series.f_stockout(t)))
+
+
+def _delay(t):
+    return _fitted(t, "delay", lambda: tr.train_delay(series.f_supplier_risk(t)))
+
 
+def _tier(t):
+    return _fitted(t, "tier", lambda: tr.train_tier(series.f_supplier_risk(t)))
 
-def _demand(t, n_splits=0):
-    return tr.train_demand(series.f_demand(t), SMALL_BOOST, n_splits=n_splits)
+
+def _metrics(t, trained):
+    rows = sorted(trained.metrics.items())
+    return t.spark.createDataFrame([(trained.name, k, None if v is None else float(v)) for k, v in rows], "model string, metric string, value double")
 
 
-def _stockout(t, n_splits=0):
-    return tr.train_stockout(series.f_stockout(t), SMALL_FOREST, n_splits=n_splits)
+def _probability():
+    return vector_to_array(F.col("probability"))[1]
 
 
 @query("m_train_demand")
 def m_train_demand(t):
-    return _metrics(t, _demand(t, 5))
+    return _metrics(t, _demand(t))
 
 
 @query("m_train_stockout")
 def m_train_stockout(t):
-    return _metrics(t, _stockout(t, 5))
+    return _metrics(t, _stockout(t))
 
 
 @query("m_train_delay")
 def m_train_delay(t):
-    return _metrics(t, tr.train_delay(series.f_supplier_risk(t)))
+    return _metrics(t, _delay(t))
 
 
 @query("m_train_tier")
 def m_train_tier(t):
-    return _metrics(t, tr.train_tier(series.f_supplier_risk(t), SMALL_TIER))
+    return _metrics(t, _tier(t))
 
 
 @query("m_permutation")
 def m_permutation(t):
-    return _ranking(t, _demand(t), ["product_id", "sale_date"], "label", imp.mae_loss("label"))
+    m = _demand(t)
+    return imp.permutation_importance(m.model, m.test, m.features, ["product_id", "sale_date"], "label", imp.mae_loss("label"))
 
 
 @query("m_permutation_delay")
 def m_permutation_delay(t):
-    m = tr.train_delay(series.f_supplier_risk(t))
-    return _ranking(t, m, ["supplier_id", "year_month", "risk_id"], "delay_probability", imp.mae_loss("delay_probability", 0, 1))
+    m = _delay(t)
+    return imp.permutation_importance(
+        m.model, m.test, m.features, ["supplier_id", "year_month", "risk_id"], "delay_probability", imp.mae_loss("delay_probability", 0, 1))
 
 
 @query("m_permutation_auc")
 def m_permutation_auc(t):
-    loss = imp.auc_loss("label", lambda: vector_to_array(F.col("probability"))[1])
-    return _ranking(t, _stockout(t), ["inventory_id"], "label", loss)
+    m = _stockout(t)
+    return imp.permutation_importance(m.model, m.test, m.features, ["inventory_id"], "label", imp.auc_loss("label", _probability))
 
 
 @query("m_native_importance")
 def m_native_importance(t):
-    m = _released(_stockout(t))
+    m = _stockout(t)
     return imp.native_importance(m.model, m.features)
 
 
 @query("m_explain")
 def m_explain(t):
-    m = _released(_stockout(t))
-    return imp.explain(m.test, m.model, m.features).select("inventory_id", "prediction", "top_features")
+    m = _stockout(t)
+    nodes = imp.forest_nodes(m.model, shared_folder(t.spark))
+    out = imp.explain(m.test, *imp.forest_contributions(nodes, m.features), m.features)
+    return out.select("inventory_id", _probability().alias("probability"), "base_value", "explained", "top_features")
+
+
+@query("m_explain_demand")
+def m_explain_demand(t):
+    m = _demand(t)
+    out = imp.explain(m.test, *boosting.contributions(m.model), m.features)
+    return out.select("product_id", "sale_date", "prediction", "base_value", "explained", "top_features")
 
 
 @query("i_score_demand")
 def i_score_demand(t):
-    m = _released(_demand(t))
-    return score.score_demand(series.f_demand(t), m.model, m.features)
+    return score.score_demand(series.f_demand(t), _demand(t).model)
 
 
 @query("i_score_stockout")
 def i_score_stockout(t):
-    m = _released(_stockout(t))
+    m = _stockout(t)
     return score.score_stockout(series.f_stockout(t), m.model, m.features)
 
 
 @query("i_score_supplier")
 def i_score_supplier(t):
-    df = series.f_supplier_risk(t)
-    # Both fits read one cached matrix, so it is released after the second.
-    delay, tier = tr.train_delay(df), tr.train_tier(df, SMALL_TIER)
-    _released(delay), _released(tier)
-    return score.score_supplier(df, delay.model, tier.model, delay.features)
+    return score.score_supplier(series.f_supplier_risk(t), _delay(t).model, _tier(t).model)
 
 
 @query("m_report")
 def m_report(t):
-    df = series.f_supplier_risk(t)
-    found = [tr.train_delay(df), tr.train_tier(df, SMALL_TIER)]
-    out = tr.report(found)
-    for m in found:
-        _released(m)
-    return out
+    return tr.report([_demand(t), _stockout(t), _delay(t), _tier(t)])
+
+
+# Two rounds of stumps, which SQL can grow as well. Rows of sales are the training table: few distinct
+# values a feature, so that bins are the values themselves, and some missing.
+_STUMP = boosting.Spec(rounds=2, rate=0.3, depth=1, min_leaf=30, l2=0.05)
+_STUMP_FEATURES = ["price_band", "discount", "month", "weekday"]
+_STUMP_ROWS = """select sale_id, cast(quantity_sold as double) * unit_price / 100 as y,
+    case when sale_id % 7 = 0 then null else cast(least(floor(unit_price / 25), 200) as double) end as price_band,
+    case when sale_id % 5 = 0 or discount_pct > 8 then null else cast(round(discount_pct) as double) end as discount,
+    cast(month(sale_date) as double) as month, cast(day(sale_date) % 7 as double) as weekday from {sales}"""
+
+
+def _stump_sql(r: int) -> str:
+    """Round ``r``: the best split of the residuals g<r>, and the residuals that are left."""
+    return f"""
+h{r} as (select f, v, sum(g) as g, count(*) as n from long join g{r} using (id) group by f, v),
+t{r} as (select sum(g) as g, count(*) as n from g{r}),
+z{r} as (select f, coalesce(sum(g) filter (where v is null), 0) as g, coalesce(sum(n) filter (where v is null), 0) as n from h{r} group by f),
+u{r} as (select f, v, sum(g) over (partition by f order by v) as g, sum(n) over (partition by f order by v) as n,
+    lead(v) over (partition by f order by v) as after from h{r} where v is not null),
+c{r} as (select u.f, u.v, u.after, m.ml, z.n as missing, u.g + m.ml * z.g as gl, u.n + m.ml * z.n as nl, t.g as g, t.n as n
+    from u{r} u join z{r} z using (f) cross join t{r} t cross join (values (0), (1)) m(ml) where m.ml = 0 or z.n > 0),
+b{r} as (select *, gl * gl / (nl + 0.05) + (g - gl) * (g - gl) / (n - nl + 0.05) - g * g / (n + 0.05) as gain,
+    -0.3 * gl / (nl + 0.05) as lv, -0.3 * (g - gl) / (n - nl + 0.05) as rv,
+    case when missing > 0 then ml = 1 else nl > n - nl end as missing_left
+    from c{r} where nl >= 30 and n - nl >= 30 order by gain desc, f, v, ml limit 1),
+p{r} as (select id, b.f, case when coalesce(long.v <= b.v, b.missing_left) then b.lv else b.rv end as step,
+    (b.lv * b.nl + b.rv * (b.n - b.nl)) / b.n as mean from long join b{r} b using (f)),
+g{r + 1} as (select id, g{r}.g + p{r}.step as g from g{r} join p{r} using (id))"""
+
+
+_STUMPS = f"""with m as (select row_number() over () as id, * from ({_STUMP_ROWS}) x),
+long as (select id, unnest([0, 1, 2, 3]) as f, unnest([price_band, discount, month, weekday]) as v from m),
+g1 as (select id, (select avg(y) from m) - y as g from m),{_stump_sql(1)},{_stump_sql(2)}"""
+
+
+def _stumps(t):
+    rows = t.spark.sql(_STUMP_ROWS, sales=t.sales)
+    return rows, boosting.fit(rows, _STUMP_FEATURES, "y", ["sale_id"], _STUMP)
+
+
+@query(
+    "m_boost_nodes",
+    "i:round i:node feature r:threshold missing_left r:value i:n",
+    _STUMPS + """, out as (select * from (
+      select r - 1 as round, 0 as node, ['price_band', 'discount', 'month', 'weekday'][f + 1] as feature, (v + after) / 2 as threshold,
+        missing_left, (lv * nl + rv * (n - nl)) / n as value, n from (select 1 as r, * from b1 union all select 2, * from b2)
+      union all select r - 1, 1, null, null, null, lv, nl from (select 1 as r, * from b1 union all select 2, * from b2)
+      union all select r - 1, 2, null, null, null, rv, n - nl from (select 1 as r, * from b1 union all select 2, * from b2)))""",
+)
+def m_boost_nodes(t):
+    return _stumps(t)[1].nodes(t.spark)
+
+
+@query(
+    "m_boost_contributions",
+    "i:sale_id r:prediction r:base_value r:explained " + " ".join(f"r:c_{c}" for c in _STUMP_FEATURES),
+    _STUMPS + """, out as (select sale_id, start + p1.step + p2.step as prediction, start + p1.mean + p2.mean as base_value,
+      start + p1.step + p2.step as explained, """
+    + ", ".join(f"case when p1.f = {i} then p1.step - p1.mean else 0 end + case when p2.f = {i} then p2.step - p2.mean else 0 end as {c}"
+                for i, c in enumerate(f"c_{c}" for c in _STUMP_FEATURES))
+    + """ from m join p1 using (id) join p2 using (id) cross join (select avg(y) as start from m) s)""",
+)
+def m_boost_contributions(t):
+    rows, model = _stumps(t)
+    base, parts = boosting.contributions(model)
+    out = imp.explain(model.transform(rows), base, parts, _STUMP_FEATURES, len(_STUMP_FEATURES))
+    of = lambda c: F.filter("top_features", lambda p: p["feature"] == c)[0]["contribution"]
+    return out.select("sale_id", "prediction", "base_value", "explained", *[of(c).alias(f"c_{c}") for c in _STUMP_FEATURES])

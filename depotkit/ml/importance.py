@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from depotkit.functions import scalar as fn
+from depotkit.ml.boosting import Boosted
 from depotkit.operators.ordering import row_index
 from depotkit.operators.relational import top_k
 
@@ -26,7 +31,7 @@ def permutations(indexed: DataFrame, n: int, n_repeats: int, seed: int) -> DataF
 
 
 def permutation_importance(
-    model: PipelineModel,
+    model: PipelineModel | Boosted,
     test: DataFrame,
     features: Sequence[str],
     keys: Sequence[str],
@@ -106,16 +111,55 @@ def native_importance(model: PipelineModel, features: Sequence[str], top_n: int
     return top_k(df, F.col("importance"), top_n, ["feature"])
 
 
-def explain(scored: DataFrame, model: PipelineModel, features: Sequence[str], top_n: int = 10) -> DataFrame:
-    """Attach the model's strongest features with the row's own values to every scored row."""
-    values = model.stages[-1].featureImportances.toArray()
-    order = sorted(range(len(features)), key=lambda i: (-values[i], i))[:top_n]
-    top = [
-        F.struct(
-            F.lit(features[i]).alias("feature"),
-            F.lit(round(float(values[i]), 6)).alias("importance"),
-            F.col(f"`{features[i]}`").cast("double").alias("value"),
-        )
-        for i in order
-    ]
-    return scored.withColumn("top_features", F.array(*top))
+def forest_nodes(model: PipelineModel, folder: str) -> DataFrame:
+    """The trees of a fitted forest of two classes as a table, one row a node; ``value`` is the share of
+    class 1 among the (weighted) rows of the node. The forest is written to ``folder`` and read back."""
+    path = f"{folder.rstrip('/')}/forest-{uuid.uuid4().hex}"
+    model.stages[-1].write().save(path)
+    node = SparkSession.active().read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    return node.select(
+        F.col("treeID").alias("tree"), F.col("id").alias("node"), F.when(inner, F.col("split.featureIndex")).alias("feature"),
+        F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"), F.when(inner, F.col("leftChild")).alias("left"),
+        F.when(inner, F.col("rightChild")).alias("right"), (F.col("impurityStats")[1] / (F.col("impurityStats")[0] + F.col("impurityStats")[1])).alias("value"))
+
+
+def forest_contributions(nodes: DataFrame, features: Sequence[str]) -> tuple[float, Column]:
+    """(base value, column of one contribution a feature) of a forest's probability of class 1. The
+    node table is sent to all tasks; trees and depth bound its size."""
+    trees = []
+    for _, t in nodes.toPandas().sort_values(["tree", "node"]).groupby("tree"):
+        whole = lambda c, t=t: t[c].fillna(-1).to_numpy(np.int64)
+        trees.append((whole("feature"), t["threshold"].to_numpy(np.float64), whole("left"), whole("right"), t["value"].to_numpy(np.float64)))
+    shared = nodes.sparkSession.sparkContext.broadcast(trees)
+
+    def run(*columns: pd.Series) -> pd.Series:
+        x = np.array([c.to_numpy(np.float64) for c in columns])
+        out, n = np.zeros(x.shape), x.shape[1]
+        for feature, cut, left, right, value in shared.value:
+            rows, at = np.arange(n), np.zeros(n, np.int64)
+            while len(rows := rows[feature[at[rows]] >= 0]):
+                node = at[rows]
+                child = np.where(x[feature[node], rows] <= cut[node], left[node], right[node])
+                out[feature[node], rows] += (value[child] - value[node]) / len(shared.value)
+                at[rows] = child
+        return pd.Series(list(out.T))
+
+    base = sum(float(t[4][0]) for t in trees) / len(trees)
+    return base, F.pandas_udf(run, T.ArrayType(T.DoubleType()))(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features])
+
+
+def explain(scored: DataFrame, base: float, parts: Column, features: Sequence[str], top_n: int = 10) -> DataFrame:
+    """Every row with base_value, explained (base value and all contributions, which is the model's
+    score) and its ``top_n`` features: the contribution, the row's value and the direction, strongest
+    first, equal ones in the order of ``features``."""
+    out = scored.withColumn("_parts", parts)
+    named = F.array(*[
+        F.struct((-F.abs(F.col("_parts")[i])).alias("order"), F.lit(i).alias("place"), F.lit(c).alias("feature"),
+                 F.col("_parts")[i].alias("contribution"), F.col(f"`{c}`").cast("double").alias("value"))
+        for i, c in enumerate(features)])
+    shown = F.transform(F.slice(F.array_sort(named), 1, top_n), lambda p: F.struct(
+        p["feature"].alias("feature"), p["contribution"].alias("contribution"), p["value"].alias("value"),
+        F.when(p["contribution"] > 0, "increases").otherwise("decreases").alias("direction")))
+    total = F.aggregate("_parts", F.lit(float(base)), lambda a, x: a + x)
+    return out.withColumns({"base_value": F.lit(float(base)), "explained": total, "top_features": shown}).drop("_parts")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from depotkit.functions import scalar as fn
 from depotkit.functions.scalar import ColumnLike
 from depotkit.ml import train as tr
+from depotkit.ml.boosting import Boosted, predictions
 
 
 def demand_value(prediction: ColumnLike) -> Column:
@@ -25,9 +26,8 @@ def delay_value(prediction: ColumnLike) -> Column:
     return fn.round_even(fn.clip(prediction, 0, 1), 4)
 
 
-def score_demand(df: DataFrame, model: PipelineModel, features: list[str], name: str = "demand_forecasting_v1") -> DataFrame:
-    scored = model.transform(tr.numeric(df, features, tr.MISSING))
-    return scored.select(
+def score_demand(df: DataFrame, model: Boosted, name: str = "demand_forecasting_v1") -> DataFrame:
+    return model.transform(df).select(
         "product_id",
         "sale_date",
         demand_value("prediction").alias("predicted_demand"),
@@ -48,23 +48,20 @@ def score_stockout(
 
 def score_supplier(
     df: DataFrame,
-    delay_model: PipelineModel,
-    tier_model: PipelineModel,
-    features: list[str],
+    delay_model: Boosted,
+    tier_model: Boosted,
     delay_name: str = "supplier_risk_regression_v1",
     tier_name: str = "supplier_risk_classifier_v1",
 ) -> DataFrame:
-    """Both models read one table, so the second runs on the output of the first; no join."""
-    first = delay_model.transform(tr.numeric(df, features, None)).withColumnRenamed("prediction", "_delay")
-    made = [c for c in first.columns if c.endswith("__filled")]
-    both = tier_model.transform(first.drop("features", *made))
-    code = F.col("prediction").cast("int")
+    """Both models read the rows in one pass; no join."""
+    delay, tier = predictions([delay_model, tier_model])
+    both = df.select("supplier_id", "year_month", delay.alias("_delay"), tier.cast("int").alias("_tier"))
     return both.select(
         "supplier_id",
         "year_month",
         delay_value("_delay").alias("delay_probability"),
-        code.alias("risk_tier_encoded"),
-        fn.tier_label(code).alias("risk_tier_label"),
+        F.col("_tier").alias("risk_tier_encoded"),
+        fn.tier_label(F.col("_tier")).alias("risk_tier_label"),
         F.lit(delay_name).alias("model_reg"),
         F.lit(tier_name).alias("model_cls"),
     )

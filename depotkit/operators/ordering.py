@@ -15,139 +15,106 @@ from pyspark.sql import functions as F
 from depotkit.session import cut_lineage
 
 
-def _grid(probs: Sequence[float], accuracy: int) -> list[float]:
-    """Shares just below every probability, then just above."""
-    slack = 2.0 / accuracy
-    return [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-
-
-def global_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    limit: int = 1_000_000,
-    accuracy: int = 10_000,
-) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of whole columns; NULLs are ignored.
-
-    One pass sketches all columns, which brackets each wanted rank to about 4/accuracy of
-    the rows; a second pass counts below, inside and above the brackets and ranks the
-    values inside. Brackets that would still hold more than ``limit`` rows are sketched
-    again first. Every pass returns one row to the driver.
+#: Bits of the sort key that are still open after each pass of a selection.
+SHIFTS = (48, 32, 16, 0)
+
+
+def sort_key(x: Column) -> Column:
+    """A double as a whole number of the same order: its bits, negative for negative values.
+
+    -0.0 counts as 0.0. NULL and NaN have none. Powers of two and quotients by them are exact, so
+    :func:`key_value` gives the same double back.
     """
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wanted = F.array(*[F.lit(g) for g in _grid(probs, accuracy)])
-    sketches = [F.percentile_approx(c, wanted, accuracy).alias(f"q_{c}") for c in columns]
-    first = base.agg(*[F.count(c).alias(f"n_{c}") for c in columns], *sketches).first()
-    filled = [c for c in columns if first[f"n_{c}"]]
-    if not filled:
-        return {c: [None] * len(probs) for c in columns}
-    k = len(probs)
-    brackets = {(c, i): (first[f"q_{c}"][i], first[f"q_{c}"][i + k]) for c in filled for i in range(k)}
-    share = 4.0 / accuracy
-    while share * max(first[f"n_{c}"] for c in filled) > limit:
-        brackets = _narrowed(base, brackets, {c: first[f"n_{c}"] for c in filled}, probs, accuracy)
-        share *= 4.0 / accuracy
-    spread = base.select(
-        F.explode(F.array(*[_located(c, i, F.lit(a), F.lit(b)) for (c, i), (a, b) in brackets.items()])).alias("r")
-    )
-    row = _ranked_values(spread.select("r.*"), filled, probs, []).first()
-    return {c: [row[f"{c}_q{i}"] if c in filled else None for i in range(k)] for c in columns}
-
-
-def _narrowed(base: DataFrame, brackets: dict, sizes: dict[str, int], probs: Sequence[float], accuracy: int) -> dict:
-    """Sketch inside each bracket again; one pass to count, one to sketch, for all brackets."""
-    names = {key: f"t{j}" for j, key in enumerate(brackets)}
-    counts = []
-    for key, (a, b) in brackets.items():
-        x = F.col(key[0])
-        counts += [F.count_if(x < a).alias(f"b_{names[key]}"), F.count_if(x.between(a, b)).alias(f"i_{names[key]}")]
-    n = base.agg(*counts).first()
-    sketches = []
-    for key, (a, b) in brackets.items():
-        inside = n[f"i_{names[key]}"]
-        rank = (sizes[key[0]] - 1) * probs[key[1]]
-        at = min(1.0, max(0.0, (rank - n[f"b_{names[key]}"] + 1) / inside))
-        x = F.col(key[0])
-        cuts = F.array(*[F.lit(g) for g in _grid([at], accuracy)])
-        sketches.append(F.percentile_approx(F.when(x.between(a, b), x), cuts, accuracy).alias(names[key]))
-    found = base.agg(*sketches).first()
-    return {key: tuple(found[name]) for key, name in names.items()}
-
-
-def group_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int = 10_000
-) -> DataFrame:
+    size = F.abs(x)
+    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(size)).cast("double")))
+    power = F.pow(F.lit(2.0), guess)
+    exponent = F.greatest(F.lit(-1022.0), guess + F.when(size < power, -1.0).when(size / power >= 2, 1.0).otherwise(0.0))
+    part = (size / F.pow(F.lit(2.0), exponent) * float(2**52)).cast("long")
+    key = (exponent + 1022).cast("long") * F.lit(2**52) + part
+    key = F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(2047 * 2**52)).otherwise(key)
+    return F.when(~F.isnan(x), F.when(x < 0, -key).otherwise(key))
+
+
+def key_value(key: Column) -> Column:
+    """The double of a :func:`sort_key`."""
+    size = F.abs(key)
+    field, part = F.shiftright(size, 52), size.bitwiseAND(F.lit(2**52 - 1)).cast("double")
+    small = part * 2.0**-537 * 2.0**-537
+    value = F.when(field == 0, small).when(field == 2047, F.lit(float("inf"))).otherwise((part / float(2**52) + 1) * F.pow(F.lit(2.0), (field - 1023).cast("double")))
+    return F.when(key < 0, -value).otherwise(value)
+
+
+def _selected(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by, _c, _i, _t, _low, _high): of the i-th probability of the c-th column, the keys of the two
+    neighbouring ranks and the share of the way from the first to the second.
+
+    Radix selection: a pass counts rows per group, column and leading bits of the sort key, which
+    names the bucket of each wanted rank; the next pass looks only inside those buckets. A bucket
+    of one value ends the search for its ranks, so there are at most ``len(SHIFTS)`` passes. Counts
+    fold before they are shuffled, whatever the groups and values.
+    """
+    keys = [F.struct(F.lit(c).alias("_c"), sort_key(F.col(f"`{name}`").cast("double")).alias("_k")) for c, name in enumerate(columns)]
+    rows = df.select(*[F.col(f"`{g}`") for g in by], F.explode(F.array(*keys)).alias("_r")).select(*by, "_r._c", "_r._k").filter("_k is not null")
+    # Without groups the targets are a few rows, which come back as literals.
+    settle = cut_lineage if by else lambda d: d.sparkSession.createDataFrame(d.collect(), d.schema)
+    names, found, open_ = [*by, "_c"], None, None
+    for shift in SHIFTS:
+        was = [] if open_ is None else ["_was"]
+        inside = rows
+        if was:
+            buckets = open_.select(*names, F.col("_prefix").alias("_was")).distinct()
+            inside = rows.withColumn("_was", F.shiftright("_k", last)).join(buckets, [*names, "_was"])
+        counts = inside.groupBy(*names, *was, F.shiftright("_k", shift).alias("_prefix")).agg(
+            F.count("*").alias("_n"), F.min("_k").alias("_least"), F.max("_k").alias("_most"))
+        part = Window.partitionBy(*names, *was)
+        counts = counts.withColumn("_upto", F.sum("_n").over(part.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)))
+        if was:
+            hits = counts.join(open_.withColumnRenamed("_prefix", "_was"), [*names, "_was"])
+        else:
+            hits = counts.withColumn("_last", F.sum("_n").over(part) - 1)
+            hits = hits.withColumn("_x", F.explode(_wanted(F.col("_last"), probs))).select("*", "_x.*")
+        hits = hits.filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+        rank = F.col("_rank") - F.col("_upto") + F.col("_n")
+        hits, last = settle(hits.select(*names, "_i", "_side", "_t", "_prefix", rank.alias("_rank"), "_least", "_most")), shift
+        done = hits.filter("_least = _most").select(*names, "_i", "_side", "_t", F.col("_least").alias("_key"))
+        found = done if found is None else found.unionByName(done)
+        open_ = hits.filter("_least < _most").drop("_least", "_most")
+        if open_.isEmpty():
+            break
+    side = lambda s: F.max(F.when(F.col("_side") == s, F.col("_key")))
+    return found.groupBy(*names, "_i").agg(F.max("_t").alias("_t"), side(0).alias("_low"), side(1).alias("_high"))
+
+
+def _wanted(last: Column, probs: Sequence[float]) -> Column:
+    """The ranks around each probability's place among ``last`` + 1 values."""
+    out = []
+    for i, p in enumerate(probs):
+        place = last * float(p)
+        for side, rank in enumerate((F.floor(place), F.ceil(place))):
+            out.append(F.struct(F.lit(i).alias("_i"), F.lit(side).alias("_side"), rank.cast("long").alias("_rank"), (place - F.floor(place)).alias("_t")))
+    return F.array(*out)
+
+
+def group_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Linear-interpolated quantiles, one row per ``by`` group, columns ``<column>_q<i>``.
 
-    The same two passes as :func:`global_quantiles`, with the brackets of each group joined
-    to its rows. NULL values are ignored, as are rows with a NULL group key.
+    Exact, by :func:`_selected`. NULL and NaN values are ignored, as are rows with a NULL group key and
+    groups without values.
     """
-    base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=list(by))
-    wanted = F.array(*[F.lit(g) for g in _grid(probs, accuracy)])
-    sketch = base.groupBy(*by).agg(
-        F.struct(*[F.percentile_approx(c, wanted, accuracy).alias(c) for c in columns]).alias("_bracket")
-    )
-    k = len(probs)
-    cut = lambda c, i: F.col(f"_bracket.{c}")[i]
-    located = [_located(c, i, cut(c, i), cut(c, i + k)) for c in columns for i in range(k)]
-    spread = base.join(sketch, list(by)).select(*by, F.explode(F.array(*located)).alias("r")).select(*by, "r.*")
-    return _ranked_values(spread, columns, probs, by)
-
-
-def _located(column: str, i: int, low: Column, high: Column) -> Column:
-    """Where a value stands relative to the bracket of its i-th quantile."""
-    value = F.col(column)
-    zone = F.when(value < low, -1).when(value > high, 1).otherwise(0)
-    return F.struct(
-        F.lit(column).alias("name"),
-        F.lit(i).alias("i"),
-        zone.alias("zone"),
-        F.when(zone == 0, value).alias("key"),
-        value.alias("v"),
-    )
+    picked = _selected(df.dropna(subset=list(by)) if by else df, columns, probs, by)
+    low, high = key_value(F.col("_low")), key_value(F.col("_high"))
+    picked = picked.withColumn("_v", F.when(F.col("_low") == F.col("_high"), low).otherwise(low + (high - low) * F.col("_t")))
+    mine = lambda c, i: F.max(F.when((F.col("_c") == c) & (F.col("_i") == i), F.col("_v")))
+    return picked.groupBy(*by).agg(*[mine(c, i).alias(f"{name}_q{i}") for c, name in enumerate(columns) for i in range(len(probs))])
 
 
-def _ranked_values(spread: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """Rank the located values and interpolate; rows outside a bracket are folded to one count."""
-    counted = (
-        spread.filter(F.col("v").isNotNull())
-        .groupBy(*by, "name", "i", "zone", "key")
-        .agg(F.count("*").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-    )
-    series = Window.partitionBy(*by, "name", "i")
-    ordered = series.orderBy("zone", F.col("key").asc_nulls_first())
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
-    ranked = (
-        counted.withColumn("last", F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-        .withColumn("h", (F.sum("n").over(series) - 1) * prob)
-    )
+def global_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles of whole columns; a column without values has None for each.
 
-    def at(rank: Column) -> Column:
-        """The value at a rank; a rank deep inside an outer zone means the sketch missed."""
-        hit = (F.col("first") <= rank) & (rank <= F.col("last"))
-        value = (
-            F.when(F.col("zone") == 0, F.col("key"))
-            .when((F.col("zone") < 0) & (rank == F.col("last")), F.col("vmax"))
-            .when((F.col("zone") > 0) & (rank == F.col("first")), F.col("vmin"))
-            .when(F.col("n") == 0, None)
-            .otherwise(F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double"))
-        )
-        return F.when(hit, value)
-
-    lower, upper = F.floor("h"), F.ceil("h")
-    picked = ranked.select(
-        *by, "name", "i", at(lower).alias("lo"), at(upper).alias("hi"), (F.col("h") - lower).alias("t")
-    ).filter(F.col("lo").isNotNull() | F.col("hi").isNotNull())
-    outs = []
-    for c in columns:
-        for i in range(len(probs)):
-            mine = (F.col("name") == c) & (F.col("i") == i)
-            lo, hi = F.max(F.when(mine, F.col("lo"))), F.max(F.when(mine, F.col("hi")))
-            t = F.max(F.when(mine, F.col("t")))
-            outs.append((lo + (hi - lo) * t).alias(f"{c}_q{i}"))
-    return picked.groupBy(*by).agg(*outs)
+    Every pass returns a row a column, probability and side to the driver.
+    """
+    row = group_quantiles(df, columns, probs, []).first()
+    return {c: [row[f"{c}_q{i}"] if row else None for i in range(len(probs))] for c in columns}
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, str]) -> DataFrame:

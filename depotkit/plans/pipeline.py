@@ -138,23 +138,27 @@ def run_models(
     n_splits: int = 5,
     split: str = "time",
     n_repeats: int = 10,
+    candidates: dict[str, list[dict]] | None = None,
 ) -> tuple[list[tr.Trained], DataFrame]:
     """Train all models, write models, summaries, importances and the run table.
 
     Without grid search the presets apply, or ``params`` by model (demand, stockout, delay, tier).
+    With it, ``candidates`` by model replace the grids, and scores are kept in ``grid_ledger``: a
+    run that was stopped goes on with them.
     """
     work_dir = work_dir.rstrip("/")
     models, outputs = f"{work_dir}/models", f"{work_dir}/model_outputs"
-    given = params or {}
+    given, chosen, ledger = params or {}, candidates or {}, f"{outputs}/grid_ledger" if run_grid else None
+    more = lambda name: {"ledger": ledger, "candidates": chosen.get(name)}
     demand = tr.train_demand(
-        readers.read_features(spark, "demand", f"{work_dir}/features"), given.get("demand"), run_grid, n_splits, split
+        readers.read_features(spark, "demand", f"{work_dir}/features"), given.get("demand"), run_grid, n_splits, split, **more("demand")
     )
     stockout = tr.train_stockout(
-        readers.read_features(spark, "stockout", f"{work_dir}/features"), given.get("stockout"), run_grid, n_splits, split
+        readers.read_features(spark, "stockout", f"{work_dir}/features"), given.get("stockout"), run_grid, n_splits, split, **more("stockout")
     )
     risk = readers.read_features(spark, "supplier_risk", f"{work_dir}/features")
-    delay = tr.train_delay(risk, given.get("delay"), run_grid, split)
-    tier = tr.train_tier(risk, given.get("tier"), run_grid, split)
+    delay = tr.train_delay(risk, given.get("delay"), run_grid, split, **more("delay"))
+    tier = tr.train_tier(risk, given.get("tier"), run_grid, split, **more("tier"))
     results = [demand, stockout, delay, tier]
     probability = lambda: vector_to_array(F.col("probability"))[1]
     ranked = {
@@ -171,7 +175,7 @@ def run_models(
         ),
     }
     for r in results:
-        sinks.save_model(r.model, models, r.name)
+        sinks.save_model(spark, r.model, models, r.name)
         sinks.write_summary(spark, outputs, r.name, r.metrics, r.params, r.features)
         artefacts = [r.name]
         if r.name in ranked:

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depotkit.ml.boosting import Boosted
 from depotkit.schemas import LOAD_ORDER
 from depotkit.sources import readers
 
@@ -131,11 +132,15 @@ def log_run(
     return path
 
 
-def save_model(model: PipelineModel, folder: str, name: str) -> str:
+def save_model(spark: SparkSession, model: PipelineModel | Boosted, folder: str, name: str) -> str:
     path = f"{folder.rstrip('/')}/{name}"
-    model.write().overwrite().save(path)
+    if isinstance(model, Boosted):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(folder: str, name: str) -> PipelineModel:
-    return PipelineModel.load(f"{folder.rstrip('/')}/{name}")
+def load_model(spark: SparkSession, folder: str, name: str, boosted: bool) -> PipelineModel | Boosted:
+    path = f"{folder.rstrip('/')}/{name}"
+    return Boosted.load(spark, path) if boosted else PipelineModel.load(path)

@@ -8,42 +8,65 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from depotkit.operators import cleaning as cl
-from depotkit.operators.ordering import global_quantiles, group_quantiles, row_index, running_totals
+from depotkit.operators.ordering import global_quantiles, group_quantiles, key_value, row_index, running_totals, sort_key
 
 
-@pytest.mark.parametrize("limit,accuracy", [(10**6, 10_000), (50, 200), (5, 50)])
-def test_global_quantiles_equal_numpy(spark, limit, accuracy):
+def test_global_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(7)
-    skewed = np.concatenate([np.full(900, 3.0), rng.lognormal(0, 3, 1201), rng.integers(0, 5, 400)])
+    skewed = np.concatenate([np.full(900, 3.0), rng.lognormal(0, 3, 1201), rng.integers(0, 5, 400), -rng.lognormal(0, 9, 300)])
     df = spark.createDataFrame([(float(v), float(i % 7)) for i, v in enumerate(skewed)], "v double, w double")
-    df = df.unionByName(spark.createDataFrame([(None, None)], "v double, w double"))
+    df = df.unionByName(spark.createDataFrame([(None, None), (float("nan"), None)], "v double, w double"))
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = global_quantiles(df, ["v", "w"], probs, limit=limit, accuracy=accuracy)
+    got = global_quantiles(df, ["v", "w"], probs)
     np.testing.assert_allclose(got["v"], np.quantile(skewed, probs), rtol=1e-12)
     np.testing.assert_allclose(got["w"], np.quantile(np.arange(len(skewed)) % 7, probs), rtol=1e-12)
 
 
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308,
+         float("inf"), float("-inf"), 1.0, 0.9999999999999999, 1.0000000000000002, 2.0, 4.0, 3.9999999999999996, 8.0, 1e22, 0.1]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=False), min_size=1, max_size=300))
+def test_sort_keys_are_the_bits_and_come_back(spark, xs):
+    xs = xs + EDGES
+    df = spark.createDataFrame([(x,) for x in xs], "v double").withColumn("k", sort_key(F.col("v"))).withColumn("again", key_value(F.col("k")))
+    got = df.toPandas()
+    bits = np.abs(np.array(xs)).view(np.int64)
+    assert got["k"].tolist() == np.where(np.array(xs) < 0, -bits, bits).tolist()
+    assert got["again"].tolist() == [x + 0.0 for x in xs]
+    assert spark.createDataFrame([(None,), (float("nan"),)], "v double").filter(sort_key(F.col("v")).isNotNull()).count() == 0
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40))
 def test_global_quantiles_property(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs], "v double")
-    got = global_quantiles(df, ["v"], [0.25, 0.75], limit=4, accuracy=20)["v"]
+    got = global_quantiles(df, ["v"], [0.25, 0.75])["v"]
     np.testing.assert_allclose(got, np.quantile(xs, [0.25, 0.75]), rtol=1e-9, atol=1e-9)
 
 
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert global_quantiles(df, ["v"], [0.5]) == {"v": [None]}
+    assert global_quantiles(df.limit(0), ["v"], [0.5]) == {"v": [None]}
+    assert group_quantiles(df.withColumn("g", F.lit(1)), ["v"], [0.5], ["g"]).count() == 0
 
 
 def test_group_quantiles_equal_pandas(spark):
     rng = np.random.default_rng(3)
-    pdf = pd.DataFrame({"g": rng.choice(list("aaaaab"), 3000), "v": rng.normal(size=3000).round(2)})
+    pdf = pd.DataFrame({"c": rng.choice(list("aaaaab"), 3000), "v": rng.normal(size=3000).round(2), "w": rng.normal(size=3000)})
     pdf.loc[pdf.index % 11 == 0, "v"] = np.nan
     df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None)))
-    got = group_quantiles(df, ["v"], [0.1, 0.5], ["g"], accuracy=100).orderBy("g").toPandas()
-    want = pdf.groupby("g").v.quantile([0.1, 0.5]).unstack()
-    np.testing.assert_allclose(got[["v_q0", "v_q1"]], want, rtol=1e-12)
+    got = group_quantiles(df, ["v", "w"], [0.1, 0.5], ["c"]).orderBy("c").toPandas()
+    for c in ("v", "w"):
+        want = pdf.groupby("c")[c].quantile([0.1, 0.5]).unstack()
+        np.testing.assert_allclose(got[[f"{c}_q0", f"{c}_q1"]], want, rtol=1e-12)
+
+
+def test_quantiles_of_one_hot_group(spark):
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), (F.col("id") % 1000 / 8).alias("v"))
+    assert group_quantiles(df, ["v"], [0.5], ["g"]).first()["v_q0"] == 62.4375
 
 
 def test_keep_one_null_keys_and_order(spark):

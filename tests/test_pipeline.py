@@ -59,9 +59,15 @@ def test_tables_features_models(spark, raw, tmp_path):
     assert sets["supplier_risk"].count() == 96
     assert profiles["demand"].first().rows == 960
 
-    small = {"maxIter": 3, "maxDepth": 3}
-    params = {"demand": small, "stockout": {"numTrees": 5, "maxDepth": 4}, "delay": small, "tier": {"maxIter": 2, "maxDepth": 2}}
-    results, report = pipeline.run_models(spark, work, run_grid=False, params=params, n_splits=2, n_repeats=1)
+    small = {"rounds": 3, "depth": 3}
+    candidates = {
+        "demand": [small, small | {"l2": 0.1}], "stockout": [{"numTrees": 3, "maxDepth": 3, "featureSubsetStrategy": s} for s in ("sqrt", "0.5")],
+        "delay": [small | {"subsample": 0.8}, small], "tier": [{"rounds": 2, "depth": 2}, {"rounds": 2, "depth": 3}],
+    }
+    results, report = pipeline.run_models(spark, work, run_grid=True, n_splits=2, n_repeats=1, candidates=candidates)
+    assert all(r.params in candidates[k] for k, r in zip(("demand", "stockout", "delay", "tier"), results))
+    ledger = spark.read.parquet(f"{work}/model_outputs/grid_ledger")
+    assert {(r["model"], r["count"]) for r in ledger.groupBy("model").count().collect()} == {("demand", 4), ("stockout", 4), ("delay", 10), ("tier", 10)}
     names = {r.name for r in results}
     assert {r.model for r in report.collect()} == names and len(names) == 4
     assert 0 <= results[1].metrics["test_auc"] <= 1
@@ -71,9 +77,10 @@ def test_tables_features_models(spark, raw, tmp_path):
     assert runs.select("run_id").distinct().count() == 4
     summary = spark.read.json(f"{work}/model_outputs/demand_forecasting_v1_summary").first()
     assert summary.model == "demand_forecasting_v1" and "lag_7" in summary.features
-    again = sinks.load_model(f"{work}/models", "demand_forecasting_v1")
-    test = results[0].test.drop("features", "prediction")
-    assert again.transform(test).count() == test.count()
+    again = sinks.load_model(spark, f"{work}/models", "demand_forecasting_v1", boosted=True)
+    test = results[0].test
+    assert again.transform(test.withColumnRenamed("prediction", "before")).filter("prediction = before").count() == test.count()
+    assert len(sinks.load_model(spark, f"{work}/models", "stockout_prediction_v1", boosted=False).stages[-1].trees) == 3
 
 
 def test_missing_inputs(spark, raw, tmp_path):
