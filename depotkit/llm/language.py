@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,28 +12,39 @@ from pyspark.sql import types as T
 
 from depotkit.llm.common import written
 
-WORD = re.compile(r"[^\W\d_]+")
+#: What parts words; a word is a run of letters.
+NO_LETTERS = r"\P{L}+"
 LONGEST = 5
 #: Bounds of the model that is sent to every task: languages, words of each, n-grams of each length.
 LANGUAGES, WORDS, GRAMS = 32, 10_000, 3_000
 #: Labelled texts of each language that the model is fitted on, about; chosen by hash.
 SAMPLE_DOCS = 10_000
-#: Words whose scores a worker keeps.
-KEPT_WORDS = 200_000
+#: Words whose scores a worker keeps from one block of texts to the next, and characters of a block.
+KEPT_WORDS, BLOCK_CHARS = 100_000, 2_000_000
 #: What an entry is taken to occur in a language where it was not seen.
 UNSEEN = 0.5
-#: Longest word that is looked at as a whole; longer runs of letters are cut into words of this size.
+#: Longest word that is looked at as a whole; longer runs of letters are cut into pieces of this size.
 WORD_CHARS = 64
 
 
-def letters(text: str | None) -> list[str]:
-    """The lower-cased words: runs of letters, cut after WORD_CHARS."""
-    found = WORD.findall((text or "").lower())
-    if not all(map(str.isalpha, found)):  # numerals that are no digits, such as U+00B2
-        found = "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
-    if found and max(map(len, found)) > WORD_CHARS:
-        found = [w[i:i + WORD_CHARS] for w in found for i in range(0, len(w), WORD_CHARS)]
-    return found
+def word_lists(texts: pa.Array) -> pa.ListArray:
+    """The lower-cased words of each text, among empty ones where a text begins or ends without a letter."""
+    return pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.string()), "")), NO_LETTERS)
+
+
+def blocks(batch: pa.RecordBatch, text: str):
+    """Slices of a batch of about BLOCK_CHARS bytes of text, of one text at least."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        end = int(np.searchsorted(upto, (upto[start - 1] if start else 0) + BLOCK_CHARS)) + 1
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def pieces(word: str) -> list[str]:
+    """A word, or its parts of WORD_CHARS."""
+    return [word[i:i + WORD_CHARS] for i in range(0, len(word), WORD_CHARS)]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -49,13 +58,13 @@ def _entries(sample: DataFrame) -> DataFrame:
 
     def words(batches):
         for batch in batches:
-            found: dict[str, Counter] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found.setdefault(lang, Counter()).update(letters(text.as_py()))
-            for lang, counts in found.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                    ["lang", "entry", "n"])
+            for lang in batch.column("lang").unique().to_pylist():
+                mine = batch.filter(pc.equal(batch.column("lang"), lang))
+                for block in blocks(mine, "text"):
+                    counts = pc.value_counts(word_lists(block.column("text")).flatten())
+                    found = [(p, n) for w, n in zip(counts.field("values").to_pylist(), counts.field("counts").to_pylist()) for p in pieces(w)]
+                    entries, n = zip(*found) if found else ((), ())
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(entries, pa.string()), pa.array(n, pa.int64())], ["lang", "entry", "n"])
 
     counted = sample.mapInArrow(words, "lang string, entry string, n long").groupBy("lang", "entry").agg(F.sum("n").alias("n"))
     counted = written(counted, "words")
@@ -89,41 +98,62 @@ class Model:
         self._forget()
 
     def _forget(self) -> None:
-        self._rows: dict[str, int] = {}
+        self._rows: dict[str, int] = {"": 0}
         self._scores = np.zeros((1024, len(self.langs)))
 
-    def score_word(self, word: str) -> np.ndarray:
-        """A known word's log frequencies; else the mean over its known n-grams of the longest size
-        that has any; zero if none is known."""
+    def _known(self, word: str) -> list[int]:
+        """The rows of a word: its own, or those of its known n-grams of the longest size that has any."""
         at = self.words.get(word)
         if at is not None:
-            return self.table[at]
+            return [at]
+        known = self.parts
         for size in range(LONGEST, 0, -1):
-            rows = [self.parts[g] for g in grams(word, size) if g in self.parts]
+            rows = [known[g] for g in grams(word, size) if g in known]
             if rows:
-                return self.table[rows].mean(axis=0)
-        return np.zeros(len(self.langs))
-
-    def _row(self, word: str) -> int:
-        row = self._rows.get(word)
-        if row is None:
-            row = self._rows[word] = len(self._rows)
-            if row == len(self._scores):
-                self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
-            self._scores[row] = self.score_word(word)
-        return row
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language of a text and its share of the likelihood, all languages weighed alike."""
-        found = letters(text) if self.langs else []
-        if not found:
-            return "und", 0.0
+                return rows
+        return []
+
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """A known word's log frequencies; else the mean over its known n-grams of the longest size
+        that has any; zero if none is known. Longer words than WORD_CHARS are the sum of their pieces."""
+        rows = [self._known(w) if len(w) <= WORD_CHARS else [] for w in words]
+        sizes = np.array([len(r) for r in rows], np.int64)
+        out = np.zeros((len(words), len(self.langs)))
+        flat = np.array([row for r in rows for row in r], np.int64)
+        if len(flat):
+            known = sizes > 0
+            out[known] = np.add.reduceat(self.table[flat], (np.cumsum(sizes) - sizes)[known], axis=0) / sizes[known][:, None]
+        for i, word in enumerate(words):
+            if len(word) > WORD_CHARS:
+                out[i] = self.score_words(pieces(word)).sum(axis=0)
+        return out
+
+    def _rows_of(self, words: list[str]) -> np.ndarray:
+        """Where the scores of these words are kept; row 0 is that of no word."""
         if len(self._rows) > KEPT_WORDS:
             self._forget()
-        rows = [self._row(w) for w in found]
-        total = self._scores[rows].sum(axis=0)
-        best = int(np.argmax(total))
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+        fresh = [w for w in words if w not in self._rows]
+        first = len(self._rows)
+        while len(self._scores) < first + len(fresh):
+            self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
+        self._scores[first:first + len(fresh)] = self.score_words(fresh)
+        self._rows.update(zip(fresh, range(first, first + len(fresh))))
+        return np.array([self._rows[w] for w in words], np.int64)
+
+    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """The language of each text and its share of the likelihood, all languages weighed alike.
+        Each distinct word of the texts is looked up once."""
+        if not self.langs or not len(texts):
+            return ["und"] * len(texts), np.zeros(len(texts))
+        lists = word_lists(texts)
+        words = lists.flatten().dictionary_encode()
+        rows = self._rows_of(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        starts = (lists.offsets.to_numpy() - lists.offsets[0].as_py())[:-1]
+        total = np.add.reduceat(self._scores[rows], starts, axis=0)
+        best = total.argmax(axis=1)
+        share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        some = np.add.reduceat((rows > 0).astype(np.int64), starts) > 0
+        return [self.langs[b] if s else "und" for b, s in zip(best.tolist(), some.tolist())], np.where(some, share, 0.0)
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -178,9 +208,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     def run(batches):
         mine = Model(*shared.value)
         for batch in batches:
-            found = [mine.predict(item.as_py()) for item in batch.column("text")]
-            langs, scores = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["kept", "lang_pred", "score"])
+            for block in blocks(batch, "text"):
+                langs, scores = mine.predict(block.column("text"))
+                yield pa.RecordBatch.from_arrays([block.column("kept"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["kept", "lang_pred", "score"])
 
     out = T.StructType([rows.schema["kept"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(run, out).select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], "lang_pred", "score")

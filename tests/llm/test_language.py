@@ -1,12 +1,22 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from depotkit.llm import language
-from depotkit.llm.language import Model, fit, grams, held_out, identify, letters, op12_query
+from depotkit.llm.language import Model, fit, grams, held_out, identify, op12_query, pieces, word_lists
 from tests.llm.helpers import documents
 
+def letters(text):
+    return [p for w in word_lists(pa.array([text], pa.string()))[0].as_py() for p in pieces(w)]
+
+
+def predicted(model, texts):
+    langs, scores = model.predict(pa.array(texts, pa.string()))
+    return list(zip(langs, scores.tolist()))
+
+
 TEXTS = {
     "en": "the cat and the dog walked through their old town with nothing but what they thought was right",
     "de": "die katze und der hund gingen durch ihre alte stadt mit nichts als dem was sie für richtig hielten",
@@ -20,17 +30,19 @@ def labelled(spark, more=()):
 
 def test_words_come_first_then_shorter_grams(spark):
     model = fit(labelled(spark))
+    score = lambda word: model.score_words(["cat", word, "日"])[1]
     assert sorted(model.langs) == ["de", "en", "fr"]
-    the = model.score_word("the")
+    the = score("the")
     assert np.array_equal(the, model.table[model.words["the"]]) and model.langs[int(the.argmax())] == "en"
     word = "thoughtful"  # unseen: its 5-grams of "thought" are known
     assert word not in model.words
     rows = [model.parts[g] for g in grams(word, 5) if g in model.parts]
-    assert rows and np.array_equal(model.score_word(word), model.table[rows].mean(axis=0))
+    assert rows and np.allclose(score(word), model.table[rows].mean(axis=0))
     short = "zzü"  # no longer gram is known; the letter is
     assert not any(g in model.parts for n in (5, 4, 3, 2) for g in grams(short, n))
-    assert model.langs[int(model.score_word(short).argmax())] == "de"
-    assert not model.score_word("日").any()
+    assert model.langs[int(score(short).argmax())] == "de"
+    assert not score("日").any()
+    assert np.allclose(score("the" * 50), model.score_words(pieces("the" * 50)).sum(axis=0))
 
 
 def test_table_holds_the_counts(spark):
@@ -55,9 +67,10 @@ def test_predictions(spark):
 
 
 def test_letters():
-    assert letters("Don't x² ½ ÀB́ a_b 9z") == ["don", "t", "x", "àb", "a", "b", "z"]
-    assert letters(None) == [] and letters("²³ ½") == []
-    assert [len(w) for w in letters("a" * 150)] == [64, 64, 22]
+    words = lambda text: [w for w in letters(text) if w]
+    assert words("Don't x² ½ ÀB́ a_b 9z") == ["don", "t", "x", "àb", "a", "b", "z"]
+    assert words(None) == [] and words("²³ ½") == []
+    assert [len(w) for w in words("a" * 150)] == [64, 64, 22]
     assert grams("ab", 1) == ["a", "b"] and grams("ab", 3) == ["<ab", "ab>"] and grams("a", 5) == []
 
 
@@ -76,12 +89,18 @@ def test_clashing_columns_stay(spark):
     assert got.count() == docs.count()
 
 
-def test_the_cache_is_bounded_and_does_not_matter(monkeypatch, spark):
+def test_blocks_and_the_cache_do_not_matter(monkeypatch, spark):
     model = fit(labelled(spark))
-    want = [model.predict(t) for t in TEXTS.values()]
+    texts = [*TEXTS.values(), None, "unseen wörds here", "", "12"]
+    want = [predicted(model, [t])[0] for t in texts]
+    assert predicted(model, texts) == want and predicted(model, []) == []
+    assert predicted(model, ["", None]) == [("und", 0.0)] * 2
     monkeypatch.setattr(language, "KEPT_WORDS", 3)
     again = Model(model.langs, model.words, model.parts, model.table)
-    assert [again.predict(t) for t in TEXTS.values()] == want and len(again._rows) < 40
+    assert [predicted(again, [t])[0] for t in texts] == want and len(again._rows) < 40
+    batch = pa.RecordBatch.from_arrays([pa.array(["abc", None, "", "abcdef", "a"])], ["text"])
+    monkeypatch.setattr(language, "BLOCK_CHARS", 4)
+    assert [b.column(0).to_pylist() for b in language.blocks(batch, "text")] == [["abc", None, "", "abcdef"], ["a"]]
 
 
 def test_the_sample_bound_holds(spark):
