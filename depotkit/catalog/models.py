@@ -27,20 +27,44 @@ def _fitted(t, name: str, make) -> tr.Trained:
     return _FITTED[key]
 
 
-def _demand(t):
-    return _fitted(t, "demand", lambda: tr.train_demand(series.f_demand(t)))
+def _final(t, name: str, make) -> tr.Trained:
+    """The final model, which is the same with and without the folds of its evaluation."""
+    evaluated = (t.spark.sparkContext.applicationId, t.folder, name)
+    return _FITTED[evaluated] if evaluated in _FITTED else _fitted(t, f"{name} alone", lambda: make(0))
 
 
-def _stockout(t):
-    return _fitted(t, "stockout", lambda: tr.train_stockout(series.f_stockout(t)))
+def _fit_demand(t):
+    return lambda folds: tr.train_demand(series.f_demand(t), n_splits=folds)
+
+
+def _fit_stockout(t):
+    return lambda folds: tr.train_stockout(series.f_stockout(t), n_splits=folds)
+
+
+def _demand(t, evaluated: bool = False):
+    return _fitted(t, "demand", lambda: _fit_demand(t)(5)) if evaluated else _final(t, "demand", _fit_demand(t))
+
+
+def _stockout(t, evaluated: bool = False):
+    return _fitted(t, "stockout", lambda: _fit_stockout(t)(5)) if evaluated else _final(t, "stockout", _fit_stockout(t))
+
+
+def _suppliers(t, model: str):
+    def make():
+        both = tr.train_suppliers(series.f_supplier_risk(t))
+        for name, trained in both.items():
+            _FITTED[t.spark.sparkContext.applicationId, t.folder, name] = trained
+        return both[model]
+
+    return _fitted(t, model, make)
 
 
 def _delay(t):
-    return _fitted(t, "delay", lambda: tr.train_delay(series.f_supplier_risk(t)))
+    return _suppliers(t, "delay")
 
 
 def _tier(t):
-    return _fitted(t, "tier", lambda: tr.train_tier(series.f_supplier_risk(t)))
+    return _suppliers(t, "tier")
 
 
 def _metrics(t, trained):
@@ -54,12 +78,12 @@ def _probability():
 
 @query("m_train_demand")
 def m_train_demand(t):
-    return _metrics(t, _demand(t))
+    return _metrics(t, _demand(t, evaluated=True))
 
 
 @query("m_train_stockout")
 def m_train_stockout(t):
-    return _metrics(t, _stockout(t))
+    return _metrics(t, _stockout(t, evaluated=True))
 
 
 @query("m_train_delay")
@@ -130,7 +154,7 @@ def i_score_supplier(t):
 
 @query("m_report")
 def m_report(t):
-    return tr.report([_demand(t), _stockout(t), _delay(t), _tier(t)])
+    return tr.report([_demand(t, evaluated=True), _stockout(t, evaluated=True), _delay(t), _tier(t)])
 
 
 # Two rounds of stumps, which SQL can grow as well. Rows of sales are the training table: few distinct

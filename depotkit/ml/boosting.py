@@ -34,8 +34,8 @@ BLOCK_ROWS = 65_536
 WRITE_EVERY = 10
 #: Up to so many tasks the driver adds histograms itself; beyond, one task a feature does.
 DIRECT_TASKS = 64
-#: Models that grow in the same passes.
-LANES = 12
+#: Rows a task should have, and models that grow in the same passes.
+TASK_ROWS, LANES = 16_384, 12
 
 
 @dataclass(frozen=True)
@@ -145,11 +145,12 @@ def to_bins(columns: Sequence[np.ndarray], edges: Sequence[Sequence[float]]) ->
 _BLOCK = "n long, bins binary, y binary, fold binary, test binary, valid binary, hash binary, raw binary"
 
 
-def to_blocks(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]], label: str, keys: Sequence[str]) -> DataFrame:
+def to_blocks(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]], labels: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """The binned table: a row holds the arrays of up to BLOCK_ROWS rows of ``df``, which has the
-    columns fold, is_test and is_validation besides. Rows without a label are left out."""
-    rows = df.filter(F.col(f"`{label}`").isNotNull()).select(
-        *[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(features)], F.col(f"`{label}`").cast("double").alias("y"),
+    columns fold, is_test and is_validation besides. A label may be missing."""
+    rows = df.select(
+        *[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(features)],
+        *[F.col(f"`{c}`").cast("double").alias(f"y{i}") for i, c in enumerate(labels)],
         F.coalesce(F.col("fold").cast("int"), F.lit(-1)).alias("fold"), F.col("is_test").cast("boolean").alias("test"),
         F.col("is_validation").cast("boolean").alias("valid"), F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("hash"))
     k = len(features)
@@ -159,9 +160,9 @@ def to_blocks(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[f
 
         def block():
             table = pa.Table.from_batches(held)
-            x = [table.column(i).to_numpy().astype(np.float64) for i in range(k)]
-            flat = [table.column(k + i).to_numpy().astype(t).tobytes() for i, t in enumerate((np.float64, np.int16, bool, bool, np.int64))]
-            cells = [table.num_rows, to_bins(x, edges).tobytes(), *flat, b""]
+            x = [table.column(i).to_numpy().astype(np.float64) for i in range(k + len(labels))]
+            flat = [table.column(c).to_numpy().astype(t).tobytes() for c, t in (("fold", np.int16), ("test", bool), ("valid", bool), ("hash", np.int64))]
+            cells = [table.num_rows, to_bins(x[:k], edges).tobytes(), b"".join(y.tobytes() for y in x[k:]), *flat, b""]
             return pa.RecordBatch.from_arrays([pa.array([c]) for c in cells], ["n", "bins", "y", "fold", "test", "valid", "hash", "raw"])
 
         for batch in batches:
@@ -176,19 +177,20 @@ def to_blocks(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[f
     return rows.mapInArrow(run, _BLOCK)
 
 
-# Rows a model trains on and is scored on, by their fold and hold-out flag.
-
-def _rows(kind: tuple, fold: np.ndarray, test: np.ndarray) -> np.ndarray:
-    name, *at = kind
-    return {"before": lambda: fold < at[0], "other": lambda: ~test & (fold != at[0]), "train": lambda: ~test, "all": lambda: test | ~test}[name]()
-
-
 @dataclass(frozen=True)
 class Lane:
-    """A model to fit and its training rows: ("before", f), ("other", f), ("train",) or ("all",)."""
+    """A model to fit, its training rows, ("before", f), ("other", f), ("train",) or ("all",), and the
+    place of its label. Rows without that label train nothing."""
 
     spec: Spec
     rows: tuple
+    label: int = 0
+
+
+def _rows(lane: Lane, fold: np.ndarray, test: np.ndarray, y: np.ndarray) -> np.ndarray:
+    name, *at = lane.rows
+    kinds = {"before": lambda: fold < at[0], "other": lambda: ~test & (fold != at[0]), "train": lambda: ~test, "all": lambda: True}
+    return kinds[name]() & ~np.isnan(y)
 
 
 def _sampled(hashes: np.ndarray, spec: Spec, round_: int) -> np.ndarray:
@@ -234,7 +236,7 @@ class _Grown:
     def task(self) -> dict:
         """What a task needs to know."""
         pending = [[t.arrays() for t in trees] for trees in self.rounds[self.written:]]
-        return {"spec": self.lane.spec, "rows": self.lane.rows, "start": self.start, "pending": pending, "fresh": self.written == 0,
+        return {"spec": self.lane.spec, "lane": self.lane, "start": self.start, "pending": pending, "fresh": self.written == 0,
                 "round": len(self.rounds), "trees": [t.arrays() for t in self.trees], "asked": self.asked, "step": self.step, "first": self.level == 0}
 
 
@@ -247,7 +249,7 @@ def _raw(task: dict, held: np.ndarray, bins: np.ndarray) -> np.ndarray:
 
 
 def _blocks_of(batches, k: int, classes: Sequence[int]):
-    """(bins, y, fold, test, valid, hash, raw per model) of each block."""
+    """(bins, labels, fold, test, valid, hash, raw per model) of each block."""
     for batch in batches:
         for row in batch.to_pylist():
             n = row["n"]
@@ -256,7 +258,7 @@ def _blocks_of(batches, k: int, classes: Sequence[int]):
             for c in classes:
                 raw.append(at[:c * n].reshape(-1, n))
                 at = at[c * n:]
-            yield (bins, np.frombuffer(row["y"]), np.frombuffer(row["fold"], np.int16), np.frombuffer(row["test"], bool),
+            yield (bins, np.frombuffer(row["y"]).reshape(-1, n), np.frombuffer(row["fold"], np.int16), np.frombuffer(row["test"], bool),
                    np.frombuffer(row["valid"], bool), np.frombuffer(row["hash"], np.int64), raw), row
 
 
@@ -267,11 +269,11 @@ def _histograms(blocks: DataFrame, tasks: dict[int, dict], sizes: list[int], cla
     def run(batches):
         sums: dict[tuple, np.ndarray] = {}
         notes = {m: [0.0, 0.0, 0.0] for m in tasks}
-        for (bins, y, fold, test, valid, hashes, held), _ in _blocks_of(batches, k, classes):
+        for (bins, labels, fold, test, valid, hashes, held), _ in _blocks_of(batches, k, classes):
             for m, task in tasks.items():
-                spec = task["spec"]
+                spec, y = task["spec"], labels[task["lane"].label]
                 raw = _raw(task, held[m], bins)
-                mine = _rows(task["rows"], fold, test)
+                mine = _rows(task["lane"], fold, test, y)
                 if spec.patience:
                     if task["first"]:
                         check = mine & valid
@@ -582,23 +584,23 @@ def steps(arrays: tuple[np.ndarray, ...], bins: np.ndarray, out: np.ndarray) ->
 
 
 def fit_all(
-    df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], lanes: Sequence[Lane],
+    df: DataFrame, features: Sequence[str], labels: Sequence[str], keys: Sequence[str], lanes: Sequence[Lane],
     edges: list[list[float]] | None = None, fills: dict[str, float] | None = None,
 ) -> list[Boosted]:
     """One model a lane, grown together, LANES at a time.
 
-    ``df`` has the features (missing values as null or NaN), the label, the columns fold, is_test and
+    ``df`` has the features (missing values as null or NaN), the labels, the columns fold, is_test and
     is_validation, and ``keys``, whose hash picks the rows of a round's sample. Bins come from all
-    rows given that are not held out. Rows without a label train nothing; a model without training
-    rows has a start score of 0 and no trees.
+    rows given that are not held out. A model without training rows has a start score of 0 and no trees.
     """
     fills = fills or {}
     filled = df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(v)) for c, v in fills.items()})
     if edges is None:
         edges = bin_edges(filled.filter(~F.col("is_test")), features)
     sizes = [len(e) + 2 for e in edges]
-    base = cut_lineage(to_blocks(filled, features, edges, label, keys)).persist(StorageLevel.MEMORY_AND_DISK)
-    many = base.rdd.getNumPartitions() > DIRECT_TASKS
+    base = cut_lineage(to_blocks(filled, features, edges, labels, keys))
+    tasks = min(base.rdd.getNumPartitions(), -(-(base.agg(F.sum("n")).first()[0] or 1) // TASK_ROWS))
+    base, many = base.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK), tasks > DIRECT_TASKS
     try:
         return [m for i in range(0, len(lanes), LANES) for m in _fit(base, list(features), edges, sizes, lanes[i:i + LANES], fills, many)]
     finally:
@@ -612,9 +614,10 @@ def _starts(blocks: DataFrame, lanes: Sequence[Lane], k: int) -> list[tuple[list
     def run(batches):
         out = np.zeros((len(lanes), 2 + widest))
         low, high = np.full(len(lanes), np.inf), np.full(len(lanes), -np.inf)
-        for (_, y, fold, test, valid, *_), _ in _blocks_of(batches, k, []):
+        for (_, labels, fold, test, valid, *_), _ in _blocks_of(batches, k, []):
             for i, lane in enumerate(lanes):
-                mine = _rows(lane.rows, fold, test)
+                y = labels[lane.label]
+                mine = _rows(lane, fold, test, y)
                 z = y[mine & ~valid if lane.spec.patience else mine]
                 out[i, 0] += len(z)
                 if len(z):
@@ -686,4 +689,4 @@ def fit(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
     """One model of all rows of ``df``; with patience, a tenth of them, by hash, only checks it."""
     checks = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(spec.seed)), F.lit(10)) == 0
     tagged = df.withColumns({"fold": F.lit(0), "is_test": F.lit(False), "is_validation": checks})
-    return fit_all(tagged, features, label, keys, [Lane(spec, ("all",))], **settings)[0]
+    return fit_all(tagged, features, [label], keys, [Lane(spec, ("all",))], **settings)[0]

@@ -53,8 +53,9 @@ def _selected(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
     of one value ends the search for its ranks, so there are at most ``len(SHIFTS)`` passes. Counts
     fold before they are shuffled, whatever the groups and values.
     """
-    keys = [F.struct(F.lit(c).alias("_c"), sort_key(F.col(f"`{name}`").cast("double")).alias("_k")) for c, name in enumerate(columns)]
-    rows = df.select(*[F.col(f"`{g}`") for g in by], F.explode(F.array(*keys)).alias("_r")).select(*by, "_r._c", "_r._k").filter("_k is not null")
+    values = [F.struct(F.lit(c).alias("_c"), F.col(f"`{name}`").cast("double").alias("_x")) for c, name in enumerate(columns)]
+    rows = df.select(*[F.col(f"`{g}`") for g in by], F.explode(F.array(*values)).alias("_r"))
+    rows = rows.select(*by, "_r._c", sort_key(F.col("_r._x")).alias("_k")).filter("_k is not null")
     # Without groups the targets are a few rows, which come back as literals.
     settle = cut_lineage if by else lambda d: d.sparkSession.createDataFrame(d.collect(), d.schema)
     names, found, open_ = [*by, "_c"], None, None

@@ -157,8 +157,8 @@ def run_models(
         readers.read_features(spark, "stockout", f"{work_dir}/features"), given.get("stockout"), run_grid, n_splits, split, **more("stockout")
     )
     risk = readers.read_features(spark, "supplier_risk", f"{work_dir}/features")
-    delay = tr.train_delay(risk, given.get("delay"), run_grid, split, **more("delay"))
-    tier = tr.train_tier(risk, given.get("tier"), run_grid, split, **more("tier"))
+    both = tr.train_suppliers(risk, {m: given[m] for m in ("delay", "tier") if m in given}, run_grid, split, ledger, chosen)
+    delay, tier = both["delay"], both["tier"]
     results = [demand, stockout, delay, tier]
     probability = lambda: vector_to_array(F.col("probability"))[1]
     ranked = {

@@ -95,7 +95,7 @@ def test_rows_dealt_otherwise_give_the_same_model(spark, monkeypatch):
     spec = bo.Spec(rounds=7, rate=0.2, depth=4, min_leaf=3, l2=0.1, subsample=0.7, max_leaves=9)
     want = bo.fit(table(spark, x), FEATURES, "y", ["id"], spec).to_json()
     assert bo.fit(table(spark, x, 1), FEATURES, "y", ["id"], spec).to_json() == want
-    for name, value in (("BLOCK_ROWS", 50), ("WRITE_EVERY", 2), ("DIRECT_TASKS", 0)):
+    for name, value in (("BLOCK_ROWS", 50), ("WRITE_EVERY", 2), ("DIRECT_TASKS", 0), ("TASK_ROWS", 100)):
         monkeypatch.setattr(bo, name, value)
     assert bo.fit(table(spark, x, 7), FEATURES, "y", ["id"], spec).to_json() == want
 
@@ -104,14 +104,13 @@ def test_models_grown_together_equal_those_grown_alone(spark):
     x = frame()
     spec = bo.Spec(rounds=12, rate=0.3, depth=3, min_leaf=5, patience=3)
     short = bo.Spec(loss="softmax", classes=3, rounds=2, depth=2)
-    lanes = [bo.Lane(spec, ("before", 2)), bo.Lane(short, ("other", 1)), bo.Lane(spec, ("train",))]
+    lanes = [bo.Lane(spec, ("before", 2)), bo.Lane(short, ("other", 1), 1), bo.Lane(spec, ("train",))]
     edges = bo.bin_edges(table(spark, x), FEATURES)
-    for label in ("k",):
-        together = bo.fit_all(table(spark, x), FEATURES, label, ["id"], lanes, edges)
-        alone = [bo.fit_all(table(spark, x), FEATURES, label, ["id"], [lane], edges)[0] for lane in lanes]
-        assert [m.to_json() for m in together] == [m.to_json() for m in alone]
+    together = bo.fit_all(table(spark, x), FEATURES, ["y", "k"], ["id"], lanes, edges)
+    alone = [bo.fit_all(table(spark, x), FEATURES, [["y", "k"][lane.label]], ["id"], [bo.Lane(lane.spec, lane.rows)], edges)[0] for lane in lanes]
+    assert [m.to_json() for m in together] == [m.to_json() for m in alone]
     before = x[(x.fold < 2) & ~x.is_validation]
-    assert together[0].start == [pytest.approx(before.k.mean())]
+    assert together[0].start == [pytest.approx(before.y.mean())]
     other = x[~x.is_test & (x.fold != 1)]
     assert np.allclose(np.exp(together[1].start), np.bincount(other.k.astype(int)) / len(other))
 
