@@ -599,7 +599,7 @@ def fit_all(
         edges = bin_edges(filled.filter(~F.col("is_test")), features)
     sizes = [len(e) + 2 for e in edges]
     base = cut_lineage(to_blocks(filled, features, edges, labels, keys))
-    tasks = min(base.rdd.getNumPartitions(), -(-(base.agg(F.sum("n")).first()[0] or 1) // TASK_ROWS))
+    tasks = min(max(1, base.rdd.getNumPartitions()), -(-(base.agg(F.sum("n")).first()[0] or 1) // TASK_ROWS))
     base, many = base.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK), tasks > DIRECT_TASKS
     try:
         return [m for i in range(0, len(lanes), LANES) for m in _fit(base, list(features), edges, sizes, lanes[i:i + LANES], fills, many)]

@@ -44,7 +44,7 @@ def run_etl(
     """Extract, validate, clean, transform, load. Returns the clean tables and the audit rows.
 
     Raw text is parsed once into ``<work_dir>/staged`` (with arrival order, so keep-first
-    means file order); validation and the quantile passes of the cleaners then read columns.
+    means file order), and records that are no rows go to ``<work_dir>/quarantine``; validation and the quantile passes of the cleaners then read columns.
     """
     run_ts = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
     work_dir = work_dir.rstrip("/")
@@ -59,15 +59,21 @@ def run_etl(
     rows: dict[str, int] = {}
     for t in names:
         try:
-            raw = readers.read_raw(spark, t, raw_dir, arrival=True)
+            raw = readers.parse_raw(spark, t, raw_dir)
         except FileNotFoundError:
             note(t, "extract", "file_exists", "FAIL", 0, 0, f"Not found: {raw_dir}/{t}.csv")
             sinks.write_audit(qa.combine(audit), f"{work_dir}/audit", run_ts)
             raise
-        path, rows[t] = sinks.write_table(raw, t, f"{work_dir}/staged")
-        staged[t] = spark.read.parquet(path)
-        width = len(raw.columns) - len(readers.ARRIVAL)
+        path, records = sinks.write_table(raw, t, f"{work_dir}/staged")
+        scan = readers.split_scan(spark.read.parquet(path))
+        staged[t], width = scan.rows, len(scan.rows.columns) - len(readers.ARRIVAL)
+        reasons = {r["_reason"]: r["count"] for r in scan.rejected.groupBy("_reason").count().collect()}
+        rows[t] = records - sum(reasons.values())
         note(t, "extract", "file_read", "PASS", 0, rows[t], f"{rows[t]:,} rows, {width} cols from {t}.csv")
+        if reasons:
+            sinks.write_table(scan.rejected, t, f"{work_dir}/quarantine")
+            for reason, n in sorted(reasons.items()):
+                note(t, "extract", reason.replace(" ", "_"), "WARN", records, rows[t], f"{n:,} records set aside in quarantine/{t}")
     for t in names:
         if t in CONTRACTS:
             audit.append(qa.validate(t, staged[t].drop(*readers.ARRIVAL), staged))

@@ -30,13 +30,19 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 @dataclass(frozen=True)
 class RawScan:
-    """The rows of a raw table, and the records that are no rows of it: (_file, _offset, _line, reason,
-    record), with reason "surplus fields" or "unclosed quote"."""
+    """The rows of a raw table, and the records that are no rows of it: (_file, _offset, _line, _reason,
+    _record), with reason "surplus fields" or "unclosed quote"."""
 
     rows: DataFrame
     rejected: DataFrame
 
 
+def split_scan(parsed: DataFrame) -> RawScan:
+    """The two parts of what :func:`parse_raw` gives, or of a table written from it."""
+    good = F.col("_reason").isNull()
+    return RawScan(parsed.filter(good).drop("_reason", "_record"), parsed.filter(~good).select(*ARRIVAL, "_reason", "_record"))
+
+
 def _marked(lines: DataFrame) -> DataFrame:
     """Each line with ``inside``, whether it begins within a quoted field, ``open``, whether it ends
     within one, and ``header``. Lines are read by many tasks: a first pass counts quotes per split,
@@ -92,7 +98,13 @@ def _joined(pieces: DataFrame) -> DataFrame:
 
 
 def scan_raw(spark: SparkSession, table: str, folder: str) -> RawScan:
-    """CSV scan of ``<folder>/<table>.csv`` (a file or a folder of parts), whose rows carry their ARRIVAL.
+    """The rows and the rejected records of :func:`parse_raw`."""
+    return split_scan(parse_raw(spark, table, folder))
+
+
+def parse_raw(spark: SparkSession, table: str, folder: str) -> DataFrame:
+    """CSV scan of ``<folder>/<table>.csv`` (a file or a folder of parts), whose rows carry their ARRIVAL,
+    ``_reason`` and ``_record``; these two are null unless a record is rejected.
 
     Columns are taken from the header, so extra ones pass through. Quoted fields may hold line breaks
     and doubled quotes, and a file is still read by many tasks. Blank lines are skipped and missing
@@ -114,10 +126,10 @@ def scan_raw(spark: SparkSession, table: str, folder: str) -> RawScan:
     names = [f"c{i}" for i in range(len(columns))]
     ddl = ", ".join(f"{c} string" for c in [*names, "surplus"])
     parsed = records.withColumn("row", F.when(F.col("reason").isNull(), F.from_csv("record", ddl, {"escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"})))
-    surplus = F.col("row.surplus").isNotNull()
-    rows = parsed.filter(F.col("reason").isNull() & ~surplus).select(*[F.col(f"row.{c}").alias(name) for c, name in zip(names, columns)], *ARRIVAL)
-    rejected = parsed.filter(F.col("reason").isNotNull() | surplus)
-    return RawScan(rows, rejected.select(*ARRIVAL, F.coalesce("reason", F.lit("surplus fields")).alias("reason"), "record"))
+    reason = F.when(F.col("row.surplus").isNotNull(), "surplus fields").otherwise(F.col("reason"))
+    parsed = parsed.withColumn("reason", reason)
+    fields = [F.when(F.col("reason").isNull(), F.col(f"row.{c}")).alias(name) for c, name in zip(names, columns)]
+    return parsed.select(*fields, *ARRIVAL, F.col("reason").alias("_reason"), F.when(F.col("reason").isNotNull(), F.col("record")).alias("_record"))
 
 
 def read_raw(spark: SparkSession, table: str, folder: str, arrival: bool = False) -> DataFrame:

@@ -53,7 +53,7 @@ def test_like_a_reader_of_the_whole_file(spark, tmp_path, split):
         rows, bad = plain(text)
         assert shown(scan.rows) == sorted(rows)
         got = scan.rejected.collect()
-        assert len(got) == bad and {r.reason for r in got} == {"surplus fields"} and all("surplus" in r.record for r in got)
+        assert len(got) == bad and {r._reason for r in got} == {"surplus fields"} and all("surplus" in r._record for r in got)
         ordered = [r.product_id for r in scan.rows.orderBy(*readers.arrival_order()).collect()]
         assert ordered == [r[0] for r in rows]
         assert scan.rows.columns == [*HEADER, *readers.ARRIVAL]
@@ -80,7 +80,7 @@ def test_a_quote_that_is_not_closed(spark, tmp_path, monkeypatch):
     scan = readers.scan_raw(spark, "products", str(tmp_path))
     assert shown(scan.rows) == [("1", "a", "b")]
     got = scan.rejected.orderBy(*readers.arrival_order()).collect()
-    assert [r.record for r in got] == lines[2:] and {r.reason for r in got} == {"unclosed quote"}
+    assert [r._record for r in got] == lines[2:] and {r._reason for r in got} == {"unclosed quote"}
     (tmp_path / "products.csv").write_text('product_id,sku,note\n1,a,"open\n2,b,c\n')
     assert readers.scan_raw(spark, "products", str(tmp_path)).rejected.count() == 2
 
