@@ -35,7 +35,7 @@ WRITE_EVERY = 10
 #: Up to so many tasks the driver adds histograms itself; beyond, one task a feature does.
 DIRECT_TASKS = 64
 #: Rows a task should have, and models that grow in the same passes.
-TASK_ROWS, LANES = 16_384, 12
+TASK_ROWS, LANES = 4_096, 12
 
 
 @dataclass(frozen=True)
@@ -353,26 +353,30 @@ def best_split(hist: np.ndarray, sizes: Sequence[int], spec: Spec, step: float)
     missing values in the node they follow the larger side. The last bin as the cut parts known
     values from missing ones.
     """
-    scale = np.array([step] * (len(hist) - 1) + [1.0])
-    sums = hist * scale[:, None]
-    weight = lambda s: s[1 if len(s) == 3 else -1]
-    worth = lambda s: s[0] ** 2 / np.maximum(weight(s) + spec.l2, 1e-300)
-    best, start = None, 0
-    for f, size in enumerate(sizes):
-        cells = sums[:, start:start + size]
-        start += size
-        total, missing = cells.sum(axis=1), cells[:, -1]
-        upto = np.cumsum(cells[:, :-1], axis=1)
-        for missing_left in (False, True) if missing[-1] else (False,):
-            left = upto + missing[:, None] if missing_left else upto
-            right = total[:, None] - left
-            gain = worth(left) + worth(right) - worth(total)
-            gain[np.minimum(left[-1], right[-1]) < max(1, spec.min_leaf)] = -np.inf
-            b = int(np.argmax(gain))
-            if gain[b] > 1e-12 * max(1.0, abs(worth(total))) and (best is None or gain[b] > best[0] * (1 + 1e-12)):
-                goes = missing_left if missing[-1] else bool(left[-1, b] > right[-1, b])
-                best = (float(gain[b]), f, b, goes, left[:, b], right[:, b])
-    return best
+    scale = np.array([step] * (len(hist) - 1) + [1.0])[:, None]
+    stops = np.cumsum(sizes)
+    starts, of = stops - sizes, np.repeat(np.arange(len(sizes)), sizes)
+    running = np.cumsum(hist, axis=1)
+    before = (running - hist)[:, starts]
+    total, missing = (running[:, stops[:1] - 1] - before[:, :1]) * scale, hist[:, stops - 1] * scale
+    upto = (running - before[:, of]) * scale
+    left = np.stack([upto, upto + missing[:, of]], axis=2)
+    right = total[:, :, None] - left
+    at = 1 if len(hist) == 3 else -1
+    worth = lambda s: s[0] ** 2 / np.maximum(s[at] + spec.l2, 1e-300)
+    whole = float(worth(total)[0])
+    gain = worth(left) + worth(right) - whole
+    gain[np.minimum(left[-1], right[-1]) < max(1, spec.min_leaf)] = -np.inf
+    gain[stops - 1] = -np.inf
+    gain[:, 1][missing[-1][of] == 0] = -np.inf
+    best = gain.max()
+    if not best > 1e-12 * max(1.0, abs(whole)):
+        return None
+    cell, missing_left = divmod(int(np.argmax(gain.ravel() >= best * (1 - 1e-12))), 2)
+    f = int(of[cell])
+    ours, theirs = left[:, cell, missing_left], right[:, cell, missing_left]
+    goes = bool(missing_left) if missing[-1, f] else bool(ours[-1] > theirs[-1])
+    return float(gain[cell, missing_left]), f, int(cell - starts[f]), goes, ours, theirs
 
 
 def _grow(model: _Grown, c: int, hist: np.ndarray, sizes: Sequence[int]) -> None:
