@@ -222,7 +222,7 @@ _AUDIT = " union all ".join(f"select * from ({_audit_sql(t)})" for t in CONTRACT
 
 def _audit(t):
     raw = {x: _raw(t, x) for x in CONTRACTS}
-    return qa.combine([qa.validate(x, df, raw) for x, df in raw.items()])
+    return qa.validate_all(raw, raw)
 
 
 @query("q_audit_table", "table stage check status i:rows_in i:rows_out detail", _AUDIT)

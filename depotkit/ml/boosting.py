@@ -363,7 +363,7 @@ def best_split(hist: np.ndarray, sizes: Sequence[int], spec: Spec, step: float)
     left = np.stack([upto, upto + missing[:, of]], axis=2)
     right = total[:, :, None] - left
     at = 1 if len(hist) == 3 else -1
-    worth = lambda s: s[0] ** 2 / np.maximum(s[at] + spec.l2, 1e-300)
+    worth = lambda s: s[0] ** 2 / np.maximum(s[at] + spec.l2, 1e-12)
     whole = float(worth(total)[0])
     gain = worth(left) + worth(right) - whole
     gain[np.minimum(left[-1], right[-1]) < max(1, spec.min_leaf)] = -np.inf

@@ -1,14 +1,14 @@
 """Contract checks as audit rows.
 
-All scalar checks of a table come from one aggregate pass. Key and reference checks
-count per key first, so a hot key or a pile of NULL keys is folded before the shuffle.
+The audit reads each table once: all checks are counts of tagged entries of its rows. Key and
+reference checks count per key first, so a hot key or a pile of NULL keys is folded before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotkit.functions import scalar as fn
@@ -47,66 +47,93 @@ def scalar_counts(df: DataFrame, contract: Contract) -> DataFrame:
     return df.agg(*outs)
 
 
-def _row(table: str, stage: str, check: str, status: Column, rows_in: Column, rows_out: Column, detail: Column):
-    return F.struct(
-        F.lit(table).alias("table"),
-        F.lit(stage).alias("stage"),
-        F.lit(check).alias("check"),
-        status.alias("status"),
-        rows_in.cast("long").alias("rows_in"),
-        rows_out.cast("long").alias("rows_out"),
-        detail.alias("detail"),
-    )
-
-
 def _thousands(c: Column) -> Column:
     return F.format_number(c, 0)
 
 
-def _warn(count: Column) -> Column:
-    return F.when(count > 0, "WARN").otherwise("PASS")
+def _expected(table: str, have: set[str], references: Mapping[str, DataFrame]) -> list[tuple[str, str, str, str]]:
+    """(check, kind, name among the counts, text behind the count) of a table's audit rows, in contract order."""
+    c = CONTRACTS[table]
+    rows = [("required_cols", "all", "", "All required columns present")]
+    if c.primary_key in have:
+        rows.append(("pk_unique", "key", "pk", f" duplicate PKs in '{c.primary_key}'"))
+    rows += [(f"not_null:{x}", "null", f"null:{x}", " nulls (") for x in c.not_null if x in have]
+    rows += [(f"range:{x}", "count", f"range:{x}", f" values outside [{lo},{hi}]") for x, (lo, hi) in c.ranges.items() if x in have]
+    rows += [(f"non_neg:{x}", "count", f"neg:{x}", " negative values") for x in c.non_negative if x in have]
+    rows += [(f"fk:{x}", "count", f"fk:{x}", " orphaned FK values") for x, ref in c.foreign_keys.items() if x in have and ref in references]
+    return [*rows, ("row_count", "rows", "rows", " rows")]
+
+
+def _tagged(df: DataFrame, table: str, audited: bool, referred: bool, references: Mapping[str, DataFrame]) -> DataFrame:
+    """(pool, key, name) entries of every row: one that counts it, one a violated scalar check, its key in
+    the pool of its table, and its references in the pools of theirs."""
+    c, have = CONTRACTS[table], set(df.columns)
+    entry = lambda pool, key, name: F.struct(
+        F.lit(pool).alias("pool"), (F.lit(None) if key is None else F.col(key)).cast("string").alias("key"), F.lit(f"{table}|{name}").alias("name"))
+    entries = []
+    if c.primary_key in have and (audited or referred):
+        entries.append(entry(table, c.primary_key, "pk"))
+    if audited:
+        entries.append(entry("", None, "rows"))
+        entries += [F.when(F.col(x).isNull(), entry("", None, f"null:{x}")) for x in c.not_null if x in have]
+        for x, (lo, hi) in c.ranges.items():
+            if x in have:
+                entries.append(F.when((fn.number(x) < lo) | (fn.number(x) > hi), entry("", None, f"range:{x}")))
+        entries += [F.when(fn.number(x) < 0, entry("", None, f"neg:{x}")) for x in c.non_negative if x in have]
+        entries += [entry(ref, x, f"fk:{x}") for x, ref in c.foreign_keys.items() if x in have and ref in references]
+    return df.select(F.inline(F.array_compact(F.array(*entries))))
+
+
+def validate_all(tables: Mapping[str, DataFrame], references: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The audit rows of all tables, in their order and that of their contracts, from one read of each.
+
+    All checks are counts of tagged entries: scalar checks by name, keys and references by (pool, key),
+    so that a table's keys meet the references to them in one shuffle. Copies of a key and NULL keys
+    fold before it. Keys are compared as text. Missing required columns raise.
+    """
+    references = references or {}
+    for table, df in tables.items():
+        missing = missing_columns(df, CONTRACTS[table].required)
+        if missing:
+            raise ValueError(f"[{table}] Missing columns: {missing}")
+    needed = {ref for t, df in tables.items() for x, ref in CONTRACTS[t].foreign_keys.items() if x in df.columns and ref in references}
+    same = {t for t in tables if t in needed and references[t] is tables[t]}
+    reads = [_tagged(df, t, True, t in same, references) for t, df in tables.items()]
+    reads += [_tagged(references[t].select(CONTRACTS[t].primary_key), t, False, True, references) for t in sorted(needed - same)]
+    tagged = reads[0]
+    for more in reads[1:]:
+        tagged = tagged.unionByName(more)
+    counts = tagged.groupBy("pool", "key", "name").agg(F.count("*").alias("n"))
+    own = F.max(F.when(F.col("name") == F.concat("pool", F.lit("|pk")), F.col("n")))
+    met = counts.groupBy("pool", "key").agg(own.alias("own"), F.collect_list(F.struct("name", "n")).alias("found"))
+    met = met.select("pool", "own", F.inline("found"))
+    bad = F.when(F.col("pool") == "", F.col("n")).when(F.col("name") == F.concat("pool", F.lit("|pk")), F.col("n") - 1)
+    found = met.select("name", bad.otherwise(F.when(F.col("own").isNull(), F.col("n")).otherwise(0)).alias("n")).groupBy("name").agg(F.sum("n").alias("bad"))
+
+    # A dozen rows a table, from the contracts.
+    rows = [(i, t, *row[:2], f"{t}|{row[2]}", row[3]) for i, (t, row) in enumerate(
+        (t, row) for t, df in tables.items() for row in _expected(t, set(df.columns), references))]
+    spark = next(iter(tables.values())).sparkSession
+    out = spark.createDataFrame(rows, "ord int, table string, check string, kind string, name string, text string").join(found, "name", "left")
+    out = out.withColumn("bad", F.coalesce("bad", F.lit(0)).cast("long"))
+    n = F.coalesce(F.max(F.when(F.col("kind") == "rows", F.col("bad"))).over(Window.partitionBy("table")), F.lit(0))
+    out = out.withColumn("n", n)
+    kind, pct = F.col("kind"), F.try_divide(F.col("bad"), F.col("n")) * 100  # NULL on an empty table
+    share = F.format_string("%.1f", F.rint(F.coalesce(pct, F.lit(0.0)) * 10) / 10)
+    status = (
+        F.when(kind == "all", "PASS").when(kind == "rows", F.when(F.col("n") == 0, "FAIL").otherwise("PASS"))
+        .when((kind == "null") & (pct > 10), "FAIL").when(F.col("bad") > 0, "WARN").otherwise("PASS")
+    )
+    detail = F.when(kind == "all", F.col("text")).when(kind == "null", F.concat(_thousands("bad"), "text", share, F.lit("%)"))).otherwise(
+        F.concat(_thousands("bad"), "text"))
+    kept = F.when(kind.isin("all", "key", "rows"), F.col("n")).otherwise(0).cast("long")
+    return out.orderBy("ord").select(
+        "table", F.lit("validate").alias("stage"), "check", status.alias("status"), F.col("n").alias("rows_in"), kept.alias("rows_out"), detail.alias("detail"))
 
 
 def validate(table: str, df: DataFrame, references: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """The audit rows of one table, in contract order. Missing required columns raise."""
-    contract = CONTRACTS[table]
-    missing = missing_columns(df, contract.required)
-    if missing:
-        raise ValueError(f"[{table}] Missing columns: {missing}")
-    have = set(df.columns)
-    n, zero = F.col("n"), F.lit(0)
-    rows = [_row(table, "validate", "required_cols", F.lit("PASS"), n, n, F.lit("All required columns present"))]
-    pk = contract.primary_key
-    if pk in have:
-        surplus = surplus_keys(df, pk).scalar()
-        text = F.concat(_thousands(surplus), F.lit(f" duplicate PKs in '{pk}'"))
-        rows.append(_row(table, "validate", "pk_unique", _warn(surplus), n, n, text))
-    for c in contract.not_null:
-        if c in have:
-            nulls = F.col(f"null_{c}")
-            pct = F.try_divide(nulls, n) * 100  # NULL on an empty table
-            status = F.when(pct > 10, "FAIL").when(nulls > 0, "WARN").otherwise("PASS")
-            share = F.format_string("%.1f", F.rint(F.coalesce(pct, F.lit(0.0)) * 10) / 10)
-            text = F.concat(_thousands(nulls), F.lit(" nulls ("), share, F.lit("%)"))
-            rows.append(_row(table, "validate", f"not_null:{c}", status, n, zero, text))
-    for c, (lo, hi) in contract.ranges.items():
-        if c in have:
-            bad = F.col(f"range_{c}")
-            text = F.concat(_thousands(bad), F.lit(f" values outside [{lo},{hi}]"))
-            rows.append(_row(table, "validate", f"range:{c}", _warn(bad), n, zero, text))
-    for c in contract.non_negative:
-        if c in have:
-            bad = F.col(f"neg_{c}")
-            text = F.concat(_thousands(bad), F.lit(" negative values"))
-            rows.append(_row(table, "validate", f"non_neg:{c}", _warn(bad), n, zero, text))
-    for c, ref in contract.foreign_keys.items():
-        if references and c in have and ref in references:
-            bad = orphan_rows(df, c, references[ref], CONTRACTS[ref].primary_key).scalar()
-            text = F.concat(_thousands(bad), F.lit(" orphaned FK values"))
-            rows.append(_row(table, "validate", f"fk:{c}", _warn(bad), n, zero, text))
-    status = F.when(n == 0, "FAIL").otherwise("PASS")
-    rows.append(_row(table, "validate", "row_count", status, n, n, F.concat(_thousands(n), F.lit(" rows"))))
-    return scalar_counts(df, contract).select(F.inline(F.array(*rows)))
+    """The audit rows of one table, in contract order."""
+    return validate_all({table: df}, references)
 
 
 def audit_row(spark, table: str, stage: str, check: str, status: str, rows_in: int, rows_out: int, detail: str):
