@@ -11,7 +11,8 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, folder, name):
-    same(QUERIES[name](spark, folder), by_sql(ORACLES[name], documents=spark.read.parquet(f"{folder}/documents.parquet").toArrow()))
+    tables = {t: spark.read.parquet(f"{folder}/{t}.parquet").toArrow() for t in ("documents", "benchmark")}
+    same(QUERIES[name](spark, folder), by_sql(ORACLES[name], **tables))
 
 
 @pytest.mark.parametrize("rows", [None, []])
