@@ -11,18 +11,55 @@ from depotkit.functions import scalar as fn
 from depotkit.operators.ordering import global_quantiles, group_quantiles
 
 
-def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), last: bool = False) -> DataFrame:
+#: Words of 64 bits in the filter of repeated keys: 16 MB of numbers at most, whatever the table.
+FILTER_WORDS = 2**20
+
+
+def _split_repeated(df: DataFrame, keys: Sequence[str], words: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key stands alone, rows whose key may be repeated).
+
+    A pass over the key columns counts their 64-bit hashes; each repeated hash sets a bit of a
+    filter of ``words`` words, whose size does not grow with the table. Rows that meet an unset bit
+    have a key of their own. Hashes that collide, or share a bit, only add rows to the second part.
+    """
+    own = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    word = lambda h: F.pmod(h, F.lit(words))
+    bit = lambda h: F.shiftrightunsigned(h, 58).cast("int")
+    seen = df.select(own.alias("_h")).groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("_h")))
+    marks = seen.groupBy(word(F.col("_h")).alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    rows = df.withColumn("_h", own).withColumn("_word", word(F.col("_h")))
+    rows = rows.join(F.broadcast(marks), "_word", "left")
+    again = F.call_function("shiftright", F.col("_bits"), bit(F.col("_h"))).bitwiseAND(F.lit(1)) == 1
+    again = F.coalesce(again, F.lit(False))
+    plain = [F.col(f"`{c}`") for c in df.columns]
+    return rows.filter(~again).select(plain), rows.filter(again).select(plain)
+
+
+def keep_one(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column] = (),
+    last: bool = False,
+    words: int = FILTER_WORDS,
+) -> DataFrame:
     """One row per key: the first (or last) in ``order``, then in all remaining columns.
 
-    Written as an aggregate over a struct, so copies of a hot key are folded on the map
-    side instead of being sorted in one window task. NULL keys form one group, and NULLs
-    order before values.
+    Rows whose key stands alone stream through unsorted and without a shuffle. The others meet in
+    an aggregate over a struct, so copies of a hot key are folded on the map side instead of being
+    sorted in one window task. NULL keys form one group, and NULLs order before values. A map
+    orders as its sorted entries. The table is read once for its keys and once for each part, so
+    its rows must not change from read to read.
     """
+    single, repeated = _split_repeated(df, keys, words)
     rest = [c for c in df.columns if c not in keys]
+    maps = {c for c, t in df.dtypes if t.startswith("map<")}
     lead = [fn.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
-    candidate = F.struct(*lead, *[F.col(c) for c in rest])
-    pick = (F.max if last else F.min)(candidate).alias("_row")
-    return df.groupBy(*keys).agg(pick).select(*keys, "_row.*").select(*df.columns)
+    held = [F.array_sort(F.map_entries(f"`{c}`")).alias(c) if c in maps else F.col(f"`{c}`") for c in rest]
+    pick = (F.max if last else F.min)(F.struct(*lead, *held)).alias("_row")
+    kept = repeated.groupBy(*keys).agg(pick)
+    back = {c: F.map_from_entries(f"_row.{c}") if c in maps else F.col(f"_row.`{c}`") for c in rest}
+    return single.unionAll(kept.select(*[back.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns]))
 
 
 def group_median_impute(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:

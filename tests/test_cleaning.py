@@ -78,6 +78,38 @@ def test_keep_one_null_keys_and_order(spark):
     assert last == {(1, "a", 9), (None, "x", 1), (2, None, 5)}
 
 
+@pytest.mark.parametrize("words", [1, 4, cl.FILTER_WORDS])
+def test_keep_one_with_a_crowded_filter(spark, words):
+    """A filter whose bits are nearly all set sends lone rows through the comparison, which keeps them."""
+    rng = np.random.default_rng(3)
+    rows = [(int(k), int(v), f"t{v % 5}") for k, v in zip(rng.integers(0, 300, 500), rng.integers(0, 40, 500))]
+    df = spark.createDataFrame([*rows, *rows[:20]], "k int, v int, s string")
+    single, repeated = cl._split_repeated(df, ["k"], words)
+    counts = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+    assert all(counts[r.k] == 1 for r in single.collect())
+    assert single.count() + repeated.count() == len(rows) + 20
+    assert any(counts[r.k] == 1 for r in repeated.collect()) == (words < cl.FILTER_WORDS)
+    for last, pick in ((False, min), (True, max)):
+        want = {}
+        for r in rows:
+            want[r[0]] = pick(want.get(r[0], r), r)
+        got = cl.keep_one(df, ["k"], last=last, words=words).collect()
+        assert sorted(tuple(r) for r in got) == sorted(want.values())
+
+
+def test_keep_one_with_maps_and_odd_names(spark):
+    rows = [(1, {"b": 2, "a": 1}, 1.0), (1, {"a": 0, "c": 5}, 2.0), (2, None, 3.0), (2, {"x": 1}, 4.0), (3, {}, 5.0), (4, None, None)]
+    df = spark.createDataFrame(rows, "k int, m map<string,int>, `x.y` double")
+    assert sorted(map(tuple, cl.keep_one(df, ["k"]).collect())) == [(1, {"a": 0, "c": 5}, 2.0), (2, None, 3.0), (3, {}, 5.0), (4, None, None)]
+    assert cl.keep_one(df.limit(0), ["k"]).collect() == []
+    assert cl.keep_one(df, ["k"]).dtypes == df.dtypes
+
+
+def test_keep_one_zeros_and_nan_are_one_key(spark):
+    df = spark.createDataFrame([(0.0, 2), (-0.0, 1), (float("nan"), 4), (float("nan"), 3)], "k double, v int")
+    assert sorted(r.v for r in cl.keep_one(df, ["k"]).collect()) == [1, 3]
+
+
 def test_group_median_falls_back_to_the_filled_global_median(spark):
     rows = [("a", 1.0), ("a", 3.0), ("a", None), ("b", None), ("b", None), (None, None), ("c", 10.0)]
     df = spark.createDataFrame(rows, "g string, v double")
