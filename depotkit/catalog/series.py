@@ -260,16 +260,28 @@ def l_stockout_label_null_edge(t):
     return labels.stockout_label(t.stock, edge="null")
 
 
-@query(
-    "r_floored_balance",
-    "i:product_id warehouse_id d:snapshot_date i:change i:balance",
-    "select m.*, s.quantity_on_hand as balance from {movements} m join {stock} s using (product_id, warehouse_id, snapshot_date)",
-)
+# The plain loop over the changes so far, apart from the closed form of the ``stock`` view.
+_BALANCE = """select *, list_reduce(list_prepend(100::bigint, list(change::bigint) over (
+        partition by product_id, warehouse_id order by snapshot_date rows between unbounded preceding and current row)),
+        lambda have, moved: greatest(have + moved, 0)) as balance from {movements} m"""
+_BALANCE_COLUMNS = "i:product_id warehouse_id d:snapshot_date i:change i:balance"
+
+
+@query("r_floored_balance", _BALANCE_COLUMNS, _BALANCE)
 def r_floored_balance(t):
     floor = win.floored_balance(F.lit(100), "change", ["product_id", "warehouse_id"], ["snapshot_date"])
     return t.movements.transform(floor)
 
 
+@query("r_floored_balance_blocks", _BALANCE_COLUMNS, _BALANCE)
+def r_floored_balance_blocks(t):
+    """The path of very long series: blocks that begin and end inside of them."""
+    floor = win.floored_balance(
+        F.lit(100), "change", ["product_id", "warehouse_id"], ["snapshot_date"], max_rows=5, block_rows=4000
+    )
+    return t.movements.transform(floor)
+
+
 # ---- feature tables ----------------------------------------------------------
 
 _CATS = ("Apparel", "Electronics", "Food & Beverage", "Home & Garden")

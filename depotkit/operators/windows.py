@@ -77,16 +77,53 @@ def run_length(is_one: Column, position: ColumnLike, w: WindowSpec, carry: Colum
     return (col(position) - start).cast("double")
 
 
-def floored_balance(opening: ColumnLike, change: ColumnLike, entity: Sequence[str], order: Sequence[str]):
+def floored_balance(
+    opening: ColumnLike,
+    change: ColumnLike,
+    entity: Sequence[str],
+    order: Sequence[str],
+    max_rows: int = 2_000_000,
+    block_rows: int | None = None,
+):
     """Running balance that never falls below zero, for ``DataFrame.transform``.
 
-    With S the unfloored balance the result is S - min(0, lowest S so far).
+    With S the unfloored balance the result is S - min(0, lowest S so far). A stretch of rows is
+    summed up by its total and its lowest S, and neighbouring stretches add up: so an entity of more
+    than ``max_rows`` rows is cut by a range partitioning into blocks of about ``block_rows`` rows
+    (``max_rows`` unless given), and each block goes on from the total and the lowest S of the
+    blocks before it. ``order`` must tell an entity's rows apart.
+    A NULL change is none. NULL entities are entities of their own.
     """
 
     def apply(df: DataFrame, out: str = "balance") -> DataFrame:
-        w = Window.partitionBy(*entity).orderBy(*order).rowsBetween(UNB, 0)
-        d = df.withColumn("_s", col(opening) + F.sum(col(change)).over(w))
-        return d.withColumn(out, F.col("_s") - F.least(F.lit(0), F.min("_s").over(w))).drop("_s")
+        moved = F.coalesce(col(change), F.lit(0))
+        longest, rows = df.groupBy(*entity).count().agg(F.max("count"), F.sum("count")).first()
+        if (longest or 0) <= max_rows:
+            w = Window.partitionBy(*entity).orderBy(*order).rowsBetween(UNB, 0)
+            d = df.withColumn("_s", col(opening) + F.sum(moved).over(w))
+            return d.withColumn(out, F.col("_s") - F.least(F.lit(0), F.min("_s").over(w))).drop("_s")
+        ranged = df.repartitionByRange(-(-rows // (block_rows or max_rows)), *entity, *order).withColumn("_block", F.spark_partition_id())
+        # Written once: block numbers must not change between the sums and the rows.
+        ranged = cut_lineage(ranged)
+        w = Window.partitionBy(*entity, "_block").orderBy(*order).rowsBetween(UNB, 0)
+        local = ranged.withColumn("_s", F.sum(moved).over(w))
+        # One row per entity and block.
+        sums = local.groupBy(*entity, "_block").agg(
+            F.sum(moved).alias("_total"), F.min(col(opening) + F.col("_s")).alias("_low")
+        )
+        blocks = Window.partitionBy(*entity).orderBy("_block").rowsBetween(UNB, -1)
+        sums = sums.withColumn("_before", F.coalesce(F.sum("_total").over(blocks), F.lit(0)))
+        carry = sums.select(
+            *[F.col(e).alias(f"_e{i}") for i, e in enumerate(entity)],
+            F.col("_block").alias("_b"),
+            "_before",
+            F.min(F.col("_before") + F.col("_low")).over(blocks).alias("_lowest"),
+        )
+        same = [F.col(e).eqNullSafe(F.col(f"_e{i}")) for i, e in enumerate(entity)]
+        d = local.join(carry, [*same, F.col("_block") == F.col("_b")])
+        d = d.withColumn("_s", col(opening) + F.col("_before") + F.col("_s"))
+        d = d.withColumn(out, F.col("_s") - F.least(F.lit(0), F.col("_lowest"), F.min("_s").over(w)))
+        return d.select(*df.columns, out)
 
     return apply
 

@@ -56,19 +56,42 @@ def test_run_length_resets(spark):
     assert [r.r for r in got] == [0, 1, 2, 0, 1, 2, 3, 1, 2]
 
 
-def test_floored_balance_equals_a_loop(spark):
+@pytest.mark.parametrize("max_rows", [1000, 7])
+def test_floored_balance_equals_a_loop(spark, max_rows):
     rng = np.random.default_rng(5)
     moves = [[int(x) for x in rng.integers(-9, 9, n)] for n in (1, 30, 200)]
-    rows = [(e, i, v) for e, xs in enumerate(moves) for i, v in enumerate(xs)]
+    moves[2][0] = moves[2][50] = None  # no change
+    entities = [0, None, 2]
+    rows = [(e, i, v) for e, xs in zip(entities, moves) for i, v in enumerate(xs)]
     df = spark.createDataFrame(rows, "e int, i int, v int")
-    got = df.transform(win.floored_balance(F.lit(5), "v", ["e"], ["i"])).orderBy("e", "i").collect()
-    want = []
-    for xs in moves:
+    got = df.transform(win.floored_balance(F.lit(5), "v", ["e"], ["i"], max_rows)).collect()
+    want = {}
+    for e, xs in zip(entities, moves):
         q = 5
-        for x in xs:
-            q = max(0, q + x)
-            want.append(q)
-    assert [r.balance for r in got] == want
+        for i, x in enumerate(xs):
+            q = max(0, q + (x or 0))
+            want[e, i] = q
+    assert {(r.e, r.i): r.balance for r in got} == want and len(got) == len(rows)
+
+
+def test_floored_balance_of_one_long_series_is_cut(spark, monkeypatch):
+    seen = []
+    cut = win.cut_lineage
+    monkeypatch.setattr(win, "cut_lineage", lambda df: seen.append(cut(df)) or seen[-1])
+    df = spark.range(5000).select(F.lit("one").alias("e"), "id", (F.pmod("id", F.lit(7)) - 3).alias("v"))
+    got = df.transform(win.floored_balance(F.lit(0), "v", ["e"], ["id"], 500))
+    q, want = 0, []
+    for i in range(5000):
+        q = max(0, q + i % 7 - 3)
+        want.append(q)
+    assert [r.balance for r in got.orderBy("id").collect()] == want
+    sizes = [r["count"] for r in seen[0].groupBy("_block").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 1500
+
+
+def test_floored_balance_of_no_rows(spark):
+    df = spark.createDataFrame([], "e int, i int, v int")
+    assert df.transform(win.floored_balance(F.lit(5), "v", ["e"], ["i"])).collect() == []
 
 
 def test_fill_days_spans_the_whole_table(spark):
