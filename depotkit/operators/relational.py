@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from depotkit.functions import scalar as fn
 
 
+#: Days in one row of blocked days; with one more bit free, the bits of a row are never negative.
+BLOCK_DAYS = 62
+
+
 def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
@@ -80,9 +84,38 @@ def forecast_with_actual(forecasts: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def outside_windows(df: DataFrame, windows: DataFrame, key: str, day: str, start: str, end: str) -> DataFrame:
-    """Rows whose day lies in none of the closed windows of their key."""
-    w = windows.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"))
-    return df.join(w, (F.col(key) == F.col("_k")) & F.col(day).between(F.col("_s"), F.col("_e")), "left_anti")
+    """Rows whose day lies in none of the closed windows of their key; all three are dates.
+
+    The windows of a key become one row per ``BLOCK_DAYS`` days, which holds a bit for each blocked
+    day: overlapping and nested windows fold into the same bits before they are shuffled, and a row
+    meets at most one of them, whatever the number of windows. Windows reach no further than the
+    days of ``df`` (two values to the driver), which bounds the rows they become.
+    Rows without key or day stay; windows without key, start or end, or that end before they start,
+    block nothing.
+    """
+    types = {**dict(df.select(day).dtypes), **{f"window {c}": t for c, t in windows.select(start, end).dtypes}}
+    if odd := {c: t for c, t in types.items() if t != "date"}:
+        raise TypeError(f"dates expected, found {odd}")
+    first, last = df.agg(F.min(day), F.max(day)).first()
+    number = lambda c: F.unix_date(c)
+    block = lambda n: F.floor(n / BLOCK_DAYS).cast("int")
+    spans = windows.select(
+        F.col(key).alias("_k"),
+        F.greatest(number(F.col(start)), number(F.lit(first).cast("date"))).alias("_s"),
+        F.least(number(F.col(end)), number(F.lit(last).cast("date"))).alias("_e"),
+        (F.col(start) <= F.col(end)).alias("_ok"),
+    ).filter(F.col("_ok") & F.col("_k").isNotNull() & (F.col("_s") <= F.col("_e")))
+    pieces = spans.select("_k", "_s", "_e", F.explode(F.sequence(block(F.col("_s")), block(F.col("_e")))).alias("_b"))
+    low = F.greatest(F.col("_s") - F.col("_b") * BLOCK_DAYS, F.lit(0))
+    high = F.least(F.col("_e") - F.col("_b") * BLOCK_DAYS, F.lit(BLOCK_DAYS - 1))
+    # ones at the bits from low to high
+    run = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n)
+    pieces = pieces.select("_k", "_b", (run((high + 1).cast("int")) - run(low.cast("int"))).alias("_bits"))
+    blocked = pieces.groupBy("_k", "_b").agg(F.bit_or("_bits").alias("_bits"))
+    here = number(F.col(day))
+    met = df.join(blocked, (F.col(key) == F.col("_k")) & (block(here) == F.col("_b")), "left")
+    bit = F.call_function("shiftright", F.col("_bits"), F.pmod(here, F.lit(BLOCK_DAYS)).cast("int")).bitwiseAND(F.lit(1))
+    return met.filter(F.coalesce(bit, F.lit(0)) == 0).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def feature_profile(df: DataFrame, target: str) -> DataFrame:
