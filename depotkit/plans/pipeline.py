@@ -14,7 +14,7 @@ from depotkit.operators import quality as qa, relational as rel
 from depotkit.operators.cleaning import clean_all
 from depotkit.plans import features
 from depotkit.schemas import CONTRACTS, LOAD_ORDER
-from depotkit.sources import readers, sinks
+from depotkit.sources import layers, readers, sinks
 
 # The notes of the reconciliation rows; {n} is the number of rows dropped.
 CLEAN_NOTES = {
@@ -44,7 +44,9 @@ def run_etl(
     """Extract, validate, clean, transform, load. Returns the clean tables and the audit rows.
 
     Raw text is parsed once into ``<work_dir>/staged`` (with arrival order, so keep-first
-    means file order), and records that are no rows go to ``<work_dir>/quarantine``; validation and the quantile passes of the cleaners then read columns.
+    means file order), and records that are no rows go to ``<work_dir>/quarantine``; validation and the
+    quantile passes of the cleaners then read columns. The clean tables change for readers all at once,
+    when the last one is written.
     """
     run_ts = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
     work_dir = work_dir.rstrip("/")
@@ -83,6 +85,7 @@ def run_etl(
     counts: dict[str, int] = {}
     cleaned = clean_all(staged, readers.arrival_order())
     load_rows = []
+    layer = layers.Run(spark, f"{work_dir}/clean")
     # Parents come first, as inventory reads the clean products.
     for t in names:
         clean = cleaned[t].drop(*readers.ARRIVAL)
@@ -91,10 +94,11 @@ def run_etl(
         elif t == "inventory":
             clean = features.transform_inventory(clean, written["products"]) if "products" in written else clean
         derived[t] = TRANSFORMED.get(t, set()) <= set(clean.columns)
-        path, counts[t] = sinks.write_table(clean, t, f"{work_dir}/clean", fmt)
-        written[t] = readers.read_clean(spark, t, f"{work_dir}/clean", fmt)
+        path, counts[t] = layer.write(clean, t, fmt)
+        written[t] = readers.load(spark, t, layer.folder, fmt)
         load_rows.append((t, "load", f"{fmt}_write", "PASS", counts[t], counts[t],
                           f"→ {t}.{fmt}  ({sinks.size_kb(spark, path):.1f} KB)"))
+    layer.publish()
     for t in names:
         if t in CLEAN_NOTES:
             gone = f"{rows[t] - counts[t]:,}" if t in ("sales", "inventory", "forecasts", "risk_scores") else rows[t] - counts[t]
@@ -130,9 +134,11 @@ def run_features(
         "supplier_risk": features.supplier_risk_features(clean["risk_scores"], clean["suppliers"]),
     }
     if save:
+        layer = layers.Run(spark, f"{work_dir}/features")
         for name, df in sets.items():
-            sinks.write_table(df, f"features_{name}", f"{work_dir}/features")
-            sets[name] = readers.read_features(spark, name, f"{work_dir}/features").drop(sinks.MONTH_COLUMN)
+            layer.write(df, f"features_{name}")
+            sets[name] = readers.load(spark, f"features_{name}", layer.folder).drop(sinks.MONTH_COLUMN)
+        layer.publish()
     return sets, {n: rel.feature_profile(df, TARGETS[n]) for n, df in sets.items()}
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from depotkit.schemas import CONTRACTS
 from depotkit.session import cut_lineage
+from depotkit.sources import layers
 
 # Where a raw row stood: file, split, and running number inside the split.
 ARRIVAL = ("_file", "_offset", "_line")
@@ -155,15 +156,21 @@ def types_path(folder: str, name: str) -> str:
 
 
 def read_layer(spark: SparkSession, name: str, folder: str, made_by: str, fmt: str = "parquet") -> DataFrame:
-    """A table of the clean or feature layer; a missing one names the step that writes it."""
-    path = f"{folder.rstrip('/')}/{name}"
+    """A published table of the clean or feature layer; a missing one names the step that writes it."""
+    folder = layers.folder_of(spark, folder, name)
+    path = f"{folder}/{name}"
     if not exists(spark, path):
         raise FileNotFoundError(f"{path} not found. Run {made_by} first.")
+    return load(spark, name, folder, fmt)
+
+
+def load(spark: SparkSession, name: str, folder: str, fmt: str = "parquet") -> DataFrame:
+    """The table written to ``<folder>/<name>``."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
         types = spark.read.text(types_path(folder, name)).first()
         reader = reader.option("header", True).schema(T.StructType.fromJson(json.loads(types["value"])))
-    return reader.load(path)
+    return reader.load(f"{folder}/{name}")
 
 
 def read_clean(spark: SparkSession, table: str, folder: str, fmt: str = "parquet") -> DataFrame:

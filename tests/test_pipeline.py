@@ -8,7 +8,7 @@ import pytest
 from depotkit.operators.cleaning import clean_all
 from depotkit.plans import pipeline
 from depotkit.schemas import CONTRACTS, LOAD_ORDER, RAW_COLUMNS
-from depotkit.sources import readers, sinks
+from depotkit.sources import layers, readers, sinks
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +51,7 @@ def test_tables_features_models(spark, raw, tmp_path):
     # keep-first means file order
     assert clean["products"].filter("product_id = 0").first().sku == "S0"
     assert clean["sales"].filter("sale_id = 0").first().quantity_sold != 99
-    assert os.path.isdir(f"{work}/clean/sales/part_month=2024-01")
+    assert os.path.isdir(f"{layers.folder_of(spark, f'{work}/clean', 'sales')}/sales/part_month=2024-01")
 
     sets, profiles = pipeline.run_features(spark, work)
     assert sets["demand"].count() == 8 * 120
@@ -98,6 +98,67 @@ def test_csv_layer(spark, raw, tmp_path):
     assert audit.filter("stage = 'load'").first()["check"] == "csv_write"
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_stopped_run_leaves_the_tables_of_the_last_one(spark, raw, tmp_path, monkeypatch, fmt):
+    folder, work = tmp_path / "raw", str(tmp_path / "work")
+    folder.mkdir()
+    names = ["products", "suppliers", "inventory"]
+
+    def lay(price):
+        for name in names:
+            df = pd.read_csv(f"{raw}/{name}.csv", dtype=str, keep_default_na=False)
+            if name == "products":
+                df["unit_price"] = price
+            df.to_csv(folder / f"{name}.csv", index=False)
+
+    def prices():
+        clean = readers.read_clean(spark, "products", f"{work}/clean", fmt)
+        assert readers.read_clean(spark, "inventory", f"{work}/clean", fmt).count() == 960
+        return {r[0] for r in clean.select("unit_price").collect()}
+
+    lay(10.0)
+    pipeline.run_etl(spark, str(folder), work, names, fmt=fmt)
+    assert prices() == {10.0}
+    first = layers.published(spark, f"{work}/clean")
+    lay(20.0)
+    whole = sinks.write_table
+
+    def stops(df, name, to, fmt="parquet"):
+        if name == "inventory" and "/clean/" in to:
+            raise RuntimeError("driver lost")
+        return whole(df, name, to, fmt)
+
+    monkeypatch.setattr(sinks, "write_table", stops)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        pipeline.run_etl(spark, str(folder), work, names, fmt=fmt)
+    monkeypatch.undo()
+    assert prices() == {10.0} and layers.published(spark, f"{work}/clean") == first
+    opened = readers.read_clean(spark, "products", f"{work}/clean", fmt)
+    pipeline.run_etl(spark, str(folder), work, names, fmt=fmt)
+    assert prices() == {20.0}
+    assert {r[0] for r in opened.select("unit_price").collect()} == {10.0}
+
+
+def test_layers_carry_tables_over_and_remove_old_runs(spark, tmp_path):
+    layer, made = str(tmp_path / "layer"), []
+    for n in range(4):
+        run = layers.Run(spark, layer)
+        made.append(run.name)
+        run.write(spark.range(n + 1), "a")
+        if n == 0:
+            run.write(spark.range(7), "kept")
+        assert run.publish() == n + 1
+        assert readers.read_layer(spark, "a", layer, "-").count() == n + 1
+        assert readers.read_layer(spark, "kept", layer, "-").count() == 7
+    # the first run still holds a table; the second is named by no publication that is kept
+    assert sorted(os.listdir(f"{layer}/runs")) == sorted([made[0], made[2], made[3]])
+    assert [n for n in sorted(os.listdir(f"{layer}/published")) if n[0] not in "._"] == ["0000000003.json", "0000000004.json"]
+    sinks.write_table(spark.range(5), "by_hand", layer)
+    assert readers.read_layer(spark, "by_hand", layer, "-").count() == 5
+    with pytest.raises(FileNotFoundError, match="some step"):
+        readers.read_layer(spark, "none", layer, "some step")
+
+
 def test_database_load_order_and_options():
     shuffled = dict.fromkeys(["sales", "product_supplier", "products", "risk_scores", "suppliers"])
     assert sinks.load_sequence(shuffled) == [t for t in LOAD_ORDER if t in shuffled]
