@@ -304,6 +304,17 @@ def c_dedup_first(t):
     return cl.keep_one(_typed_sales(t), ["sale_id"])
 
 
+@query(
+    "c_dedup_first_few",
+    _DEDUP_COLUMNS,
+    f"""select * from (select *, row_number() over (partition by sale_id order by
+        {", ".join(c.strip() + " asc nulls first" for c in _ORDER.split(","))}) as rn from ({_TYPED_SALES})) where rn = 1""",
+)
+def c_dedup_first_few(t):
+    """The path of wide tables: lone keys stream past a filter of repeated ones."""
+    return cl.keep_one(_typed_sales(t), ["sale_id"], few_copies=True)
+
+
 @query(
     "c_dedup_last",
     "r0:product_id d:sold_on i:sale_id r:quantity e4:price",

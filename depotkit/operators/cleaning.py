@@ -41,25 +41,34 @@ def keep_one(
     keys: Sequence[str],
     order: Sequence[str | Column] = (),
     last: bool = False,
+    few_copies: bool = False,
     words: int = FILTER_WORDS,
 ) -> DataFrame:
     """One row per key: the first (or last) in ``order``, then in all remaining columns.
 
-    Rows whose key stands alone stream through unsorted and without a shuffle. The others meet in
-    an aggregate over a struct, so copies of a hot key are folded on the map side instead of being
-    sorted in one window task. NULL keys form one group, and NULLs order before values. A map
-    orders as its sorted entries. The table is read once for its keys and once for each part, so
-    its rows must not change from read to read.
+    Written as an aggregate over a struct, so copies of a hot key are folded on the map
+    side instead of being sorted in one window task. NULL keys form one group, and NULLs
+    order before values. A map orders as its sorted entries.
+
+    ``few_copies`` is for wide tables whose keys rarely repeat: only rows of a key that may be
+    repeated are sorted and shuffled, the others stream through. It gives the same rows, but reads
+    the table three times, once for its keys alone, so its rows must not change between reads.
     """
-    single, repeated = _split_repeated(df, keys, words)
     rest = [c for c in df.columns if c not in keys]
     maps = {c for c, t in df.dtypes if t.startswith("map<")}
     lead = [fn.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     held = [F.array_sort(F.map_entries(f"`{c}`")).alias(c) if c in maps else F.col(f"`{c}`") for c in rest]
     pick = (F.max if last else F.min)(F.struct(*lead, *held)).alias("_row")
-    kept = repeated.groupBy(*keys).agg(pick)
-    back = {c: F.map_from_entries(f"_row.{c}") if c in maps else F.col(f"_row.`{c}`") for c in rest}
-    return single.unionAll(kept.select(*[back.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns]))
+    back = {c: F.map_from_entries(f"_row.`{c}`") if c in maps else F.col(f"_row.`{c}`") for c in rest}
+
+    def folded(rows: DataFrame) -> DataFrame:
+        kept = rows.groupBy(*keys).agg(pick)
+        return kept.select(*[back.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
+
+    if not few_copies:
+        return folded(df)
+    single, repeated = _split_repeated(df, keys, words)
+    return single.unionAll(folded(repeated))
 
 
 def group_median_impute(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:

@@ -89,22 +89,22 @@ def outside_windows(df: DataFrame, windows: DataFrame, key: str, day: str, start
     The windows of a key become one row per ``BLOCK_DAYS`` days, which holds a bit for each blocked
     day: overlapping and nested windows fold into the same bits before they are shuffled, and a row
     meets at most one of them, whatever the number of windows. Windows reach no further than the
-    days of ``df`` (two values to the driver), which bounds the rows they become.
+    days of ``df`` (a subquery of its one column), which bounds the rows they become.
     Rows without key or day stay; windows without key, start or end, or that end before they start,
     block nothing.
     """
     types = {**dict(df.select(day).dtypes), **{f"window {c}": t for c, t in windows.select(start, end).dtypes}}
     if odd := {c: t for c, t in types.items() if t != "date"}:
         raise TypeError(f"dates expected, found {odd}")
-    first, last = df.agg(F.min(day), F.max(day)).first()
+    first, last = df.agg(F.min(day)).scalar(), df.agg(F.max(day)).scalar()
     number = lambda c: F.unix_date(c)
     block = lambda n: F.floor(n / BLOCK_DAYS).cast("int")
     spans = windows.select(
         F.col(key).alias("_k"),
-        F.greatest(number(F.col(start)), number(F.lit(first).cast("date"))).alias("_s"),
-        F.least(number(F.col(end)), number(F.lit(last).cast("date"))).alias("_e"),
-        (F.col(start) <= F.col(end)).alias("_ok"),
-    ).filter(F.col("_ok") & F.col("_k").isNotNull() & (F.col("_s") <= F.col("_e")))
+        F.greatest(number(F.col(start)), number(first)).alias("_s"),
+        F.least(number(F.col(end)), number(last)).alias("_e"),
+        (F.col(key).isNotNull() & (F.col(start) <= F.col(end)) & first.isNotNull()).alias("_ok"),
+    ).filter(F.col("_ok") & (F.col("_s") <= F.col("_e")))
     pieces = spans.select("_k", "_s", "_e", F.explode(F.sequence(block(F.col("_s")), block(F.col("_e")))).alias("_b"))
     low = F.greatest(F.col("_s") - F.col("_b") * BLOCK_DAYS, F.lit(0))
     high = F.least(F.col("_e") - F.col("_b") * BLOCK_DAYS, F.lit(BLOCK_DAYS - 1))

@@ -69,12 +69,13 @@ def test_quantiles_of_one_hot_group(spark):
     assert group_quantiles(df, ["v"], [0.5], ["g"]).first()["v_q0"] == 62.4375
 
 
-def test_keep_one_null_keys_and_order(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_keep_one_null_keys_and_order(spark, few):
     rows = [(1, "b", 2), (1, "a", 9), (None, "x", 1), (None, "w", 0), (2, None, 5)]
     df = spark.createDataFrame(rows, "k int, s string, v int")
-    first = {tuple(r) for r in cl.keep_one(df, ["k"], ["v"]).collect()}
+    first = {tuple(r) for r in cl.keep_one(df, ["k"], ["v"], few_copies=few).collect()}
     assert first == {(1, "b", 2), (None, "w", 0), (2, None, 5)}
-    last = {tuple(r) for r in cl.keep_one(df, ["k"], ["v"], last=True).collect()}
+    last = {tuple(r) for r in cl.keep_one(df, ["k"], ["v"], last=True, few_copies=few).collect()}
     assert last == {(1, "a", 9), (None, "x", 1), (2, None, 5)}
 
 
@@ -93,21 +94,23 @@ def test_keep_one_with_a_crowded_filter(spark, words):
         want = {}
         for r in rows:
             want[r[0]] = pick(want.get(r[0], r), r)
-        got = cl.keep_one(df, ["k"], last=last, words=words).collect()
+        got = cl.keep_one(df, ["k"], last=last, few_copies=True, words=words).collect()
         assert sorted(tuple(r) for r in got) == sorted(want.values())
 
 
-def test_keep_one_with_maps_and_odd_names(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_keep_one_with_maps_and_odd_names(spark, few):
     rows = [(1, {"b": 2, "a": 1}, 1.0), (1, {"a": 0, "c": 5}, 2.0), (2, None, 3.0), (2, {"x": 1}, 4.0), (3, {}, 5.0), (4, None, None)]
     df = spark.createDataFrame(rows, "k int, m map<string,int>, `x.y` double")
-    assert sorted(map(tuple, cl.keep_one(df, ["k"]).collect())) == [(1, {"a": 0, "c": 5}, 2.0), (2, None, 3.0), (3, {}, 5.0), (4, None, None)]
-    assert cl.keep_one(df.limit(0), ["k"]).collect() == []
-    assert cl.keep_one(df, ["k"]).dtypes == df.dtypes
+    assert sorted(map(tuple, cl.keep_one(df, ["k"], few_copies=few).collect())) == [(1, {"a": 0, "c": 5}, 2.0), (2, None, 3.0), (3, {}, 5.0), (4, None, None)]
+    assert cl.keep_one(df.limit(0), ["k"], few_copies=few).collect() == []
+    assert cl.keep_one(df, ["k"], few_copies=few).dtypes == df.dtypes
 
 
-def test_keep_one_zeros_and_nan_are_one_key(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_keep_one_zeros_and_nan_are_one_key(spark, few):
     df = spark.createDataFrame([(0.0, 2), (-0.0, 1), (float("nan"), 4), (float("nan"), 3)], "k double, v int")
-    assert sorted(r.v for r in cl.keep_one(df, ["k"]).collect()) == [1, 3]
+    assert sorted(r.v for r in cl.keep_one(df, ["k"], few_copies=few).collect()) == [1, 3]
 
 
 def test_group_median_falls_back_to_the_filled_global_median(spark):
