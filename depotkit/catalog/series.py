@@ -6,8 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from depotkit.catalog.columns import CALENDAR_COLUMNS, COUNTRY_TIER, PRICE_TIER, TIER_CODE, _STOCK, calendar_sql, stock
-from depotkit.catalog.registry import query
+from depotkit.catalog.registry import _items, query
 from depotkit.catalog.relations import DAILY_BRAND, SPINE, filled_days
+from depotkit.ml import train
+from depotkit.ml.features import STOCKOUT_FEATURES
 from depotkit.operators import labels, scoring, windows as win
 from depotkit.plans import features
 from depotkit.plans.features import transform_sales
@@ -360,6 +362,26 @@ def f_stockout_blocks(t):
     return features.stockout_features(stock(t), transform_sales(t.sales), t.brands, max_series_rows=40)
 
 
+# The inputs of the stockout model: the listed features the table has, as doubles without NULLs. One is
+# taken away first, which must not stop the rest; the look-ahead minimum is never among them.
+_TAKEN = "demand_accel_7d"
+_INPUTS = [c for c in STOCKOUT_FEATURES if c != _TAKEN]
+_KINDS = {name: kind or "i" for kind, name in _items(STOCKOUT_COLUMNS)}
+_MADE = "made as (".join(_STOCKOUT_SQL.rsplit("out as (", 1))
+
+
+@query(
+    "m_stockout_inputs",
+    "i:inventory_id i:label " + " ".join(f"{_KINDS[c]}:{c}" for c in _INPUTS),
+    f"""{_MADE}, out as (select inventory_id, stockout_in_horizon as label,
+        {", ".join(f"coalesce(cast({c} as double), 0) as {c}" for c in _INPUTS)} from made)""",
+)
+def m_stockout_inputs(t):
+    table = f_stockout(t).drop(_TAKEN)
+    columns = train.inputs(table, STOCKOUT_FEATURES)
+    return train.stockout_matrix(table, columns).select("inventory_id", "label", *columns)
+
+
 _REGIONS = ("Africa", "Americas", "Asia", "Europe", "Middle East")
 SUPPLIER_COLUMNS = (
     "i:supplier_id d:year_month r:delay_probability r:avg_delay_days_pred risk_tier r:composite_risk_score "
