@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import lcm
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,10 +23,22 @@ def _path(levels: list[str]) -> Column:
     return F.to_json(F.array(*[F.col(f"`{c}`").cast("string") for c in levels]))
 
 
-def _weight(level: str, weights: dict[str, dict[str, int]]) -> Column:
-    out = F.lit(1)
-    for value, weight in weights.get(level, {}).items():
-        out = F.when(F.col(f"`{level}`").cast("string") == value, F.lit(int(weight))).otherwise(out)
+def _whole(weights: dict[str, float]) -> tuple[dict[str, int], int]:
+    """A level's weights, and the weight of values without one, as whole numbers in the same
+    proportions: 0.7 and 0.3 are 7 and 3 beside 10. Negative weights, or such that need a factor
+    above a million, are an error."""
+    exact = {value: Fraction(str(weight)) for value, weight in weights.items()}
+    factor = lcm(*(w.denominator for w in exact.values()))
+    if factor > 10**6 or any(w < 0 for w in exact.values()):
+        raise ValueError(f"weights must be at least zero and have six decimals at most: {weights}")
+    return {value: int(w * factor) for value, w in exact.items()}, factor
+
+
+def _weight(level: str, weights: dict[str, dict[str, float]]) -> Column:
+    whole, one = _whole(weights.get(level, {}))
+    out = F.lit(one)
+    for value, weight in whole.items():
+        out = F.when(F.col(f"`{level}`").cast("string") == value, F.lit(weight)).otherwise(out)
     return out.cast("long")
 
 
@@ -48,7 +63,7 @@ def _shares(nodes: DataFrame) -> DataFrame:
 
 
 def leaf_budgets(
-    leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], budget: int, max_epochs: int
+    leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, float]], budget: int, max_epochs: int
 ) -> DataFrame:
     """(leaf, tokens, docs, budget) of leaves with a share, from (levels, tokens, docs).
 
@@ -84,7 +99,7 @@ def _bucket(position: Column, buckets: Column) -> Column:
 def mix(
     docs: DataFrame,
     levels: list[str],
-    weights: dict[str, dict[str, int]],
+    weights: dict[str, dict[str, float]],
     share_percent: int,
     max_epochs: int,
     seed: int = 42,

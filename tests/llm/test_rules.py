@@ -94,3 +94,15 @@ def test_mix_leaves_columns_named_like_its_levels(spark):
     got = mixing.mix_sources(docs, share_percent=100)
     assert got.columns == docs.columns
     assert got.selectExpr("count_if(Domain != 'own') as a", "count_if(not domain_ <=> n_chars) as b").first() == (0, 0)
+
+
+def test_weights_below_one_keep_their_proportions(spark):
+    leaves = spark.createDataFrame([("a", 1000, 9), ("b", 1000, 9), ("c", 1000, 9)], "top string, tokens long, docs long")
+    shares = lambda weights, n: {r.top: r.budget for r in mixing.leaf_budgets(leaves, ["top"], {"top": weights}, n, 1)
+                                 .join(leaves.selectExpr("top", "to_json(array(top)) as leaf"), "leaf").collect()}
+    assert shares({"a": 0.7, "b": 0.3, "c": 0}, 400) == {"a": 280, "b": 120}
+    assert shares({"a": 0.5, "b": 0.5}, 400) == {"a": 100, "b": 100, "c": 200}  # without a weight: 1
+    assert shares({"a": 7, "b": 3, "c": 0}, 400) == {"a": 280, "b": 120}
+    for wrong in ({"a": -1}, {"a": 1 / 3}):
+        with pytest.raises(ValueError, match="weights"):
+            mixing.leaf_budgets(leaves, ["top"], {"top": wrong}, 400, 1)
