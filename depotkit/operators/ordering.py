@@ -15,24 +15,21 @@ from pyspark.sql import functions as F
 from depotkit.session import cut_lineage
 
 
-#: Bits of the sort key that are still open after each pass of a selection.
-SHIFTS = (48, 32, 16, 0)
+#: Bits of the sort key that are still open after each pass of a selection. Values of up to thirty leading
+#: digits (bits) are told apart by two passes; a bucket of the last pass holds 2^22 keys at most.
+SHIFTS = (44, 22, 0)
 
 
 def sort_key(x: Column) -> Column:
     """A double as a whole number of the same order: its bits, negative for negative values.
 
-    -0.0 counts as 0.0. NULL and NaN have none. Powers of two and quotients by them are exact, so
-    :func:`key_value` gives the same double back.
+    -0.0 counts as 0.0. NULL and NaN have none. The call is evaluated for each row once, where it stands;
+    arithmetic that finds the bits makes a method too large to be compiled.
     """
-    size = F.abs(x)
-    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(size)).cast("double")))
-    power = F.pow(F.lit(2.0), guess)
-    exponent = F.greatest(F.lit(-1022.0), guess + F.when(size < power, -1.0).when(size / power >= 2, 1.0).otherwise(0.0))
-    part = (size / F.pow(F.lit(2.0), exponent) * float(2**52)).cast("long")
-    key = (exponent + 1022).cast("long") * F.lit(2**52) + part
-    key = F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(2047 * 2**52)).otherwise(key)
-    return F.when(~F.isnan(x), F.when(x < 0, -key).otherwise(key))
+    size = F.coalesce(F.abs(x), F.lit(0.0))
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), size).cast("long")
+    sign = F.when(x.isNotNull() & ~F.isnan(x), F.when(x < 0, F.lit(-1).cast("long")).otherwise(F.lit(1).cast("long")))
+    return bits * sign
 
 
 def key_value(key: Column) -> Column:
@@ -55,7 +52,8 @@ def _selected(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
     """
     values = [F.struct(F.lit(c).alias("_c"), F.col(f"`{name}`").cast("double").alias("_x")) for c, name in enumerate(columns)]
     rows = df.select(*[F.col(f"`{g}`") for g in by], F.explode(F.array(*values)).alias("_r"))
-    rows = rows.select(*by, "_r._c", sort_key(F.col("_r._x")).alias("_k")).filter("_k is not null")
+    rows = rows.select(*by, "_r._c", "_r._x").filter("_x is not null and not isnan(_x)")
+    rows = rows.select(*by, "_c", sort_key(F.col("_x")).alias("_k"))
     # Without groups the targets are a few rows, which come back as literals.
     settle = cut_lineage if by else lambda d: d.sparkSession.createDataFrame(d.collect(), d.schema)
     names, found, open_ = [*by, "_c"], None, None
