@@ -100,6 +100,15 @@ def test_rows_dealt_otherwise_give_the_same_model(spark, monkeypatch):
     assert bo.fit(table(spark, x, 7), FEATURES, "y", ["id"], spec).to_json() == want
 
 
+def test_rows_go_down_the_trees_of_a_round_once(spark, monkeypatch):
+    pending, find = [], bo._histograms
+    monkeypatch.setattr(bo, "_histograms", lambda blocks, tasks, *rest: pending.extend(len(t["pending"]) for t in tasks.values()) or find(blocks, tasks, *rest))
+    x, spec = frame(), bo.Spec(rounds=6, depth=2)
+    model = bo.fit(table(spark, x), FEATURES, "y", ["id"], spec)
+    assert len(model.rounds) == 6 and set(pending) == {0}
+    assert np.allclose(raw_of(model, x), plain_boost(x, x["y"].to_numpy(), spec), atol=1e-8)
+
+
 def test_models_grown_together_equal_those_grown_alone(spark):
     x = frame()
     spec = bo.Spec(rounds=12, rate=0.3, depth=3, min_leaf=5, patience=3)
