@@ -112,7 +112,9 @@ def m_permutation_delay(t):
 @query("m_permutation_auc")
 def m_permutation_auc(t):
     m = _stockout(t)
-    return imp.permutation_importance(m.model, m.test, m.features, ["inventory_id"], "label", imp.auc_loss("label", _probability))
+    swaps = imp.forest_swaps(imp.forest_nodes(m.model, shared_folder(t.spark)), m.features)
+    return imp.permutation_importance(
+        m.model, m.test, m.features, ["inventory_id"], "label", imp.auc_loss("label", lambda: F.col("score")), swaps=swaps)
 
 
 @query("m_native_importance")

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,12 +41,15 @@ def permutation_importance(
     n_repeats: int = 10,
     top_n: int = 15,
     seed: int = 42,
+    swaps: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Mean and deviation of the loss increase when one feature column is permuted.
 
     ``loss(scored, by)`` returns columns ``by`` and ``loss`` (larger is worse). One job
     scores every (repeat, feature) copy: rows meet their permuted partners by row index, then
     fan out to one copy per feature inside the task that scores and pre-aggregates them.
+    ``swaps(own, other)`` may give the scores of all copies of a row at once, as an array by feature,
+    without making the copies; ``loss`` then reads them as ``score``.
     """
     columns = [F.col(f"`{c}`") for c in features]
     rows = test.select(*keys, label, *columns)
@@ -55,14 +59,21 @@ def permutation_importance(
     donors = indexed.select(F.col("_i").alias("_j"), vector.alias("_other"))
     own = indexed.select("_i", label, vector.alias("_own"))
     paired = permutations(indexed, n, n_repeats, seed).join(own, "_i").join(donors, "_j")
-    copies = paired.select(
-        label, "repeat", "_own", "_other", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("feature")
-    )
-    mixed = [
-        F.when(F.col("feature") == i, F.col("_other")[i]).otherwise(F.col("_own")[i]).alias(c) for i, c in enumerate(features)
-    ]
-    permuted = loss(model.transform(copies.select(label, "repeat", "feature", *mixed)), ["repeat", "feature"])
-    base = loss(model.transform(indexed.drop("_i")).withColumn("_all", F.lit(1)), ["_all"]).first()["loss"]
+    if swaps is not None:
+        scored = paired.select(label, "repeat", F.posexplode(swaps(F.col("_own"), F.col("_other"))).alias("feature", "score"))
+    else:
+        copies = paired.select(
+            label, "repeat", "_own", "_other", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("feature")
+        )
+        mixed = [
+            F.when(F.col("feature") == i, F.col("_other")[i]).otherwise(F.col("_own")[i]).alias(c) for i, c in enumerate(features)
+        ]
+        scored = model.transform(copies.select(label, "repeat", "feature", *mixed))
+    permuted = loss(scored, ["repeat", "feature"])
+    whole = model.transform(indexed.drop("_i"))
+    if swaps is not None:
+        whole = whole.withColumn("score", vector_to_array("probability")[1])
+    base = loss(whole.withColumn("_all", F.lit(1)), ["_all"]).first()["loss"]
     names = F.array(*[F.lit(c) for c in features])
     summary = permuted.groupBy("feature").agg(
         (F.avg("loss") - F.lit(base)).alias("importance"), F.stddev_pop("loss").alias("std")
@@ -121,22 +132,74 @@ def forest_nodes(model: PipelineModel, folder: str) -> DataFrame:
     return node.select(
         F.col("treeID").alias("tree"), F.col("id").alias("node"), F.when(inner, F.col("split.featureIndex")).alias("feature"),
         F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"), F.when(inner, F.col("leftChild")).alias("left"),
-        F.when(inner, F.col("rightChild")).alias("right"), (F.col("impurityStats")[1] / (F.col("impurityStats")[0] + F.col("impurityStats")[1])).alias("value"))
+        F.when(inner, F.col("rightChild")).alias("right"), (F.col("impurityStats")[1] / (F.col("impurityStats")[0] + F.col("impurityStats")[1])).alias("value"),
+        (F.col("impurityStats")[0] / (F.col("impurityStats")[0] + F.col("impurityStats")[1])).alias("rest"))
 
 
-def forest_contributions(nodes: DataFrame, features: Sequence[str]) -> tuple[float, Column]:
-    """(base value, column of one contribution a feature) of a forest's probability of class 1. The
-    node table is sent to all tasks; trees and depth bound its size."""
+def _trees(nodes: DataFrame) -> list[tuple[np.ndarray, ...]]:
+    """Feature (-1: leaf), threshold, children and shares of class 1 and 0 of each tree's nodes, by node."""
     trees = []
     for _, t in nodes.toPandas().sort_values(["tree", "node"]).groupby("tree"):
         whole = lambda c, t=t: t[c].fillna(-1).to_numpy(np.int64)
-        trees.append((whole("feature"), t["threshold"].to_numpy(np.float64), whole("left"), whole("right"), t["value"].to_numpy(np.float64)))
+        trees.append((whole("feature"), t["threshold"].to_numpy(np.float64), whole("left"), whole("right"), t["value"].to_numpy(np.float64), t["rest"].to_numpy(np.float64)))
+    return trees
+
+
+def _paths(tree: tuple[np.ndarray, ...], k: int) -> np.ndarray:
+    """Nodes x features: whether a split above the node asks for the feature; children stand behind their parents."""
+    feature, _, left, right, *_ = tree
+    asked = np.zeros((len(feature), k), bool)
+    for i in np.flatnonzero(feature >= 0):
+        for child in (left[i], right[i]):
+            asked[child] = asked[i]
+            asked[child, feature[i]] = True
+    return asked
+
+
+def _leaves(tree: tuple[np.ndarray, ...], n: int, value: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The leaf each of ``n`` rows ends in; ``value(feature, row)`` are their values."""
+    feature, cut, left, right, *_ = tree
+    rows, at = np.arange(n), np.zeros(n, np.int64)
+    while len(rows := rows[feature[at[rows]] >= 0]):
+        node = at[rows]
+        at[rows] = np.where(value(feature[node], rows) <= cut[node], left[node], right[node])
+    return at
+
+
+def forest_swaps(nodes: DataFrame, features: Sequence[str]) -> Callable[[Column, Column], Column]:
+    """A forest's probabilities of class 1 of a row's values (an array) with one after another taken from
+    its donor's. A tree is walked again only for the features a row meets on its way down, as the others
+    lead to the same leaf. The node table is sent to all tasks."""
+    k, trees = len(features), _trees(nodes)
+    shared = nodes.sparkSession.sparkContext.broadcast([(t, _paths(t, k)) for t in trees])
+
+    def run(own: pd.Series, other: pd.Series) -> pd.Series:
+        x, y = (np.ascontiguousarray(np.vstack(s.to_numpy()).T.astype(np.float64)) for s in (own, other))
+        differs, n = x != y, x.shape[1]
+        votes = np.zeros((2, k, n))
+        for tree, paths in shared.value:
+            leaf = _leaves(tree, n, lambda f, r: x[f, r])
+            swapped, row = np.nonzero(paths[leaf].T & differs)
+            found = _leaves(tree, len(row), lambda f, i: np.where(f == swapped[i], y[f, row[i]], x[f, row[i]]))
+            for sums, share in zip(votes, tree[4:]):
+                mine = np.repeat(share[leaf][None, :], k, 0)
+                mine[swapped, row] = share[found]
+                sums += mine
+        return pd.Series(list((votes[0] / (votes[0] + votes[1])).T))
+
+    return F.pandas_udf(run, T.ArrayType(T.DoubleType()))
+
+
+def forest_contributions(nodes: DataFrame, features: Sequence[str]) -> tuple[float, Column]:
+    """(base value, column of one contribution a feature) of a forest's probability of class 1. The
+    node table is sent to all tasks; trees and depth bound its size."""
+    trees = _trees(nodes)
     shared = nodes.sparkSession.sparkContext.broadcast(trees)
 
     def run(*columns: pd.Series) -> pd.Series:
         x = np.array([c.to_numpy(np.float64) for c in columns])
         out, n = np.zeros(x.shape), x.shape[1]
-        for feature, cut, left, right, value in shared.value:
+        for feature, cut, left, right, value, _ in shared.value:
             rows, at = np.arange(n), np.zeros(n, np.int64)
             while len(rows := rows[feature[at[rows]] >= 0]):
                 node = at[rows]

@@ -188,6 +188,23 @@ def test_forest_contributions_add_up_to_the_probability(spark):
     assert np.allclose(got.explained, got.p) and set(map(len, got.top_features)) == {4}
 
 
+def test_permuted_copies_are_scored_down_the_paths_of_their_row(spark):
+    x = frame().fillna(0)
+    df = spark.createDataFrame(x).withColumn("label", (F.col("k") + F.col("a") > 1).cast("double")).withColumn("w", 1 + F.col("b"))
+    df = df.withColumn("id", F.monotonically_increasing_id())
+    forest = RandomForestClassifier(numTrees=9, maxDepth=6, weightCol="w", seed=3)
+    model = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(df)
+    swaps = imp.forest_swaps(imp.forest_nodes(model, shared_folder(spark)), FEATURES)
+    calls, transform = [], model.transform
+    model.transform = lambda d: calls.append(d.count()) or transform(d)
+    probability = lambda: vector_to_array("probability")[1]
+    ask = lambda score, **more: [tuple(r) for r in imp.permutation_importance(
+        model, df, FEATURES, ["id"], "label", imp.auc_loss("label", score), n_repeats=3, **more).collect()]
+    got = ask(lambda: F.col("score"), swaps=swaps)
+    assert calls == [df.count()]  # no copy a feature and repeat goes through the model
+    assert got == ask(probability) and got[0][1] > 0
+
+
 def demand_rows(spark, entities=3, days=90):
     rng = np.random.default_rng(4)
     rows = [(e, d, float(rng.poisson(3 + d % 7)), d % 7, 1 + d // 30) for e in range(entities) for d in range(days)]
