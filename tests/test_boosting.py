@@ -205,6 +205,10 @@ def test_permuted_copies_are_scored_down_the_paths_of_their_row(spark):
     assert got == ask(probability) and got[0][1] > 0
 
 
+def test_the_forest_keeps_the_nodes_of_its_rows(spark):
+    assert tr.stockout_pipeline(["a"], {}).getStages()[1].getCacheNodeIds()
+
+
 def demand_rows(spark, entities=3, days=90):
     rng = np.random.default_rng(4)
     rows = [(e, d, float(rng.poisson(3 + d % 7)), d % 7, 1 + d // 30) for e in range(entities) for d in range(days)]
