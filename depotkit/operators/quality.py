@@ -1,7 +1,8 @@
 """Contract checks as audit rows.
 
-The audit reads each table once: all checks are counts of tagged entries of its rows. Key and
-reference checks count per key first, so a hot key or a pile of NULL keys is folded before the shuffle.
+The audit reads each table once: all checks are counts of tagged entries of its rows, one for the scalar
+checks it violates, one for its key and one a reference. They fold per key first, so a hot key or a pile of
+NULL keys is folded before the one shuffle.
 """
 
 from __future__ import annotations
@@ -64,32 +65,54 @@ def _expected(table: str, have: set[str], references: Mapping[str, DataFrame]) -
     return [*rows, ("row_count", "rows", "rows", " rows")]
 
 
-def _tagged(df: DataFrame, table: str, audited: bool, referred: bool, references: Mapping[str, DataFrame]) -> DataFrame:
-    """(pool, key, name) entries of every row: one that counts it, one a violated scalar check, its key in
-    the pool of its table, and its references in the pools of theirs."""
+def _flags(table: str, have: set[str]) -> dict[str, Column]:
+    """Whether a row violates a scalar check, by name."""
+    c = CONTRACTS[table]
+    flags = {f"null:{x}": F.col(x).isNull() for x in c.not_null if x in have}
+    flags |= {f"range:{x}": (fn.number(x) < lo) | (fn.number(x) > hi) for x, (lo, hi) in c.ranges.items() if x in have}
+    return flags | {f"neg:{x}": fn.number(x) < 0 for x in c.non_negative if x in have}
+
+
+def _places(tables: Mapping[str, DataFrame], references: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
+    """(pool, slot) of each count by name. A table's keys, at slot 0, and the references to them, from 1,
+    share the pool of its place among the contracts; its rows, at slot 0, and its scalar checks have a pool below 0."""
+    pool = {t: i for i, t in enumerate(CONTRACTS)}
+    places = {f"{t}|pk": (i, 0) for t, i in pool.items()}
+    referred = dict.fromkeys(pool, 0)
+    for t, df in tables.items():
+        have = set(df.columns)
+        places[f"{t}|rows"] = (-1 - pool[t], 0)
+        places |= {f"{t}|{name}": (-1 - pool[t], i) for i, name in enumerate(_flags(t, have), 1)}
+        for x, ref in CONTRACTS[t].foreign_keys.items():
+            if x in have and ref in references:
+                referred[ref] += 1
+                places[f"{t}|fk:{x}"] = (pool[ref], referred[ref])
+    return places
+
+
+def _tagged(df: DataFrame, table: str, audited: bool, references: Mapping[str, DataFrame], places: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """(pool, key, slot) entries of every row: its key in the pool of its table, its references in the pools
+    of theirs, and, as a key of a pool of their own, a 0 or 1 for each scalar check of the table."""
     c, have = CONTRACTS[table], set(df.columns)
-    entry = lambda pool, key, name: F.struct(
-        F.lit(pool).alias("pool"), (F.lit(None) if key is None else F.col(key)).cast("string").alias("key"), F.lit(f"{table}|{name}").alias("name"))
-    entries = []
-    if c.primary_key in have and (audited or referred):
-        entries.append(entry(table, c.primary_key, "pk"))
+
+    def entry(name: str, key: Column) -> Column:
+        pool, slot = places[f"{table}|{name}"]
+        return F.struct(F.lit(pool).alias("pool"), key.cast("string").alias("key"), F.lit(slot).alias("slot"))
+
+    entries = [entry("pk", F.col(c.primary_key))] if c.primary_key in have else []
     if audited:
-        entries.append(entry("", None, "rows"))
-        entries += [F.when(F.col(x).isNull(), entry("", None, f"null:{x}")) for x in c.not_null if x in have]
-        for x, (lo, hi) in c.ranges.items():
-            if x in have:
-                entries.append(F.when((fn.number(x) < lo) | (fn.number(x) > hi), entry("", None, f"range:{x}")))
-        entries += [F.when(fn.number(x) < 0, entry("", None, f"neg:{x}")) for x in c.non_negative if x in have]
-        entries += [entry(ref, x, f"fk:{x}") for x, ref in c.foreign_keys.items() if x in have and ref in references]
-    return df.select(F.inline(F.array_compact(F.array(*entries))))
+        marks = [F.when(bad, "1").otherwise("0") for bad in _flags(table, have).values()]
+        entries.append(entry("rows", F.concat(*marks) if marks else F.lit("")))
+        entries += [entry(f"fk:{x}", F.col(x)) for x, ref in c.foreign_keys.items() if x in have and ref in references]
+    return df.select(F.inline(F.array(*entries)))
 
 
 def validate_all(tables: Mapping[str, DataFrame], references: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The audit rows of all tables, in their order and that of their contracts, from one read of each.
 
-    All checks are counts of tagged entries: scalar checks by name, keys and references by (pool, key),
-    so that a table's keys meet the references to them in one shuffle. Copies of a key and NULL keys
-    fold before it. Keys are compared as text. Missing required columns raise.
+    All checks are counts of tagged entries by (pool, key), so that a table's keys meet the references to
+    them in one shuffle, with a count for each slot. Copies of a key, NULL keys and rows that violate the
+    same scalar checks fold before it. Keys are compared as text. Missing required columns raise.
     """
     references = references or {}
     for table, df in tables.items():
@@ -98,23 +121,30 @@ def validate_all(tables: Mapping[str, DataFrame], references: Mapping[str, DataF
             raise ValueError(f"[{table}] Missing columns: {missing}")
     needed = {ref for t, df in tables.items() for x, ref in CONTRACTS[t].foreign_keys.items() if x in df.columns and ref in references}
     same = {t for t in tables if t in needed and references[t] is tables[t]}
-    reads = [_tagged(df, t, True, t in same, references) for t, df in tables.items()]
-    reads += [_tagged(references[t].select(CONTRACTS[t].primary_key), t, False, True, references) for t in sorted(needed - same)]
+    places = _places(tables, references)
+    reads = [_tagged(df, t, True, references, places) for t, df in tables.items()]
+    reads += [_tagged(references[t].select(CONTRACTS[t].primary_key), t, False, references, places) for t in sorted(needed - same)]
     tagged = reads[0]
     for more in reads[1:]:
         tagged = tagged.unionByName(more)
-    counts = tagged.groupBy("pool", "key", "name").agg(F.count("*").alias("n"))
-    own = F.max(F.when(F.col("name") == F.concat("pool", F.lit("|pk")), F.col("n")))
-    met = counts.groupBy("pool", "key").agg(own.alias("own"), F.collect_list(F.struct("name", "n")).alias("found"))
-    met = met.select("pool", "own", F.inline("found"))
-    bad = F.when(F.col("pool") == "", F.col("n")).when(F.col("name") == F.concat("pool", F.lit("|pk")), F.col("n") - 1)
-    found = met.select("name", bad.otherwise(F.when(F.col("own").isNull(), F.col("n")).otherwise(0)).alias("n")).groupBy("name").agg(F.sum("n").alias("bad"))
+    slots = range(1, 1 + max((slot for pool, slot in places.values() if pool >= 0), default=0))
+    per_key = tagged.groupBy("pool", "key").agg(
+        F.count_if(F.col("slot") == 0).alias("own"), *[F.count_if(F.col("slot") == i).alias(f"from{i}") for i in slots])
+    # A row a pool of keys, and one for each set of scalar checks that rows violate.
+    sums = per_key.groupBy("pool", F.when(F.col("pool") < 0, F.col("key")).alias("marks")).agg(
+        F.sum("own").alias("rows"), F.sum(F.when(F.col("own") > 0, F.col("own") - 1).otherwise(0)).alias("bad0"),
+        *[F.sum(F.when(F.col("own") == 0, F.col(f"from{i}")).otherwise(0)).alias(f"bad{i}") for i in slots])
+    count = lambda slot, n: F.struct(slot.cast("int").alias("slot"), n.cast("long").alias("bad"))
+    marked = F.transform(F.split("marks", ""), lambda m, i: count(i + 1, F.when(m == "1", F.col("rows")).otherwise(0)))
+    by_slot = F.when(F.col("pool") >= 0, F.array(*[count(F.lit(i), F.col(f"bad{i}")) for i in (0, *slots)])).otherwise(
+        F.concat(F.array(count(F.lit(0), F.col("rows"))), marked))
+    found = sums.select("pool", F.inline(by_slot)).groupBy("pool", "slot").agg(F.sum("bad").alias("bad"))
 
     # A dozen rows a table, from the contracts.
-    rows = [(i, t, *row[:2], f"{t}|{row[2]}", row[3]) for i, (t, row) in enumerate(
+    rows = [(i, t, *row[:2], *places.get(f"{t}|{row[2]}", (None, None)), row[3]) for i, (t, row) in enumerate(
         (t, row) for t, df in tables.items() for row in _expected(t, set(df.columns), references))]
     spark = next(iter(tables.values())).sparkSession
-    out = spark.createDataFrame(rows, "ord int, table string, check string, kind string, name string, text string").join(found, "name", "left")
+    out = spark.createDataFrame(rows, "ord int, table string, check string, kind string, pool int, slot int, text string").join(found, ["pool", "slot"], "left")
     out = out.withColumn("bad", F.coalesce("bad", F.lit(0)).cast("long"))
     n = F.coalesce(F.max(F.when(F.col("kind") == "rows", F.col("bad"))).over(Window.partitionBy("table")), F.lit(0))
     out = out.withColumn("n", n)

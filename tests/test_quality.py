@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from depotkit.operators import quality as qa
@@ -66,3 +68,16 @@ def test_missing_columns_raise(spark):
 def test_summary(spark):
     parts = [qa.audit_row(spark, "t", "s", "c", s, 0, 0, "") for s in ("PASS", "WARN", "PASS")]
     assert {r.status: r.entries for r in qa.audit_summary(qa.combine(parts)).collect()} == {"PASS": 2, "WARN": 1}
+
+
+def test_keys_are_shuffled_once_and_rows_may_violate_any_set_of_checks(spark):
+    prod = products(spark, [(1, "s", "n", "c", "-1", 1.0, 1, 1, 1), (1, None, "n", None, "1", -1.0, 1, 1, -1)])
+    df = sales(spark, [(1, 1, None, "-1", -1.0, 150.0), (1, 9, None, "1", 1.0, 150.0), (None, None, "d", "1", 1.0, 1.0), (None, 1, "d", "-2", 1.0, None)])
+    out = qa.validate_all({"products": prod, "sales": df}, {"products": prod})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(pool#\d+L?, key#", plan)) == 1
+    got = {(r.table, r.check): (r.rows_in, r.detail.split()[0]) for r in out.collect()}
+    assert got["products", "pk_unique"] == (2, "1") and got["sales", "pk_unique"] == (4, "2")
+    assert got["products", "not_null:sku"] == (2, "1") and got["products", "not_null:category"] == (2, "1")
+    assert got["sales", "not_null:sale_date"] == (4, "2") and got["sales", "range:discount_pct"] == (4, "2")
+    assert got["sales", "non_neg:quantity_sold"] == (4, "2") and got["sales", "fk:product_id"] == (4, "2")
