@@ -105,6 +105,8 @@ def outside_windows(df: DataFrame, windows: DataFrame, key: str, day: str, start
         F.least(number(F.col(end)), number(last)).alias("_e"),
         (F.col(key).isNotNull() & (F.col(start) <= F.col(end)) & first.isNotNull()).alias("_ok"),
     ).filter(F.col("_ok") & (F.col("_s") <= F.col("_e")))
+    # Dealt out before they grow: a small file of windows is one task, whose map would hold all their blocks.
+    spans = spans.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_k", "_s")
     pieces = spans.select("_k", "_s", "_e", F.explode(F.sequence(block(F.col("_s")), block(F.col("_e")))).alias("_b"))
     low = F.greatest(F.col("_s") - F.col("_b") * BLOCK_DAYS, F.lit(0))
     high = F.least(F.col("_e") - F.col("_b") * BLOCK_DAYS, F.lit(BLOCK_DAYS - 1))
@@ -113,7 +115,8 @@ def outside_windows(df: DataFrame, windows: DataFrame, key: str, day: str, start
     pieces = pieces.select("_k", "_b", (run((high + 1).cast("int")) - run(low.cast("int"))).alias("_bits"))
     blocked = pieces.groupBy("_k", "_b").agg(F.bit_or("_bits").alias("_bits"))
     here = number(F.col(day))
-    met = df.join(blocked, (F.col(key) == F.col("_k")) & (block(here) == F.col("_b")), "left")
+    # The planner takes the blocks for as few as the windows, and would send all of them to every task.
+    met = df.join(blocked.hint("merge"), (F.col(key) == F.col("_k")) & (block(here) == F.col("_b")), "left")
     bit = F.call_function("shiftright", F.col("_bits"), F.pmod(here, F.lit(BLOCK_DAYS)).cast("int")).bitwiseAND(F.lit(1))
     return met.filter(F.coalesce(bit, F.lit(0)) == 0).select(*[F.col(f"`{c}`") for c in df.columns])
 

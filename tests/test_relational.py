@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 
@@ -54,3 +55,11 @@ def test_only_dates(spark):
     w = spark.sql("select 'a' k, date'2024-01-01' s, date'2024-01-02' e")
     with pytest.raises(TypeError, match="timestamp"):
         rel.outside_windows(df, w, "k", "d", "s", "e")
+
+
+def test_blocks_of_windows_grow_in_many_tasks_and_are_not_sent_to_all(spark):
+    got = outside(spark, [("a", 5), ("a", 500), ("b", 5)], [("a", 0, 400)] * 50)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert re.search(r"Generate explode.*?Exchange hashpartitioning\(_k#\d+, _s#\d+", plan, re.S)
+    assert sorted(r.id for r in got.collect()) == [1, 2]
