@@ -205,8 +205,25 @@ def test_permuted_copies_are_scored_down_the_paths_of_their_row(spark):
     assert got == ask(probability) and got[0][1] > 0
 
 
+def test_rows_walk_down_a_tree_as_in_a_table_of_their_own(spark):
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, 6, (3, 500)).astype(np.uint8)
+    bins[rng.random(bins.shape) < 0.2] = bo.MISSING_BIN
+    tree = (np.array([0, 2, -1, -1, 1, -1, -1]), np.full(7, 2, np.uint8), np.array([True, False] * 3 + [True]),
+            np.array([1, 2, 0, 0, 5, 0, 0]), np.array([4, 3, 0, 0, 6, 0, 0]), np.zeros(7))
+    rows = np.flatnonzero(rng.random(500) < 0.6)
+    assert (bo.walk(tree, bins, rows) == bo.walk(tree, np.ascontiguousarray(bins[:, rows]))).all()
+    assert (bo.walk(tree, bins, rows) == bo.walk(tree, bins)[rows]).all()
+
+
 def test_the_forest_keeps_the_nodes_of_its_rows(spark):
-    assert tr.stockout_pipeline(["a"], {}).getStages()[1].getCacheNodeIds()
+    df = spark.createDataFrame(frame().fillna(0)).withColumn("label", (F.col("k") > 0).cast("double")).withColumn("weight", 1 + F.col("b"))
+    made = tr.stockout_pipeline(FEATURES, {"numTrees": 5, "maxDepth": 6})
+    assert made.getStages()[1].getCacheNodeIds()
+    trees = lambda: [t.toDebugString.split("\n", 1)[1] for t in made.fit(df).stages[-1].trees]
+    kept = trees()
+    made.getStages()[1].setCacheNodeIds(False)
+    assert kept == trees()  # the same trees as without
 
 
 def demand_rows(spark, entities=3, days=90):
