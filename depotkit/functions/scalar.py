@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ COUNTRY_TIER_3 = ("Bangladesh", "Indonesia", "Pakistan", "Nigeria")
 COUNTRY_TIER_2 = ("India", "Vietnam", "China", "Mexico", "Brazil")
 TENURE_REFERENCE_DAY = "2024-12-31"
 EPS = 1e-9
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 def col(c: ColumnLike) -> Column:
@@ -50,19 +53,47 @@ def number(c: ColumnLike) -> Column:
 def integer(c: ColumnLike) -> Column:
     """Text or number to long without a double in between, so ids beyond 2^53 stay apart; a fraction
     is cut off, and what is no number or too large becomes NULL."""
-    return col(c).try_cast("decimal(38,9)").try_cast("long")
+    x = col(c)
+    return _plainly(x, lambda plain: plain, _decimal(x).try_cast("long"))
 
 
 def whole_number(c: ColumnLike) -> Column:
     """Text or number to long if it is a whole number that fits, else NULL."""
-    exact = col(c).try_cast("decimal(38,9)")
-    return F.when(exact == F.floor(exact), exact.try_cast("long"))
+    x = col(c)
+    return _plainly(x, lambda plain: plain, _whole_decimal(x))
 
 
 def text_id(c: ColumnLike) -> Column:
     """An id kept as text; whole numbers are written alike, blanks are NULL."""
-    text = F.trim(col(c).cast("string"))
-    return F.coalesce(whole_number(c).cast("string"), F.nullif(text, F.lit("")))
+    x = col(c)
+    text = F.trim(x.cast("string"))
+    return _plainly(x, lambda plain: plain.cast("string"), F.coalesce(_whole_decimal(x).cast("string"), F.nullif(text, F.lit(""))))
+
+
+def _named(x: Column) -> Column:
+    """Whether text begins with an ASCII letter or the like, so that it writes no number: parsing it would cost
+    an exception each time."""
+    return F.coalesce((F.typeof(x) == "string") & x.cast("string").between("A", "~"), F.lit(False))
+
+
+def _decimal(x: Column) -> Column:
+    return F.when(~_named(x), x.try_cast("decimal(38,9)"))
+
+
+def _whole_decimal(x: Column) -> Column:
+    exact = _decimal(x)
+    return F.when(exact == F.floor(exact), exact.try_cast("long"))
+
+
+def _plainly(x: Column, made: Callable[[Column], Column], otherwise: Column) -> Column:
+    """``made`` of the long that ``x`` holds as a long or writes in its plain digits, else ``otherwise``.
+
+    Most ids are such, and decimals cost several times as much. The type is known before any row is read.
+    """
+    plain = F.when(~_named(x), x.try_cast("long"))
+    digits = F.when(plain.cast("string") == x.cast("string"), made(plain)).otherwise(otherwise)
+    whole_type, text_type = F.typeof(x).isin(*WHOLE_TYPES), F.typeof(x) == "string"
+    return F.when(whole_type, made(plain)).when(text_type, digits).otherwise(otherwise)
 
 
 def day(c: ColumnLike) -> Column:

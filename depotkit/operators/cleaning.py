@@ -50,6 +50,10 @@ def keep_one(
     side instead of being sorted in one window task. NULL keys form one group, and NULLs
     order before values. A map orders as its sorted entries.
 
+    Rows are sorted into groups, and a sort sees 64 bits of its first key before it has to fetch and
+    compare rows: texts that begin alike, or a first key of few values, cost such a comparison each time.
+    So the hash of the keys leads, except where one key of fixed width says it all.
+
     ``few_copies`` is for wide tables whose keys rarely repeat: only rows of a key that may be
     repeated are sorted and shuffled, the others stream through. It gives the same rows, but reads
     the table three times, once for its keys alone, so its rows must not change between reads.
@@ -61,8 +65,12 @@ def keep_one(
     pick = (F.max if last else F.min)(F.struct(*lead, *held)).alias("_row")
     back = {c: F.map_from_entries(f"_row.`{c}`") if c in maps else F.col(f"_row.`{c}`") for c in rest}
 
+    types = dict(df.dtypes)
+    alone = len(keys) == 1 and types[keys[0]] in (*fn.WHOLE_TYPES, "date", "timestamp")
+    lead_key = [] if alone else [F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_h")]
+
     def folded(rows: DataFrame) -> DataFrame:
-        kept = rows.groupBy(*keys).agg(pick)
+        kept = rows.groupBy(*lead_key, *keys).agg(pick)
         return kept.select(*[back.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
 
     if not few_copies:
@@ -115,10 +123,11 @@ IDS = {
 
 def text_ids(tables: Mapping[str, DataFrame]) -> set[str]:
     """Id columns that hold anything but whole numbers in any of the tables: these must stay text
-    in all of them, as distinct ids would fold into one NULL. One aggregate per table."""
+    in all of them, as distinct ids would fold into one NULL. One aggregate per table, over the columns
+    whose type does not say so already."""
     found: set[str] = set()
     for name, df in tables.items():
-        columns = [c for c in IDS.get(name, ()) if c in df.columns]
+        columns = [c for c in IDS.get(name, ()) if dict(df.dtypes).get(c, "bigint") not in fn.WHOLE_TYPES]
         if columns:
             odd = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).isNotNull() & fn.whole_number(c).isNull()
             counts = df.agg(*[F.count_if(odd(c)).alias(c) for c in columns]).first()
@@ -175,7 +184,8 @@ def clean_sales(df: DataFrame, order: Sequence[str | Column] = (), as_text: Coll
             "is_returned": fn.truth_token("is_returned"),
         }
     )
-    d = d.dropna(subset=["sale_date", "product_id", "quantity_sold"]).filter("quantity_sold > 0")
+    # Parsed numbers are never NaN; each column is parsed once more for each time a filter names it.
+    d = d.filter("product_id is not null and sale_date is not null and quantity_sold > 0")
     bounds = iqr_bounds(d, ["quantity_sold", "unit_price"])
     d = iqr_cap(keep_one(d, ["sale_id"], order), bounds)
     return d.withColumns(

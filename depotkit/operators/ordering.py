@@ -8,8 +8,10 @@ task stays a small share of the rows whatever the key distribution.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from depotkit.session import cut_lineage
@@ -49,20 +51,29 @@ def _selected(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
     names the bucket of each wanted rank; the next pass looks only inside those buckets. A bucket
     of one value ends the search for its ranks, so there are at most ``len(SHIFTS)`` passes. Counts
     fold before they are shuffled, whatever the groups and values.
+
+    Without groups the targets are a few rows, which come back as literals: later passes compare rows with
+    them, where they stand, and read only the columns still open. If no open bucket has more rows than the
+    last pass may meet keys, the next pass is the last.
     """
-    values = [F.struct(F.lit(c).alias("_c"), F.col(f"`{name}`").cast("double").alias("_x")) for c, name in enumerate(columns)]
-    rows = df.select(*[F.col(f"`{g}`") for g in by], F.explode(F.array(*values)).alias("_r"))
-    rows = rows.select(*by, "_r._c", "_r._x").filter("_x is not null and not isnan(_x)")
-    rows = rows.select(*by, "_c", sort_key(F.col("_x")).alias("_k"))
-    # Without groups the targets are a few rows, which come back as literals.
-    settle = cut_lineage if by else lambda d: d.sparkSession.createDataFrame(d.collect(), d.schema)
-    names, found, open_ = [*by, "_c"], None, None
-    for shift in SHIFTS:
+    def keyed(cs: Sequence[int]) -> DataFrame:
+        values = [F.struct(F.lit(c).alias("_c"), F.col(f"`{columns[c]}`").cast("double").alias("_x")) for c in cs]
+        rows = df.select(*[F.col(f"`{g}`") for g in by], F.explode(F.array(*values)).alias("_r"))
+        rows = rows.select(*by, "_r._c", "_r._x").filter("_x is not null and not isnan(_x)")
+        return rows.select(*by, "_c", sort_key(F.col("_x")).alias("_k"))
+
+    names, found, open_, targets, shifts = [*by, "_c"], None, None, [], list(SHIFTS)
+    while shifts:
+        shift = shifts.pop(0)
         was = [] if open_ is None else ["_was"]
-        inside = rows
-        if was:
+        inside = keyed(range(len(columns)))
+        if was and by:
             buckets = open_.select(*names, F.col("_prefix").alias("_was")).distinct()
-            inside = rows.withColumn("_was", F.shiftright("_k", last)).join(buckets, [*names, "_was"])
+            inside = inside.withColumn("_was", F.shiftright("_k", last)).join(buckets, [*names, "_was"])
+        elif was:
+            buckets = {c: sorted({r["_prefix"] for r in targets if r["_c"] == c}) for c in sorted({r["_c"] for r in targets})}
+            inside = keyed(list(buckets)).withColumn("_was", F.shiftright("_k", last))
+            inside = inside.filter(reduce(or_, [(F.col("_c") == c) & F.col("_was").isin(b) for c, b in buckets.items()]))
         counts = inside.groupBy(*names, *was, F.shiftright("_k", shift).alias("_prefix")).agg(
             F.count("*").alias("_n"), F.min("_k").alias("_least"), F.max("_k").alias("_most"))
         part = Window.partitionBy(*names, *was)
@@ -74,16 +85,31 @@ def _selected(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
             hits = hits.withColumn("_x", F.explode(_wanted(F.col("_last"), probs))).select("*", "_x.*")
         hits = hits.filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
         rank = F.col("_rank") - F.col("_upto") + F.col("_n")
-        hits, last = settle(hits.select(*names, "_i", "_side", "_t", "_prefix", rank.alias("_rank"), "_least", "_most")), shift
+        hits, last = hits.select(*names, "_i", "_side", "_t", "_prefix", rank.alias("_rank"), "_least", "_most", "_n"), shift
+        if by:
+            hits = cut_lineage(hits)
+        else:
+            met = hits.collect()
+            targets, hits = [r for r in met if r["_least"] < r["_most"]], _literals(hits, met)
+            if all(r["_n"] <= 2 ** (SHIFTS[-2] - SHIFTS[-1]) for r in targets):
+                shifts = shifts[-1:]
         done = hits.filter("_least = _most").select(*names, "_i", "_side", "_t", F.col("_least").alias("_key"))
         found = done if found is None else found.unionByName(done)
-        open_ = hits.filter("_least < _most").drop("_least", "_most")
-        if open_.isEmpty():
+        open_ = hits.filter("_least < _most").drop("_least", "_most", "_n")
+        if open_.isEmpty() if by else not targets:
             break
     side = lambda s: F.max(F.when(F.col("_side") == s, F.col("_key")))
     return found.groupBy(*names, "_i").agg(F.max("_t").alias("_t"), side(0).alias("_low"), side(1).alias("_high"))
 
 
+def _literals(df: DataFrame, rows: Sequence[Row]) -> DataFrame:
+    """A few collected rows of ``df`` as literals, whose size the planner knows."""
+    if not rows:
+        return df.sparkSession.createDataFrame([], df.schema)
+    made = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in df.schema]) for r in rows]
+    return df.sparkSession.range(1).select(F.inline(F.array(*made)))
+
+
 def _wanted(last: Column, probs: Sequence[float]) -> Column:
     """The ranks around each probability's place among ``last`` + 1 values."""
     out = []

@@ -179,3 +179,43 @@ def test_quantiles_need_two_passes_of_counts(spark, monkeypatch):
     for g in range(3):
         np.testing.assert_allclose(rows[g], np.median(np.arange(g, 3000, 3) * 0.00001 + 900), rtol=1e-12)
     assert len(passes) <= 2
+
+
+def test_text_keys_are_told_apart_by_a_hash_first(spark, monkeypatch):
+    """Texts that begin alike would be fetched and compared at every step of the sort."""
+    rows = [(f"9007199254740{i % 700:03d}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan(cl.keep_one(df, ["k"])) and "xxhash64" in plan(cl.keep_one(df, ["v", "k"]))
+    assert "xxhash64" not in plan(cl.keep_one(df, ["v"]))
+    want = sorted((f"9007199254740{i:03d}", i) for i in range(700))
+    assert sorted(map(tuple, cl.keep_one(df, ["k"]).collect())) == want
+    monkeypatch.setattr(cl.F, "xxhash64", lambda *_: F.lit(1).cast("long"))
+    assert sorted(map(tuple, cl.keep_one(df, ["k"]).collect())) == want
+
+
+def test_ids_of_whole_types_need_no_pass(spark):
+    boom = F.raise_error(F.lit("read")).cast("long")
+    sales = spark.range(3).select(boom.alias("sale_id"), F.lit("x").alias("product_id"))
+    assert cl.text_ids({"sales": sales}) == {"product_id"}
+    assert cl.text_ids({"sales": sales.drop("product_id")}) == set()
+
+
+def test_quantiles_of_a_table_move_no_rows_after_the_first_pass(spark, monkeypatch):
+    """Few rows in the open buckets: the second pass is the last, and rows are compared with literals."""
+    plans, literals = [], ordering._literals
+    monkeypatch.setattr(ordering, "_literals", lambda df, rows: plans.append(df._jdf.queryExecution().executedPlan().toString()) or literals(df, rows))
+    df = spark.range(3000).select((F.col("id") * 2.0**-40 + 900).alias("v"), (F.col("id") % 2 * 1.0).alias("w"))
+    got = global_quantiles(df, ["v", "w"], [0.25, 0.5])
+    x = np.arange(3000) * 2.0**-40 + 900
+    assert got == {"v": np.quantile(x, [0.25, 0.5]).tolist(), "w": np.quantile(np.arange(3000) % 2, [0.25, 0.5]).tolist()}
+    assert len(plans) == 2 and "SortMergeJoin" not in plans[1]
+
+
+def test_quantiles_of_a_table_with_full_buckets_take_three_passes(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SHIFTS", (44, 8, 0))
+    df = spark.range(3000).select((F.col("id") * 2.0**-40 + 900).alias("v"))
+    passes, literals = [], ordering._literals
+    monkeypatch.setattr(ordering, "_literals", lambda df, rows: passes.append(1) or literals(df, rows))
+    np.testing.assert_array_equal(global_quantiles(df, ["v"], [0.25, 0.9])["v"], np.quantile(np.arange(3000) * 2.0**-40 + 900, [0.25, 0.9]))
+    assert len(passes) == 3

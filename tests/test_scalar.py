@@ -91,3 +91,15 @@ def test_integer_keeps_large_ids_apart(spark):
     rows = [("9007199254740992",), ("9007199254740993",), ("12.7",), ("1e30",), ("S-001",), (" 7 ",), (None,)]
     got = spark.createDataFrame(rows, "x string").select(fn.integer("x").alias("x")).collect()
     assert [r.x for r in got] == [9007199254740992, 9007199254740993, 12, None, None, 7, None]
+
+
+def test_ids_of_odd_spelling(spark):
+    text = {"+7": (7, 7, "7"), "07": (7, 7, "7"), "7.9": (7, None, "7.9"), "1e3": (1000, 1000, "1000"), "-7": (-7, -7, "-7"), " S-1 ": (None, None, "S-1"),
+            "S-1": (None, None, "S-1"), "e5": (None, None, "e5"), "_7": (None, None, "_7"), "~": (None, None, "~"), "٣": (3, 3, "3"), "é1": (None, None, "é1"),
+            "7\x7f": (None, None, "7\x7f"), "9223372036854775808": (None, None, "9223372036854775808")}
+    df = spark.createDataFrame([(t,) for t in text], "i string")
+    assert [tuple(r) for r in df.select(fn.integer("i"), fn.whole_number("i"), fn.text_id("i")).collect()] == list(text.values())
+    for kind, values, want in (("double", [7.5, 7.0, None], [(7, None, "7.5"), (7, 7, "7"), (None,) * 3]), ("boolean", [True, None], [(1, 1, "1"), (None,) * 3]),
+                               ("bigint", [2**63 - 1, None], [(2**63 - 1, 2**63 - 1, str(2**63 - 1)), (None,) * 3])):
+        typed = spark.createDataFrame([(v,) for v in values], f"i {kind}")
+        assert [tuple(r) for r in typed.select(fn.integer("i"), fn.whole_number("i"), fn.text_id("i")).collect()] == want
