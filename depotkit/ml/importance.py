@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotkit.functions import scalar as fn
+from depotkit.ml import boosting
 from depotkit.ml.boosting import Boosted
 from depotkit.operators.ordering import row_index
 from depotkit.operators.relational import top_k
@@ -49,7 +50,7 @@ def permutation_importance(
     scores every (repeat, feature) copy: rows meet their permuted partners by row index, then
     fan out to one copy per feature inside the task that scores and pre-aggregates them.
     ``swaps(own, other)`` may give the scores of all copies of a row at once, as an array by feature,
-    without making the copies; ``loss`` then reads them as ``score``.
+    without making the copies; ``loss`` then reads them as ``score`` (of a boosted model: ``prediction``).
     """
     columns = [F.col(f"`{c}`") for c in features]
     rows = test.select(*keys, label, *columns)
@@ -60,7 +61,8 @@ def permutation_importance(
     own = indexed.select("_i", label, vector.alias("_own"))
     paired = permutations(indexed, n, n_repeats, seed).join(own, "_i").join(donors, "_j")
     if swaps is not None:
-        scored = paired.select(label, "repeat", F.posexplode(swaps(F.col("_own"), F.col("_other"))).alias("feature", "score"))
+        name = "prediction" if isinstance(model, Boosted) else "score"
+        scored = paired.select(label, "repeat", F.posexplode(swaps(F.col("_own"), F.col("_other"))).alias("feature", name))
     else:
         copies = paired.select(
             label, "repeat", "_own", "_other", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("feature")
@@ -71,7 +73,7 @@ def permutation_importance(
         scored = model.transform(copies.select(label, "repeat", "feature", *mixed))
     permuted = loss(scored, ["repeat", "feature"])
     whole = model.transform(indexed.drop("_i"))
-    if swaps is not None:
+    if swaps is not None and not isinstance(model, Boosted):
         whole = whole.withColumn("score", vector_to_array("probability")[1])
     base = loss(whole.withColumn("_all", F.lit(1)), ["_all"]).first()["loss"]
     names = F.array(*[F.lit(c) for c in features])
@@ -190,6 +192,43 @@ def forest_swaps(nodes: DataFrame, features: Sequence[str]) -> Callable[[Column,
     return F.pandas_udf(run, T.ArrayType(T.DoubleType()))
 
 
+def boosted_swaps(model: Boosted) -> Callable[[Column, Column], Column]:
+    """A boosted model's scores of a row's values (an array) with one after another taken from its donor's. A tree
+    is walked again only for the features a row meets on its way down, as the others lead to the same leaf."""
+    text, k = model.to_json(), len(model.features)
+
+    def run(own: pd.Series, other: pd.Series) -> pd.Series:
+        mine = boosting.loaded(text)
+        x, y = (boosting.to_bins(list(np.vstack(s.to_numpy()).T.astype(np.float64)), mine.edges) for s in (own, other))
+        differs, n = x != y, x.shape[1]
+        scores = np.full((k, n), mine.start[0])
+        for [arrays] in mine.arrays_by_round:
+            feature, value = arrays[0], arrays[5]
+            leaf = boosting.walk(arrays, x)
+            before = value[leaf]
+            met = _paths((feature, None, arrays[3], arrays[4]), k)
+            change = {}
+            for f in np.unique(feature[feature >= 0]):
+                rows = np.flatnonzero(met[leaf, f] & differs[f])
+                if len(rows):
+                    kept, x[f, rows] = x[f, rows], y[f, rows]
+                    change[f] = rows, value[boosting.walk(arrays, x, rows)]
+                    x[f, rows] = kept
+            for f in range(k):
+                after = before
+                if f in change:
+                    after = before.copy()
+                    after[change[f][0]] = change[f][1]
+                scores[f] += after
+        return pd.Series(list(scores.T))
+
+    def swaps(own: Column, other: Column) -> Column:
+        known = lambda v: F.array(*[F.coalesce(v[i].cast("double"), F.lit(float(model.fills.get(c, "nan")))) for i, c in enumerate(model.features)])
+        return F.pandas_udf(run, T.ArrayType(T.DoubleType()))(known(own), known(other))
+
+    return swaps
+
+
 def forest_contributions(nodes: DataFrame, features: Sequence[str]) -> tuple[float, Column]:
     """(base value, column of one contribution a feature) of a forest's probability of class 1. The
     node table is sent to all tasks; trees and depth bound its size."""
