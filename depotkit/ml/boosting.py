@@ -49,7 +49,7 @@ POINTS = 20_000
 #: Rows a task should have, and models that grow in the same passes.
 TASK_ROWS, LANES = 16_384, 12
 #: Fits of more passes than this grow in one job, if a task of it holds at most so many rows.
-JOB_PASSES, HELD_ROWS = 32, 4_000_000
+JOB_PASSES, HELD_ROWS = 32, 2_000_000
 #: Features are counted together while their joint bins are at most so many; rows that are counted at a time.
 JOINT_BINS, CHUNK_ROWS = 1024, 32_768
 
